@@ -29,12 +29,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def scaled_round(c, digits: int):
+    """round(x * 10^d) / 10^d: the rounding of the scaled binary value, as numpy and DuckDB do."""
+    m = float(10**digits)
+    return F.round(c * m, 0) / m
+
+
 def round_doubles(df: DataFrame, digits: int = 4) -> DataFrame:
     """Round every floating column last, so both engines compare at fixed precision."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (DoubleType, FloatType)):
-            cols.append(F.round(F.col(f.name), digits).alias(f.name))
+            cols.append(scaled_round(F.col(f.name), digits).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
