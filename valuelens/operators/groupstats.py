@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 def np_round(c: Column, digits: int) -> Column:
     """Round the scaled binary value (numpy / pandas ``.round`` semantics; exact .5 ties go up)."""
     m = float(10**digits)
-    return F.round(c * m, 0) / m
+    r = F.round(c * m, 0)
+    return F.when(r == 0, c * 0.0).otherwise(r / m)
 
 
 def py_round(c: Column, digits: int) -> Column:

