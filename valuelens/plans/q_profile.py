@@ -159,9 +159,9 @@ def moments_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     "quality_rules",
     "WITH r AS (\n"
     + _union("SELECT '{c}' AS column_name, 'range[0,100]' AS rule, count({c}) AS n_checked, "
-             "count_if({c} < 0 OR {c} > 100) AS n_violations FROM lineitem", NUM_COLS)
-    + "\nUNION ALL\nSELECT 'l_returnflag', 'in{A,N}', count(l_returnflag), count_if(l_returnflag NOT IN ('A', 'N')) FROM lineitem"
-    + "\nUNION ALL\nSELECT 'l_linestatus', 'in{O,F}', count(l_linestatus), count_if(l_linestatus NOT IN ('O', 'F')) FROM lineitem"
+             "CAST(count_if({c} < 0 OR {c} > 100) AS BIGINT) AS n_violations FROM lineitem", NUM_COLS)
+    + "\nUNION ALL\nSELECT 'l_returnflag', 'in{A,N}', count(l_returnflag), CAST(count_if(l_returnflag NOT IN ('A', 'N')) AS BIGINT) FROM lineitem"
+    + "\nUNION ALL\nSELECT 'l_linestatus', 'in{O,F}', count(l_linestatus), CAST(count_if(l_linestatus NOT IN ('O', 'F')) AS BIGINT) FROM lineitem"
     + ")\nSELECT *, CAST(n_violations = 0 AS INTEGER) AS passed FROM r",
 )
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

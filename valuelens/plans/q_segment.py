@@ -40,8 +40,8 @@ SEASON_SQL = """
 season0 AS (
   SELECT o_custkey AS c_custkey, count(*) AS appearances,
          CAST(sum(floor(o_totalprice / 1000)) AS BIGINT) AS minutes_played,
-         count_if(o_orderstatus = 'F') AS goals, count_if(o_orderpriority = '1-URGENT') AS assists,
-         count_if(o_orderpriority = '2-HIGH') AS key_passes, count_if(o_orderstatus <> 'P') AS shots,
+         CAST(count_if(o_orderstatus = 'F') AS BIGINT) AS goals, CAST(count_if(o_orderpriority = '1-URGENT') AS BIGINT) AS assists,
+         CAST(count_if(o_orderpriority = '2-HIGH') AS BIGINT) AS key_passes, CAST(count_if(o_orderstatus <> 'P') AS BIGINT) AS shots,
          avg(o_totalprice) / 100000 AS market_value
   FROM orders GROUP BY o_custkey),
 season AS (
@@ -263,14 +263,15 @@ def per_unit_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     "totals_from_rates",
     "WITH " + SEASON_SQL + """,
 t AS (SELECT c_custkey, shots_per90, minutes_played, nullif(key_passes, 0) AS total FROM season)
-SELECT c_custkey, total,
+SELECT c_custkey, CAST(total IS NULL AS INTEGER) AS total_missing,
   CASE WHEN (total IS NULL OR total = 0) AND shots_per90 IS NOT NULL AND minutes_played > 0
        THEN CAST(round_even(shots_per90 * (minutes_played / 90.0::DOUBLE), 0) AS BIGINT) ELSE total END AS total_filled
 FROM t""",
 )
 def totals_from_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = season(spark, sf_dir).select("c_custkey", "shots_per90", "minutes_played", F.nullif("key_passes", F.lit(0)).alias("total"))
-    return s.select("c_custkey", "total", fe.total_from_rate("shots_per90", "minutes_played", "total").alias("total_filled"))
+    return s.select("c_custkey", F.col("total").isNull().cast("int").alias("total_missing"),
+                    fe.total_from_rate("shots_per90", "minutes_played", "total").alias("total_filled"))
 
 
 @register(
@@ -389,7 +390,7 @@ THEMES = [
     "theme_counts",
     "WITH d AS (SELECT doc_id, lower(text) AS t FROM documents),\nc AS (\n"
     + "\nUNION ALL\n".join(
-        f"SELECT '{name}' AS theme, {i} AS theme_ord, count_if(" + " OR ".join(f"contains(t, '{k}')" for k in kws) + ") AS n_items FROM d"
+        f"SELECT '{name}' AS theme, {i} AS theme_ord, CAST(count_if(" + " OR ".join(f"contains(t, '{k}')" for k in kws) + ") AS BIGINT) AS n_items FROM d"
         for i, (name, kws) in enumerate(THEMES)
     )
     + ")\nSELECT theme, theme_ord, n_items, round(n_items * 100.0 / sum(n_items) OVER (), 4) AS share_pct FROM c WHERE n_items > 0",

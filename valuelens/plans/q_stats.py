@@ -36,7 +36,7 @@ feat AS (
 
 
 def sql_n(a: str, b: str) -> str:
-    return f"count_if({a} IS NOT NULL AND {b} IS NOT NULL)"
+    return f"CAST(count_if({a} IS NOT NULL AND {b} IS NOT NULL) AS BIGINT)"
 
 
 def sql_corr(a: str, b: str) -> str:
@@ -312,7 +312,7 @@ WITH q AS (SELECT o_orderpriority, quantile_cont(o_totalprice, 0.25) AS q1, quan
 SELECT o.o_orderpriority, round(q1, 4) AS q1, round(median, 4) AS median, round(q3, 4) AS q3, round(q3 - q1, 4) AS iqr, count(*) AS n,
   round(min(CASE WHEN o_totalprice >= q1 - 1.5 * (q3 - q1) THEN o_totalprice END), 4) AS whisker_lo,
   round(max(CASE WHEN o_totalprice <= q3 + 1.5 * (q3 - q1) THEN o_totalprice END), 4) AS whisker_hi,
-  count_if(o_totalprice < q1 - 1.5 * (q3 - q1) OR o_totalprice > q3 + 1.5 * (q3 - q1)) AS n_outliers
+  CAST(count_if(o_totalprice < q1 - 1.5 * (q3 - q1) OR o_totalprice > q3 + 1.5 * (q3 - q1)) AS BIGINT) AS n_outliers
 FROM orders o JOIN q ON o.o_orderpriority = q.o_orderpriority
 WHERE o_totalprice IS NOT NULL
 GROUP BY o.o_orderpriority, q1, median, q3""",
