@@ -73,7 +73,7 @@ def top_k(df: DataFrame, col: str, k: int, tiebreak: Sequence[str] = (), ascendi
 def mean_above_mean(group_stats: DataFrame, col: str = "median") -> DataFrame:
     """P16 (groups above the mean of group medians)."""
     w = Window.partitionBy()
-    return group_stats.filter(F.col(col) > F.avg(col).over(w))
+    return group_stats.withColumn("__m", F.avg(col).over(w)).filter(F.col(col) > F.col("__m")).drop("__m")
 
 
 def mode_value(col: str) -> Column:
