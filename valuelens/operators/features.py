@@ -203,15 +203,16 @@ def fit_target_codes(train: DataFrame, col: str, target: str, fold: str) -> tupl
     (S_cat - S_cat,f) / (N_cat - N_cat,f), i.e. the category mean over the
     other folds; undefined when the category occurs in no other fold.
     """
-    cf = train.filter(F.col(col).isNotNull()).groupBy(col, fold).agg(
-        F.sum(target).alias("s_cf"), F.count(target).alias("n_cf")
-    )
+    # one scan of the training rows: (category, fold) sums, NULL category included so that the
+    # overall mean (fallback code) comes from the same small table
+    cf = train.groupBy(col, fold).agg(F.sum(target).alias("s_cf"), F.count(target).alias("n_cf"))
+    overall = cf.agg((F.sum("s_cf") / F.sum("n_cf")).alias("overall_mean"))
+    cf = cf.filter(F.col(col).isNotNull())
     c = cf.groupBy(col).agg(F.sum("s_cf").alias("s_c"), F.sum("n_cf").alias("n_c"))
     oof = cf.join(c, col).select(
         col, fold, F.try_divide(F.col("s_c") - F.col("s_cf"), (F.col("n_c") - F.col("n_cf")).cast("double")).alias("oof_code")
     )
     full = c.select(col, (F.col("s_c") / F.col("n_c")).alias("full_code"))
-    overall = train.agg(F.avg(target).alias("overall_mean"))
     return oof, full, overall
 
 
@@ -221,6 +222,16 @@ def transform_target_oof(train: DataFrame, col: str, fold: str, oof: DataFrame,
     return j.withColumn(out, F.coalesce(F.col("oof_code"), F.col("overall_mean"))).drop("oof_code", "overall_mean")
 
 
+def transform_target_by_split(df: DataFrame, col: str, fold: str, split: str, oof: DataFrame, full: DataFrame,
+                              overall: DataFrame, train_value: str = "train", out: str | None = None) -> DataFrame:
+    """M7 in one pass over all rows: training rows get their out-of-fold code, other splits the
+    full-train code; the code tables have one row per (category, fold) / category."""
+    out = out or f"{col}_target_enc"
+    j = df.join(oof, [col, fold], "left").join(full, col, "left").crossJoin(F.broadcast(overall))
+    code = F.when(F.col(split) == train_value, F.col("oof_code")).otherwise(F.col("full_code"))
+    return j.withColumn(out, F.coalesce(code, F.col("overall_mean"))).drop("oof_code", "full_code", "overall_mean")
+
+
 def transform_target_full(df: DataFrame, col: str, full: DataFrame, overall: DataFrame, out: str | None = None) -> DataFrame:
     out = out or f"{col}_target_enc"
     j = df.join(full, col, "left").crossJoin(F.broadcast(overall))

@@ -81,13 +81,9 @@ FROM base b LEFT JOIN oof ON b.cat = oof.cat AND b.fold = oof.fold LEFT JOIN c O
 )
 def target_encode_oof(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = encoded_orders(spark, sf_dir)
-    train = base.filter(F.col("split") == "train")
-    rest = base.filter(F.col("split") != "train")
-    oof, full, overall = fe.fit_target_codes(train, "cat", "y", "fold")
-    a = fe.transform_target_oof(train, "cat", "fold", oof, overall)
-    b = fe.transform_target_full(rest, "cat", full, overall)
-    out = a.unionByName(b).select("o_orderkey", "split", "fold", "cat_target_enc")
-    return round_doubles(out, 6)
+    oof, full, overall = fe.fit_target_codes(base.filter(F.col("split") == "train"), "cat", "y", "fold")
+    out = fe.transform_target_by_split(base, "cat", "fold", "split", oof, full, overall)
+    return round_doubles(out.select("o_orderkey", "split", "fold", "cat_target_enc"), 6)
 
 
 @register("hash_split", f"SELECT o_orderkey, {SPLIT_SQL} AS split FROM orders")
