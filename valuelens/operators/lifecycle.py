@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from valuelens.functions.segment import right_closed_bins
+from valuelens.operators.groupstats import np_round
 
 
 def _median(col: str, approx: bool) -> Column:
@@ -23,11 +24,19 @@ def _median(col: str, approx: bool) -> Column:
 
 
 def centered_mean(col: str, order: Column | str, partition: list[str] | None = None, width: int = 3) -> Column:
-    """Centered rolling mean over ``width`` rows; NULL unless the window is full."""
+    """Centered rolling mean over ``width`` (odd) rows; NULL unless all ``width`` values exist.
+
+    Written as lag / lead terms added in row order and divided by ``width``:
+    a missing neighbour (either end, or a NULL value) makes the sum NULL, and
+    the arithmetic is the same in any engine.
+    """
     half = width // 2
     w = Window.orderBy(order) if not partition else Window.partitionBy(*partition).orderBy(order)
-    w = w.rowsBetween(-half, half)
-    return F.when(F.count(col).over(w) == width, F.avg(col).over(w))
+    terms = [F.lag(col, k).over(w) for k in range(half, 0, -1)] + [F.col(col)] + [F.lead(col, k).over(w) for k in range(1, half + 1)]
+    total = terms[0]
+    for t in terms[1:]:
+        total = total + t
+    return total / width
 
 
 def key_stats(df: DataFrame, keys: list[str], value: str, approx: bool = False, with_std: bool = True) -> DataFrame:
@@ -152,8 +161,8 @@ def phase_summary(curve: DataFrame, key: str, edges=PHASE_EDGES, labels=PHASE_LA
         right_closed_bins(F.col(key), edges, list(range(len(labels)))).alias("phase_ord"),
     ).filter(F.col("phase").isNotNull())
     return phased.groupBy("phase", "phase_ord").agg(
-        F.round(F.avg("mean"), 2).alias("avg_value"),
-        F.round(F.avg("median"), 2).alias("median"),
+        np_round(F.avg("mean"), 2).alias("avg_value"),
+        np_round(F.avg("median"), 2).alias("median"),
         F.sum("count").alias("count"),
     )
 

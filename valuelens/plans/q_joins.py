@@ -134,3 +134,22 @@ def top_bottom_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     m = c.join(n, c.c_nationkey == n.n_nationkey).groupBy("n_name").agg(F.avg("c_acctbal").alias("mean_bal"))
     return round_doubles(dd.top_bottom_union(m, "mean_bal", 3, ["n_name"]))
+
+
+@register(
+    "parent_child_expand",
+    """
+SELECT r_name, n_name, c_custkey FROM region JOIN nation ON r_regionkey = n_regionkey JOIN customer ON n_nationkey = c_nationkey
+WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')""",
+)
+def parent_child_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Region -> nations -> customers, keeping children that have a report (a finished order)."""
+    from valuelens.sources.html import expand_children
+
+    r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    reports = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F").select(F.col("o_custkey").alias("c_custkey"))
+    nations = expand_children(r, n, "r_regionkey", "n_regionkey", "n_nationkey")
+    out = expand_children(nations, c, "n_nationkey", "c_nationkey", "c_custkey", has_report=reports)
+    return out.select("r_name", "n_name", "c_custkey")

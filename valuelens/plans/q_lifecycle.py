@@ -25,13 +25,13 @@ stats AS (
   GROUP BY p_size),
 win AS (
   SELECT *,
-    CASE WHEN count(mean) OVER w3 = 3 THEN avg(mean) OVER w3 END AS mean_smooth,
-    CASE WHEN count(median) OVER w3 = 3 THEN avg(median) OVER w3 END AS median_smooth,
+    (lag(mean) OVER o + mean + lead(mean) OVER o) / 3 AS mean_smooth,
+    (lag(median) OVER o + median + lead(median) OVER o) / 3 AS median_smooth,
     std / mean * 100 AS cv,
     mean - lag(mean) OVER o AS value_change,
     (mean / lag(mean) OVER o - 1) * 100 AS value_change_pct
   FROM stats
-  WINDOW w3 AS (ORDER BY p_size ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING), o AS (ORDER BY p_size)),
+  WINDOW o AS (ORDER BY p_size)),
 curve AS (
   SELECT *, value_change_pct - lag(value_change_pct) OVER (ORDER BY p_size) AS acceleration FROM win)
 """
@@ -150,3 +150,53 @@ def phase_roi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lifecycle_curve(spark, sf_dir)
+
+
+@register(
+    "top_keys",
+    "WITH " + _STATS_CTE + """
+SELECT p_size, round(mean, 4) AS mean, round(median, 4) AS median, "count" FROM stats ORDER BY mean DESC, p_size LIMIT 10""",
+)
+def top_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3 on the curve: the 10 keys with the highest mean value."""
+    from valuelens.operators.groupstats import top_k
+
+    curve = _curve(spark, sf_dir).select("p_size", "mean", "median", "count")
+    return round_doubles(top_k(curve, "mean", 10, ["p_size"]))
+
+
+@register(
+    "phase_summary",
+    "WITH " + _STATS_CTE + """,
+phased AS (
+  SELECT mean, median, "count",
+    CASE WHEN p_size > 0 AND p_size <= 21 THEN 'Developing (≤21)' WHEN p_size > 21 AND p_size <= 25 THEN 'Peak Entry (22-25)'
+         WHEN p_size > 25 AND p_size <= 29 THEN 'Prime Peak (26-29)' WHEN p_size > 29 AND p_size <= 100 THEN 'Decline (30+)' END AS phase,
+    CASE WHEN p_size > 0 AND p_size <= 21 THEN 0 WHEN p_size > 21 AND p_size <= 25 THEN 1
+         WHEN p_size > 25 AND p_size <= 29 THEN 2 WHEN p_size > 29 AND p_size <= 100 THEN 3 END AS phase_ord
+  FROM stats)
+SELECT phase, phase_ord, round(avg(mean), 2) AS avg_value, round(avg(median), 2) AS median, CAST(sum("count") AS BIGINT) AS "count"
+FROM phased WHERE phase IS NOT NULL GROUP BY phase, phase_ord""",
+)
+def phase_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F26 + A17: mean of key means / medians and total count per life-cycle phase."""
+    return lc.phase_summary(_curve(spark, sf_dir), "p_size")
+
+
+@register(
+    "group_curve_smooth",
+    """
+WITH cells AS (
+  SELECT p_type, p_size, avg(l_extendedprice) AS mean, count(*) AS n
+  FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_type, p_size)
+SELECT p_type, p_size, round(mean, 4) AS mean, n,
+  round((lag(mean) OVER w + mean + lead(mean) OVER w) / 3, 4) AS mean_smooth
+FROM cells WINDOW w AS (PARTITION BY p_type ORDER BY p_size)""",
+)
+def group_curve_smooth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Centred 3-row moving mean of the per-group curve (window partitioned by group)."""
+    from pyspark.sql import functions as F
+
+    cells = priced_parts(spark, sf_dir).groupBy("p_type", "p_size").agg(
+        F.avg("l_extendedprice").alias("mean"), F.count(F.lit(1)).alias("n"))
+    return round_doubles(cells.withColumn("mean_smooth", lc.centered_mean("mean", "p_size", ["p_type"])))

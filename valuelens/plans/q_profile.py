@@ -191,3 +191,62 @@ def text_number_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.regexp_extract("props", r"\d+", 0).alias("props_k"),
     )
     return round_doubles(pr.text_number_detect(t))
+
+
+@register(
+    "global_summary",
+    """SELECT round(min(o_totalprice), 4) AS min, round(max(o_totalprice), 4) AS max, round(avg(o_totalprice), 4) AS mean,
+       round(median(o_totalprice), 4) AS median, round(stddev_samp(o_totalprice), 4) AS std FROM orders""",
+)
+def global_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10: min / max / mean / median / std of one column."""
+    return round_doubles(pr.global_summary(table(spark, sf_dir, "orders"), "o_totalprice"))
+
+
+@register(
+    "null_bands",
+    "WITH " + SPARSE_LINEITEM_SQL + ",\nnp AS (\n"
+    + _union("SELECT '{c}' AS column_name, (count(*) - count({c})) * 100.0 / count(*) AS null_pct FROM sparse", SPARSE_COLS)
+    + """)
+SELECT column_name, round(null_pct, 4) AS null_pct,
+  CASE WHEN null_pct > 80 THEN 'critical' WHEN null_pct > 50 THEN 'high' WHEN null_pct > 20 THEN 'moderate' ELSE 'low' END AS status
+FROM np WHERE null_pct > 0""",
+)
+def null_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 + P24: columns with missing values and a status band of their null %."""
+    from valuelens.functions.segment import band
+
+    p = pr.null_profile(sparse_lineitem(spark, sf_dir), min_pct=0.0)
+    p = p.select("column_name", "null_pct", band("null_pct", [80, 50, 20], ["critical", "high", "moderate", "low"]).alias("status"))
+    return round_doubles(p)
+
+
+_STATS_ORDER = ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]
+
+
+@register(
+    "describe_long",
+    "WITH d AS (\n" + _union(
+        "SELECT '{c}' AS column_name, CAST(count({c}) AS DOUBLE) AS count, avg({c}) AS mean, stddev_samp({c}) AS std, "
+        "min({c}) AS min, quantile_cont({c}, 0.25) AS q25, quantile_cont({c}, 0.5) AS q50, quantile_cont({c}, 0.75) AS q75, "
+        "max({c}) AS max FROM lineitem", NUM_COLS)
+    + ")\n" + "\nUNION ALL\n".join(
+        f"SELECT column_name, '{s}' AS stat, round({s}, 4) AS value FROM d" for s in _STATS_ORDER),
+)
+def describe_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The describe table transposed to (column, stat, value)."""
+    d = pr.describe_numeric(table(spark, sf_dir, "lineitem"), NUM_COLS).withColumn("count", F.col("count").cast("double"))
+    long = d.unpivot(["column_name"], _STATS_ORDER, "stat", "value")
+    return round_doubles(long)
+
+
+@register(
+    "preview",
+    "SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM lineitem\n"
+    "ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice LIMIT 5",
+)
+def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First rows under an explicit order (head)."""
+    li = table(spark, sf_dir, "lineitem")
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+    return li.orderBy(*order).limit(5).select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")

@@ -400,3 +400,24 @@ def theme_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return round_doubles(tc(docs, "text", THEMES))
+
+
+@register(
+    "groups_above_mean",
+    "WITH " + _GS_SQL + " SELECT o_orderpriority, median FROM gs WHERE median > (SELECT avg(median) FROM gs)",
+)
+def groups_above_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups whose (rounded) median is above the mean of the group medians."""
+    return round_doubles(gs.mean_above_mean(_group_stats(spark, sf_dir), "median").select("o_orderpriority", "median"))
+
+
+@register(
+    "template_export",
+    "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders ORDER BY o_orderkey LIMIT 3",
+)
+def template_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K9: first 3 rows by key without the target column (a template for upload)."""
+    from valuelens.sinks.writers import template
+
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    return template(o, "o_orderkey", "o_totalprice", 3)

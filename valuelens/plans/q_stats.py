@@ -319,3 +319,50 @@ GROUP BY o.o_orderpriority, q1, median, q3""",
 )
 def boxplot_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(st.boxplot_summary(table(spark, sf_dir, "orders"), "o_orderpriority", "o_totalprice"))
+
+
+@register(
+    "sign_counts",
+    f"""WITH {FEAT_SQL}, {TARGET_SQL}
+SELECT CAST(count_if(corr > 0.2) AS BIGINT) AS n_positive, CAST(count_if(corr < -0.2) AS BIGINT) AS n_negative FROM tc""",
+)
+def sign_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of features with r > 0.2 and with r < -0.2."""
+    from valuelens.operators.themes import sign_counts as sc
+
+    return sc(_target_corr(spark, sf_dir))
+
+
+@register(
+    "value_by_segment",
+    """
+WITH s AS (
+  SELECT o_custkey, count(*) AS appearances, CAST(sum(floor(o_totalprice / 1000)) AS BIGINT) AS minutes_played,
+         avg(o_totalprice) / 100000 AS market_value FROM orders GROUP BY o_custkey),
+c AS (SELECT regr_slope(market_value, appearances) AS b, regr_intercept(market_value, appearances) AS a FROM s),
+r AS (SELECT market_value - (a + b * appearances) AS residual, market_value,
+        CASE WHEN minutes_played / 10 > 0 AND minutes_played / 10 <= 900 THEN 'Low (<900)'
+             WHEN minutes_played / 10 > 900 AND minutes_played / 10 <= 2000 THEN 'Medium (900-2000)'
+             WHEN minutes_played / 10 > 2000 THEN 'High (>2000)' END AS minutes_band FROM s, c),
+g AS (SELECT minutes_band, count(*) AS n, avg(market_value) AS mean_value, avg(residual) AS mean_residual FROM r GROUP BY 1),
+d AS (SELECT 'Low (<900)' AS minutes_band UNION ALL SELECT 'Medium (900-2000)' UNION ALL SELECT 'High (>2000)')
+SELECT d.minutes_band, coalesce(g.n, 0) AS n, round(g.mean_value, 4) AS mean_value, round(g.mean_residual, 4) AS mean_residual
+FROM d LEFT JOIN g USING (minutes_band)""",
+)
+def value_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M24 (+ A29, F26, A40): value and value net of a linear control per playing-time band, all bands listed."""
+    from valuelens.functions.segment import right_closed_bins
+    from valuelens.operators.groupstats import domain_complete
+    from valuelens.plans.q_segment import MINUTE_EDGES, MINUTE_LABELS
+
+    o = table(spark, sf_dir, "orders")
+    s = o.groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("appearances"), F.sum(F.floor(F.col("o_totalprice") / 1000)).cast("bigint").alias("minutes_played"),
+        (F.avg("o_totalprice") / 100000).alias("market_value"))
+    r = st.linear_residuals(s.withColumn("appearances", F.col("appearances").cast("double")), "market_value", "appearances",
+                            keep=["minutes_played"])
+    r = r.withColumn("minutes_band", right_closed_bins(F.col("minutes_played") / 10, MINUTE_EDGES, MINUTE_LABELS))
+    g = r.groupBy("minutes_band").agg(F.count(F.lit(1)).alias("n"), F.avg("market_value").alias("mean_value"),
+                                      F.avg("residual").alias("mean_residual"))
+    labels = spark.createDataFrame([(lab,) for lab in MINUTE_LABELS], "minutes_band string")
+    return round_doubles(domain_complete(labels, "minutes_band", g, {"n": 0}))
