@@ -49,7 +49,11 @@ def _fitted(spark: SparkSession, sf_dir: str, name: str):
             pipe = ml.gbt_x(FEATURES, LABEL, **GBT_QUERY)
         else:
             pipe = ml.gbt_l(FEATURES, LABEL, **GBT_QUERY)
-        _MODELS[key] = pipe.fit(train)
+        # the tree learner scans its input several times (metadata, split candidates, one pass per
+        # level): keep the joined training rows instead of recomputing the 4-way join each time
+        cached = train.select(*FEATURES, LABEL).persist()
+        _MODELS[key] = pipe.fit(cached)
+        cached.unpersist()
     return _MODELS[key]
 
 
