@@ -81,3 +81,12 @@ FROM h WHERE href <> ''""",
 )
 def extract_list_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hx.extract_list_items(table(spark, sf_dir, "pages"))
+
+
+@register("page_records")
+def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S12 + S13/S14 + J5 + F6 + F7 + W9 + K2: 70-column player records from every stored page
+    (fields a page does not carry stay NULL / 0): rows-only check."""
+    from valuelens.plans.scrape import records_from_pages
+
+    return records_from_pages(table(spark, sf_dir, "pages"), as_of="2025-03-01")

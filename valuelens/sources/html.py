@@ -136,3 +136,53 @@ def expand_children(parents: DataFrame, links: DataFrame, parent_key: str, link_
     if has_report is not None:
         out = out.join(has_report.select(child_key).distinct(), child_key, "left_semi")
     return out
+
+
+def club_player_rows(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
+                     table_prefix: str = "stats_standard") -> DataFrame:
+    """S11 on club pages: rows of the standard-stats table (in the open, or inside a comment when
+    absent) that have a linked player cell -> name, absolute URL and six typed basics."""
+    from valuelens.functions.text import clean_number
+
+    h = F.col(html_col)
+    tab_re = r'(?s)<table[^>]*id="' + table_prefix + r'[^"]*"[^>]*>(.*?)</table>'
+    direct = F.regexp_extract_all(h, F.lit(tab_re), 1)
+    commented = F.flatten(F.transform(F.regexp_extract_all(h, F.lit(COMMENT_RE), 1), lambda c: F.regexp_extract_all(c, F.lit(tab_re), 1)))
+    tables = F.when(F.size(direct) > 0, direct).otherwise(commented)
+    attrs = F.flatten(F.transform(tables, lambda t: F.regexp_extract_all(t, F.lit(ROW_RE), 1)))
+    bodies = F.flatten(F.transform(tables, lambda t: F.regexp_extract_all(t, F.lit(ROW_RE), 2)))
+    z = pages.select(id_col, url_col, F.posexplode(F.arrays_zip(attrs.alias("a"), bodies.alias("b"))).alias("p", "r"))
+    z = z.filter(~F.col("r.a").contains("thead"))
+    player = F.regexp_extract(F.col("r.b"), r'(?s)<th[^>]*data-stat="player"[^>]*>(.*?)</th>', 1)
+    href = F.regexp_extract(player, r'<a href="([^"]*)"', 1)
+
+    def stat(name: str, allow_float: bool = True):
+        txt = F.regexp_extract(F.col("r.b"), r'(?s)<td[^>]*data-stat="' + name + r'"[^>]*>(.*?)</td>', 1)
+        return clean_number(strip_tags(txt), allow_float)
+
+    return z.filter(href != "").select(
+        id_col, (F.col("p") + 1).alias("pos"), strip_tags(player).alias("player_name"),
+        absolute_href(href, F.col(url_col)).alias("player_url"),
+        stat("games", False).cast("int").alias("appearances"), stat("minutes", False).cast("int").alias("minutes_played"),
+        stat("goals", False).cast("int").alias("goals"), stat("assists", False).cast("int").alias("assists"),
+        stat("xg").alias("xG"), stat("xg_assist").alias("xAG"),
+    )
+
+
+def profile_fields(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    """Name (h1), nationality (first /country/ link), date of birth (necro-birth data attribute),
+    height (a span ending in 'cm'), position and foot (regex on the text, non-breaking spaces as spaces)."""
+    from valuelens.functions.text import parse_height_cm, regex_capture
+
+    h = F.col(html_col)
+    text = F.regexp_replace(F.regexp_replace(h, TAG_RE, " "), "&nbsp;", " ")
+    height_txt = F.regexp_extract(h, r"<span[^>]*>\s*([0-9.,]+\s*cm)\s*</span>", 1)
+    return pages.select(
+        id_col,
+        F.nullif(strip_tags(F.regexp_extract(h, r"(?s)<h1[^>]*>(.*?)</h1>", 1)), F.lit("")).alias("player_name"),
+        F.nullif(strip_tags(F.regexp_extract(h, r'<a href="[^"]*/country/[^"]*"[^>]*>(.*?)</a>', 1)), F.lit("")).alias("nationality"),
+        F.nullif(F.regexp_extract(h, r'<span(?=[^>]*id="necro-birth")[^>]*data-birth="([^"]+)"', 1), F.lit("")).alias("dob"),
+        parse_height_cm(F.nullif(height_txt, F.lit(""))).alias("height"),
+        regex_capture(text, r"Position:\s*([A-Za-z0-9\-]+)").alias("position"),
+        regex_capture(text, r"Footed:\s*([A-Za-z]+)").alias("foot"),
+    )
