@@ -32,10 +32,11 @@ def records_from_pages(player_pages: DataFrame, as_of: str, club_rows: DataFrame
     pairs = pairs.withColumn("value", signed_number("per90"))
     wide = label_to_wide(pairs, "page_id", "stat_label", "value", ["pos"], stat_mapping(spark), mapped_fields(), kind_col="kind")
     rec = prof.join(wide, "page_id", "left").join(player_pages.select("page_id", F.col("url").alias("player_url")), "page_id")
+    rec = rec.withColumns({c: F.lit(None).cast("int") for c in BASICS})
     if club_rows is not None:
         basics = club_rows.select("player_url", *BASICS, *[c for c in ["league", "current_club"] if c in club_rows.columns])
         basics = basics.dropDuplicates(["player_url"])
-        rec = overlay(rec.withColumns({c: F.lit(None).cast("int") for c in BASICS}), basics, "player_url", BASICS)
+        rec = overlay(rec, basics, "player_url", BASICS)
         for c in ["league", "current_club"]:
             if c in basics.columns:
                 rec = rec.join(basics.select("player_url", F.col(c).alias(f"__{c}")), "player_url", "left").withColumn(
