@@ -68,3 +68,34 @@ def test_stream_scoring_equals_batch(spark):
     streamed = spark.read.parquet(f"{root}/out").select("l_orderkey", "l_linenumber", "predicted_value")
     batch = ml.predict_value(model, li, log_target=False).select("l_orderkey", "l_linenumber", "predicted_value")
     assert streamed.exceptAll(batch).count() == 0 and streamed.count() == li.count()
+
+
+def test_model_loading_tolerates_missing(spark):
+    from valuelens.operators import learn as ml
+    from valuelens.operators.serving import input_features, load_models, model_registry
+    from valuelens.sinks.writers import save_model
+
+    li = table(spark, SF_SMALL, "lineitem").select("l_quantity", "l_tax", "l_extendedprice")
+    m = ml.random_forest(["l_quantity", "l_tax"], "l_extendedprice", numTrees=2, maxDepth=2).fit(li)
+    root = jobs.scratch(spark, "t-models")
+    save_model(m, f"{root}/rf")
+    paths = {"rf": f"{root}/rf", "gbt": f"{root}/missing"}
+    models = load_models(paths)
+    assert models["gbt"] is None and models["rf"] is not None
+    assert {r.model: r.available for r in model_registry(spark, paths, models).collect()} == {"rf": True, "gbt": False}
+    assert input_features(models) == ["l_quantity", "l_tax"]
+
+
+def test_bad_rows_go_to_rejects(spark):
+    from pyspark.sql.types import DoubleType, StructField, StructType
+
+    from valuelens.operators.serving import split_rejects
+    from valuelens.sources.files import read_csv
+
+    root = tempfile.mkdtemp(prefix="vl-bad-")
+    with open(f"{root}/a.csv", "w") as fh:
+        fh.write("a,b\n1.5,2\nnot-a-number,3\n4,5\n")
+    schema = StructType([StructField("a", DoubleType()), StructField("b", DoubleType())])
+    df = read_csv(spark, root, schema, bad_records=True).cache()
+    good, bad = split_rejects(df)
+    assert good.count() == 2 and bad.count() == 1

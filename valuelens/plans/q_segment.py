@@ -421,3 +421,45 @@ def template_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
     return template(o, "o_orderkey", "o_totalprice", 3)
+
+
+_PARTIAL_SQL = """
+partial AS (
+  SELECT s.c_custkey, CAST(17 + s.c_custkey % 19 AS DOUBLE) AS age, c.c_nationkey AS nationality, s.appearances,
+         s.minutes_played, s.goals, s.assists,
+         CASE WHEN s.minutes_played > 0 THEN s.goals * 90.0::DOUBLE / s.minutes_played ELSE 0.0::DOUBLE END AS goals_per_90,
+         CAST(s.key_passes AS DOUBLE) AS progressive_carries_per90, CAST(s.shots AS DOUBLE) AS progressive_passes_per90,
+         coalesce(s.shots_per90, 0.0::DOUBLE) AS sca_per90, CAST(s.appearances * 3 AS DOUBLE) AS passes_completed_per90,
+         CASE c.c_mktsegment WHEN 'AUTOMOBILE' THEN 'Forward' WHEN 'BUILDING' THEN 'Defender' ELSE 'Midfielder' END AS position
+  FROM season s JOIN customer c ON s.c_custkey = c.c_custkey)
+"""
+
+
+def _profile_sql() -> str:
+    from valuelens.operators.serving import DERIVED_DEFAULTS
+
+    cols = ", ".join(f"round({e}, 6) AS {n}" if "is_" not in n else f"{e} AS {n}" for n, e in DERIVED_DEFAULTS)
+    return "WITH " + SEASON_SQL + "," + _PARTIAL_SQL + f"SELECT c_custkey, {cols} FROM partial"
+
+
+@register("profile_expansion", _profile_sql().replace("AS INT)", "AS INTEGER)"))
+def profile_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Derived defaults for partial scoring profiles built from the season table."""
+    from valuelens.operators.serving import DERIVED_DEFAULTS, expand_profiles
+
+    s = season(spark, sf_dir)
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    m = F.col("minutes_played")
+    partial = s.join(c, "c_custkey").select(
+        "c_custkey", (17 + F.col("c_custkey") % 19).cast("double").alias("age"), F.col("c_nationkey").alias("nationality"),
+        "appearances", "minutes_played", "goals", "assists",
+        F.when(m > 0, F.col("goals") * 90.0 / m).otherwise(0.0).alias("goals_per_90"),
+        F.col("key_passes").cast("double").alias("progressive_carries_per90"),
+        F.col("shots").cast("double").alias("progressive_passes_per90"),
+        F.coalesce("shots_per90", F.lit(0.0)).alias("sca_per90"),
+        (F.col("appearances") * 3).cast("double").alias("passes_completed_per90"),
+        F.when(F.col("c_mktsegment") == "AUTOMOBILE", "Forward").when(F.col("c_mktsegment") == "BUILDING", "Defender")
+        .otherwise("Midfielder").alias("position"),
+    )
+    out = expand_profiles(partial).select("c_custkey", *[n for n, _ in DERIVED_DEFAULTS])
+    return round_doubles(out, 6)
