@@ -114,3 +114,15 @@ def test_anova_matches_formula(spark):
     f = (ssb / (k - 1)) / (ssw / (n - k))
     assert abs(a.f_stat - f) < 1e-8 * max(1, f)
     assert 0 <= a.p_value <= 1
+
+
+def test_position_in_group_matches_window_on_hot_group(spark):
+    from pyspark.sql import Window
+
+    # one hot group holding most rows, plus small ones
+    df = spark.range(5000).select(F.col("id"), F.when(F.col("id") % 10 < 8, F.lit("hot")).otherwise(
+        (F.col("id") % 7).cast("string")).alias("g"))
+    got = dd.position_in_group(df, ["g"], ["id"], "seq", partitions=16)
+    exp = df.withColumn("seq", F.row_number().over(Window.partitionBy("g").orderBy("id")) - 1)
+    assert got.select("id", "g", "seq").exceptAll(exp.select("id", "g", "seq")).count() == 0
+    assert got.count() == 5000

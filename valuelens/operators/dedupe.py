@@ -43,18 +43,52 @@ def step_audit(before: DataFrame, after: DataFrame, step: str) -> DataFrame:
     )
 
 
-def collision_suffix(df: DataFrame, base: str, scope: Sequence[str], order: Sequence[str], out: str = "id") -> DataFrame:
+def position_in_group(df: DataFrame, group: Sequence[str], order: Sequence[str], out: str = "_seq",
+                      partitions: int | None = None, materialize: bool = True) -> DataFrame:
+    """0-based position of each row inside its group by ``order``; exact and safe for hot groups.
+
+    A ``row_number`` window would sort a whole group in one task. Instead the
+    rows are range-partitioned on (group, order) -- the sampled range bounds
+    split a hot group over many tasks -- numbered inside each (range
+    partition, group), and shifted by the row counts of the same group in
+    earlier range partitions (a small table: one row per partition and group
+    present in it). ``order`` must make rows unique within a group for the
+    result to be deterministic.
+    """
+    keys = [*group, *order]
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *keys).withColumn("__pid", F.spark_partition_id())
+    if materialize:
+        # the partition id must be the same for both consumers below (counts and numbering):
+        # write it once to the shared checkpoint folder instead of relying on exchange reuse
+        from valuelens.session import cut_lineage
+
+        ranged = cut_lineage(ranged)
+    counts = ranged.groupBy("__pid", *group).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    local = ranged.withColumn("__rn", F.row_number().over(Window.partitionBy("__pid", *group).orderBy(*order)))
+    j = local.join(offsets, ["__pid", *group], "left")
+    return j.withColumn(out, F.col("__off") + F.col("__rn") - 1).drop("__pid", "__rn", "__off")
+
+
+def collision_suffix(df: DataFrame, base: str, scope: Sequence[str], order: Sequence[str], out: str = "id",
+                     method: str = "range") -> DataFrame:
     """First row of a (scope, base) group keeps the base id, later ones get '-1', '-2', ...
 
-    The numbering needs the order inside each group, so it is a window
-    partitioned by (scope, base): one group is sorted by one task (external
-    sort, spills when large).
+    ``range`` (default) numbers rows with :func:`position_in_group`, which
+    spreads a hot group over many tasks; ``window`` is the plain
+    ``row_number`` over (scope, base), one group per task.
     """
-    w = Window.partitionBy(*scope, base).orderBy(*order)
-    k = F.row_number().over(w) - 1
-    return df.withColumn(
+    if method == "window":
+        k = F.row_number().over(Window.partitionBy(*scope, base).orderBy(*order)) - 1
+        numbered = df.withColumn("__k", k)
+    else:
+        numbered = position_in_group(df, [*scope, base], order, "__k")
+    k = F.col("__k")
+    return numbered.withColumn(
         out, F.when(k == 0, F.col(base)).otherwise(F.concat(F.col(base), F.lit("-"), k.cast("string")))
-    )
+    ).drop("__k")
 
 
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
