@@ -52,6 +52,22 @@ def gbt_l(features: Sequence[str], label: str, **params) -> Pipeline:
     return _pipeline(features, label, GBTRegressor(**p))
 
 
+def training_input(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Persisted, evenly partitioned training rows.
+
+    Tree induction scans its input once per level; after a join, AQE sizes
+    partitions for SQL (128 MB advisory) and can leave fewer partitions than
+    cores, so the learner would run on a few tasks. The rows are spread over
+    max(2 x default parallelism, spark.sql.shuffle.partitions) partitions and
+    kept (memory, spilling to disk) for the passes of one fit.
+    """
+    spark = df.sparkSession
+    n = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    from pyspark import StorageLevel
+
+    return df.select(*cols).repartition(n).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def fit_timed(pipeline: Pipeline, train: DataFrame) -> tuple[PipelineModel, float]:
     t0 = time.time()
     m = pipeline.fit(train)

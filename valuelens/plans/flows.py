@@ -321,9 +321,10 @@ def train(df: DataFrame, target: str = TARGET, key: str = "player_id", models=("
     parts = {k: cut_lineage(v.fillna(0, subset=[c for c in feats if c in v.columns]).select(*[c for c in keep if c in v.columns]))
              for k, v in parts.items()}
     builders = {"rf": ml.random_forest, "gbt_x": ml.gbt_x, "gbt_l": ml.gbt_l}
+    train_rows = ml.training_input(parts["train"], parts["train"].columns)
     fitted, rows = {}, []
     for name in models:
-        m, secs = ml.fit_timed(builders[name](feats, "__y", **model_params.get(name, {})), parts["train"])
+        m, secs = ml.fit_timed(builders[name](feats, "__y", **model_params.get(name, {})), train_rows)
         fitted[name] = m
         scored = {s: m.transform(p) for s, p in parts.items()}
         met = ml.model_metrics(name, scored, "__y", target).withColumn("train_s", F.lit(secs)).first()

@@ -51,7 +51,7 @@ def _fitted(spark: SparkSession, sf_dir: str, name: str):
             pipe = ml.gbt_l(FEATURES, LABEL, **GBT_QUERY)
         # the tree learner scans its input several times (metadata, split candidates, one pass per
         # level): keep the joined training rows instead of recomputing the 4-way join each time
-        cached = train.select(*FEATURES, LABEL).persist()
+        cached = ml.training_input(train, [*FEATURES, LABEL])
         _MODELS[key] = pipe.fit(cached)
         cached.unpersist()
     return _MODELS[key]
@@ -80,7 +80,7 @@ def gbt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("cv_scores")
 def cv_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """5-fold R^2 of the forest on the training split (hash folds), with mean / std / stability."""
-    train = model_table(spark, sf_dir).filter(F.col("split") == "train").select(*FEATURES, LABEL, "fold").persist()
+    train = ml.training_input(model_table(spark, sf_dir).filter(F.col("split") == "train"), [*FEATURES, LABEL, "fold"])
     folds = ml.cv_fold_scores(ml.random_forest(FEATURES, LABEL, **{**RF_QUERY, "numTrees": 10}), train, LABEL, "fold", 5)
     return round_doubles(folds.crossJoin(ml.cv_summary(folds)), 6)
 
@@ -88,7 +88,7 @@ def cv_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("grid_best")
 def grid_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-validated grid over depth and trees on the training split; ranked grid table."""
-    train = model_table(spark, sf_dir).filter(F.col("split") == "train").select(*FEATURES, LABEL, "fold").persist()
+    train = ml.training_input(model_table(spark, sf_dir).filter(F.col("split") == "train"), [*FEATURES, LABEL, "fold"])
     _, tbl = ml.grid_search(ml.random_forest(FEATURES, LABEL, **{**RF_QUERY, "numTrees": 10}),
                             {"maxDepth": [4, 8], "numTrees": [5, 10]}, train, LABEL, "fold", parallelism=2)
     return round_doubles(tbl, 6)
