@@ -185,9 +185,16 @@ def transform_frequency(df: DataFrame, col: str, codes: DataFrame, default: int
 
 
 def fit_label_codes(df: DataFrame, col: str) -> DataFrame:
-    """M6 fit: lexicographic code 0..k-1 of the distinct values (text form, NULL as 'nan')."""
+    """M6 fit: lexicographic code 0..k-1 of the distinct values (text form, NULL as 'nan').
+
+    The code is each distinct value's position in sorted order, computed by
+    range partitioning + per-partition offsets (no single-task window over
+    all distinct values, which can be as many as the rows)."""
+    from valuelens.operators.dedupe import position_in_group
+
     vals = df.select(F.coalesce(F.col(col).cast("string"), F.lit("nan")).alias(col)).distinct()
-    return vals.withColumn(f"{col}_label_enc", F.dense_rank().over(Window.orderBy(col)) - 1)
+    return position_in_group(vals, [], [col], f"{col}_label_enc").withColumn(
+        f"{col}_label_enc", F.col(f"{col}_label_enc").cast("int"))
 
 
 def transform_label_codes(df: DataFrame, col: str, codes: DataFrame, unseen: int = -1) -> DataFrame:

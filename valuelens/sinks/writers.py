@@ -57,7 +57,7 @@ def template(df: DataFrame, order_by: str, target: str, n: int = 3) -> DataFrame
     return df.orderBy(order_by).limit(n).drop(target)
 
 
-def feature_table(df_spark_session, features: Sequence[str], categoricals: Sequence[str] = ()) -> DataFrame:
+def feature_table(spark, features: Sequence[str], categoricals: Sequence[str] = ()) -> DataFrame:
     """The model's input features as a table (position, feature, is_categorical)."""
     rows = [(i, f, f in set(categoricals)) for i, f in enumerate(features)]
-    return df_spark_session.createDataFrame(rows, "position int, feature string, is_categorical boolean")
+    return spark.createDataFrame(rows, "position int, feature string, is_categorical boolean")
