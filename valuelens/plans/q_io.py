@@ -34,3 +34,14 @@ def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch(spark, "json-roundtrip")
     assert writers.write_json_lines(c, f"{root}/json")
     return files.read_json_records(spark, f"{root}/json", c.schema)
+
+
+@register("partitioned_write", _CUSTOMER_SQL + " WHERE c_mktsegment = 'BUILDING'")
+def partitioned_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: one folder per segment (spaces -> '_'); reading one segment back prunes the others
+    (the filter on the partition column becomes a partition filter, not a scan of every file)."""
+    c = table(spark, sf_dir, "customer")
+    root = scratch(spark, "by-league")
+    writers.write_by_league(c, f"{root}/out", col="c_mktsegment")
+    back = spark.read.parquet(f"{root}/out").filter(F.col("c_mktsegment_part") == "BUILDING")
+    return back.select(*c.columns)

@@ -463,3 +463,81 @@ def profile_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     out = expand_profiles(partial).select("c_custkey", *[n for n, _ in DERIVED_DEFAULTS])
     return round_doubles(out, 6)
+
+
+_ENG_SQL = """
+p AS (
+  SELECT c_custkey, CAST(17 + c_custkey % 19 AS DOUBLE) AS age, minutes_played, appearances, goals, assists,
+         CASE WHEN minutes_played > 0 THEN goals * 90.0::DOUBLE / minutes_played END AS goals_per_90,
+         shots_per90,
+         CASE WHEN minutes_played > 0 THEN key_passes * 90.0::DOUBLE / minutes_played END AS key_passes_per90,
+         CAST(appearances * 3 AS DOUBLE) AS passes_completed_per90,
+         CAST(goals AS DOUBLE) AS interceptions_per90, CAST(assists AS DOUBLE) AS blocks_per90,
+         CAST(shots AS DOUBLE) AS progressive_passes_per90, CAST(key_passes AS DOUBLE) AS progressive_carries_per90
+  FROM season)
+"""
+
+
+def _player_like(spark, sf_dir):
+    s = season(spark, sf_dir)
+    m = F.col("minutes_played")
+    return s.select(
+        "c_custkey", (17 + F.col("c_custkey") % 19).cast("double").alias("age"), "minutes_played", "appearances", "goals", "assists",
+        F.when(m > 0, F.col("goals") * 90.0 / m).alias("goals_per_90"), "shots_per90",
+        F.when(m > 0, F.col("key_passes") * 90.0 / m).alias("key_passes_per90"),
+        (F.col("appearances") * 3).cast("double").alias("passes_completed_per90"),
+        F.col("goals").cast("double").alias("interceptions_per90"), F.col("assists").cast("double").alias("blocks_per90"),
+        F.col("shots").cast("double").alias("progressive_passes_per90"), F.col("key_passes").cast("double").alias("progressive_carries_per90"),
+    )
+
+
+@register(
+    "engineered_features",
+    "WITH " + SEASON_SQL + "," + _ENG_SQL + """
+SELECT c_custkey,
+  round(goals_per_90 / CASE WHEN shots_per90 = 0 THEN 0.01::DOUBLE ELSE shots_per90 END, 6) AS conversion_rate,
+  round(key_passes_per90 / CASE WHEN passes_completed_per90 = 0 THEN 0.01::DOUBLE ELSE passes_completed_per90 END, 6) AS key_pass_ratio,
+  round(interceptions_per90 + blocks_per90, 6) AS defensive_contribution,
+  round(progressive_passes_per90 + progressive_carries_per90, 6) AS total_progressive,
+  round(age * ln(1 + minutes_played), 6) AS age_experience,
+  round(minutes_played / CASE WHEN appearances = 0 THEN 1 ELSE appearances END, 6) AS minutes_per_game,
+  round(power(goals, 2), 6) AS goals_squared, round(power(assists, 2), 6) AS assists_squared,
+  round(power(minutes_played, 2), 6) AS minutes_played_squared
+FROM p""",
+)
+def engineered_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Guarded ratios, sums, interaction and squares on player-like columns."""
+    out = fe.engineered(_player_like(spark, sf_dir))
+    cols = ["conversion_rate", "key_pass_ratio", "defensive_contribution", "total_progressive", "age_experience",
+            "minutes_per_game", "goals_squared", "assists_squared", "minutes_played_squared"]
+    return round_doubles(out.select("c_custkey", *cols), 6)
+
+
+@register(
+    "value_tiers",
+    "SELECT o_orderkey, " + "CASE " + " ".join(
+        f"WHEN o_totalprice / 5000 < {b} THEN '{lab}'" for b, lab in zip(sg.TIER_BOUNDS, sg.TIER_LABELS)
+    ) + f" ELSE '{sg.TIER_LABELS[-1]}' END AS tier FROM orders",
+)
+def value_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """value tier of each predicted / actual value (price / 5000 as the value in millions)."""
+    o = table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", sg.value_tier(F.col("o_totalprice") / 5000).alias("tier"))
+
+
+_REQUIRED = ["age", "goals", "shots_per90", "nationality_target_enc", "league_freq", "league_label_enc", "minutes_played"]
+
+
+@register(
+    "complete_features",
+    "WITH " + SEASON_SQL + "," + _ENG_SQL + """
+SELECT coalesce(CAST(age AS DOUBLE), 0) AS age, coalesce(CAST(goals AS DOUBLE), 0) AS goals,
+       coalesce(CAST(shots_per90 AS DOUBLE), 0) AS shots_per90, 1.5::DOUBLE AS nationality_target_enc,
+       1.0::DOUBLE AS league_freq, 0.0::DOUBLE AS league_label_enc, coalesce(CAST(minutes_played AS DOUBLE), 0) AS minutes_played
+FROM p""",
+)
+def complete_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Required model inputs in order; absent ones filled by name rule, NULL -> 0."""
+    from valuelens.schema import complete_features as cf
+
+    return cf(_player_like(spark, sf_dir), _REQUIRED)
