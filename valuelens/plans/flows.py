@@ -37,8 +37,10 @@ def ingest(spark: SparkSession, folder: str, out: str | None = None) -> tuple[Da
     """All CSVs of a folder (S2, by column name) -> conformed records -> keep the last record per
     player id in file order (A1) -> optional write (K1). Returns (table, audit)."""
     raw = files.read_csv_folder(spark, folder, RAW_PLAYER)
+    # order = (file, split offset, position inside the split): the row order of the concatenated files
     ordered = raw.withColumn("_row", F.monotonically_increasing_id())
-    deduped = dd.dedupe_keep_last(ordered, "player_id", ["_source_file", "_row"]).drop("_row", "_source_file")
+    deduped = dd.dedupe_keep_last(ordered, "player_id", ["_source_file", "_block_start", "_row"]).drop(
+        "_row", "_source_file", "_block_start")
     audit = dd.step_audit(raw, deduped, "dedupe_player_id")
     if out:
         writers.write_table(deduped, out)

@@ -35,7 +35,9 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: StructType = RA
         r = r.option("columnNameOfCorruptRecord", "_corrupt_record")
     df = r.csv(path)
     if with_source:
-        df = df.withColumn("_source_file", F.col("_metadata.file_path"))
+        # file and split offset give the file order of rows (splits of one file are not read in order)
+        df = df.withColumn("_source_file", F.col("_metadata.file_path")).withColumn(
+            "_block_start", F.col("_metadata.file_block_start"))
     return df
 
 
@@ -49,7 +51,10 @@ def read_csv_folder(spark: SparkSession, folder: str, schema: StructType = RAW_P
     """
     files = list_files(spark, folder, pattern)
     if not files:
-        return spark.createDataFrame([], StructType(list(schema.fields) + [StructField("_source_file", StringType())]))
+        from pyspark.sql.types import LongType
+
+        return spark.createDataFrame([], StructType(list(schema.fields) + [StructField("_source_file", StringType()),
+                                                                           StructField("_block_start", LongType())]))
     expected = [f.name for f in schema.fields]
     headers = {p: spark.read.option("header", True).csv(p).columns for p in files}
     if all(h == expected for h in headers.values()):
@@ -57,7 +62,8 @@ def read_csv_folder(spark: SparkSession, folder: str, schema: StructType = RAW_P
     frames = []
     for p, h in headers.items():
         raw = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(p)
-        frames.append(conform(raw, schema, defaults={}).withColumn("_source_file", F.lit(p)))
+        frames.append(conform(raw, schema, defaults={}).withColumn("_source_file", F.lit(p))
+                      .withColumn("_block_start", F.col("_metadata.file_block_start")))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 

@@ -63,6 +63,8 @@ def dedupe_keep_last_stream(stream: DataFrame, key: str, order: Sequence[str], c
     tuple (``max_by`` state, one entry per key). Each micro-batch emits only
     the keys it changed (update mode) and appends them to a changelog table;
     ``current_rows`` reduces the changelog to the latest row per key.
+    foreachBatch is at-least-once: a micro-batch replayed after a failure
+    appends the same rows again, which the keep-last reduction absorbs.
     """
     others = [c for c in stream.columns if c != key]
     agg = stream.groupBy(key).agg(F.max_by(F.struct(*[F.col(c) for c in others]), F.struct(*[F.col(o) for o in order])).alias("row"))
