@@ -30,3 +30,9 @@ def player_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C6 on players: value curve by age."""
     raw = players_from_tables(spark, sf_dir).dropna(subset=["market_value"])
     return round_doubles(flows.lifecycle(raw)["curve"], 6)
+
+
+@register("player_profile")
+def player_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Column profile (type, non-null, nulls, distinct, sample) of the raw player table."""
+    return round_doubles(flows.profile(players_from_tables(spark, sf_dir))["columns"], 6)

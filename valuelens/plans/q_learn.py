@@ -23,9 +23,10 @@ GBT_QUERY = dict(maxIter=20, maxDepth=5)
 _MODELS: dict = {}
 
 
-def model_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount",
-                                                 "l_tax", "l_extendedprice", "l_returnflag")
+def model_table(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
+    """Model rows; ``lineitem`` may be a stream (stream-static joins to the dimension tables)."""
+    li = (lineitem if lineitem is not None else table(spark, sf_dir, "lineitem")).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount", "l_tax", "l_extendedprice", "l_returnflag")
     pt = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     cu = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")

@@ -41,3 +41,19 @@ def stream_group_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = jobs.scratch(spark, "group-profile")
     jobs.group_profile_stream(_events_stream(spark, sf_dir), ["event_type"], "value", f"{root}/changelog", f"{root}/ck")
     return round_doubles(jobs.current_groups(spark, f"{root}/changelog", ["event_type"]))
+
+
+@register("stream_score")
+def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fitted forest applied to line items arriving as a stream (stream-static joins to
+    part / orders / customer), test split only; predictions land in Parquet (rows-only check)."""
+    from pyspark.sql import functions as F
+
+    from valuelens.plans import q_learn
+
+    model = q_learn._fitted(spark, sf_dir, "rf")
+    li = jobs.file_stream(spark, sf_dir, table(spark, sf_dir, "lineitem").schema, "parquet", glob="lineitem.parquet")
+    rows = q_learn.model_table(spark, sf_dir, li).filter(F.col("split") == "test")
+    root = jobs.scratch(spark, "stream-score")
+    jobs.score_stream(model, rows, f"{root}/out", f"{root}/ck")
+    return round_doubles(spark.read.parquet(f"{root}/out").select("row_key", "prediction", "predicted_value"))
