@@ -126,3 +126,34 @@ def test_position_in_group_matches_window_on_hot_group(spark):
     exp = df.withColumn("seq", F.row_number().over(Window.partitionBy("g").orderBy("id")) - 1)
     assert got.select("id", "g", "seq").exceptAll(exp.select("id", "g", "seq")).count() == 0
     assert got.count() == 5000
+
+
+def test_wide_and_long_profiles_agree(spark):
+    from valuelens.operators import profile as pr
+
+    li = table(spark, SF_SMALL, "lineitem")
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber", "l_orderkey", "l_partkey", "l_suppkey", "l_quantity"]
+    cols = list(dict.fromkeys(cols))  # 8 distinct -> wide; add one more to force long
+    wide = {r.column_name: r for r in pr.describe_numeric(li, cols).collect()}
+    li2 = li.withColumn("extra", F.col("l_tax") * 2)
+    long = {r.column_name: r for r in pr.describe_numeric(li2, cols + ["extra"]).collect()}
+    mw = {r.column_name: r for r in pr.moments(li, cols).collect()}
+    ml = {r.column_name: r for r in pr.moments(li2, cols + ["extra"]).collect()}
+    for c in cols:
+        for f in ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]:
+            a, b = wide[c][f], long[c][f]
+            assert (a is None and b is None) or abs(a - b) <= 1e-9 * max(1, abs(a))
+        for f in ["n", "skew", "kurt"]:
+            a, b = mw[c][f], ml[c][f]
+            assert (a is None and b is None) or abs(a - b) <= 1e-9 * max(1, abs(a))
+
+
+def test_target_correlation_routes_agree(spark):
+    li = table(spark, SF_SMALL, "lineitem").withColumn("d", F.nullif("l_discount", F.lit(0.0)))
+    base = ["l_quantity", "d", "l_tax", "l_linenumber"]
+    extra = [F.col("l_quantity") * (i + 1) + F.col("l_tax") * i for i in range(6)]
+    li = li.select("*", *[e.alias(f"x{i}") for i, e in enumerate(extra)])
+    few = {r.feature: (r.n, r.corr) for r in st.target_correlations(li, base, "l_extendedprice").collect()}
+    many = {r.feature: (r.n, r.corr) for r in st.target_correlations(li, base + [f"x{i}" for i in range(6)], "l_extendedprice").collect()}
+    for c in base:
+        assert few[c][0] == many[c][0] and abs(few[c][1] - many[c][1]) < 1e-9

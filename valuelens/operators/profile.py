@@ -192,9 +192,33 @@ def global_summary(df: DataFrame, col: str) -> DataFrame:
     )
 
 
+WIDE_LIMIT = 8  # above this many columns, per-column statistics run on the long (column, value) form
+
+
+def numeric_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(ci, column_name, x double) with one row per numeric cell: lets one grouped aggregate
+    compute per-column statistics with a plan whose size does not grow with the column count."""
+    names = F.array(*[F.lit(c) for c in cols])
+    pairs = df.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("ci"), F.col(_q(c)).cast("double").alias("x")) for i, c in enumerate(cols)
+    ])))
+    return pairs.withColumn("column_name", names[F.col("ci")])
+
+
 def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
-    """Count, mean, std (n-1), min, 25/50/75 % (exact, linear), max per numeric column."""
+    """Count, mean, std (n-1), min, 25/50/75 % (exact, linear), max per numeric column.
+
+    Up to ``WIDE_LIMIT`` columns: one wide aggregate; beyond: the long form
+    grouped by column (same values, flat plan)."""
     cols = list(cols or numeric_columns(df))
+    if len(cols) > WIDE_LIMIT:
+        q = F.percentile_approx("x", [0.25, 0.5, 0.75], 10000).cast("array<double>") if approx else F.percentile(
+            F.col("x"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+        g = numeric_long(df, cols).groupBy("ci", "column_name").agg(
+            F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"), F.min("x").alias("min"),
+            q.alias("__q"), F.max("x").alias("max"))
+        return g.select("column_name", "count", "mean", "std", "min", F.col("__q")[0].alias("q25"),
+                        F.col("__q")[1].alias("q50"), F.col("__q")[2].alias("q75"), "max")
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(_q(c)).cast("double")
@@ -234,6 +258,12 @@ def sample_kurt(kurt_pop: Column, n: Column) -> Column:
 def moments(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """A12 + A13: population skewness / excess kurtosis and the sample-adjusted G1 / G2."""
     cols = list(cols or numeric_columns(df))
+    if len(cols) > WIDE_LIMIT:
+        g = numeric_long(df, cols).groupBy("ci", "column_name").agg(
+            F.count("x").alias("n"), F.skewness("x").alias("skew_pop"), F.kurtosis("x").alias("kurt_pop"))
+        n = F.col("n").cast("double")
+        return g.select("column_name", "n", "skew_pop", "kurt_pop", sample_skew(F.col("skew_pop"), n).alias("skew"),
+                        sample_kurt(F.col("kurt_pop"), n).alias("kurt"))
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(_q(c)).cast("double")

@@ -151,16 +151,21 @@ def target_correlations(df: DataFrame, features: Sequence[str], target: str, min
     correlation (it is "missing", not NaN).
     """
     features = list(features)
-    aggs = []
-    for i, c in enumerate(features):
-        m = pair_moments(c, target)
-        aggs += [m["n"].alias(f"__n{i}"), F.try_divide(m["cov"], m["sx"] * m["sy"]).alias(f"__r{i}")]
-    summary = df.agg(*aggs)
-    structs = [
-        F.struct(F.lit(c).alias("feature"), F.col(f"__n{i}").alias("n"), F.col(f"__r{i}").alias("corr"))
-        for i, c in enumerate(features)
-    ]
-    out = summary.select(F.inline(F.array(*structs)))
+    if len(features) > 8:
+        # many features: the moment-sum route (flat plan); keep the pairs that involve the target
+        m = corr_matrix_long(df, features + [target], method="moments").filter(F.col("col_2") == target)
+        out = m.select(F.col("col_1").alias("feature"), "n", "corr")
+    else:
+        aggs = []
+        for i, c in enumerate(features):
+            pm = pair_moments(c, target)
+            aggs += [pm["n"].alias(f"__n{i}"), F.try_divide(pm["cov"], pm["sx"] * pm["sy"]).alias(f"__r{i}")]
+        summary = df.agg(*aggs)
+        structs = [
+            F.struct(F.lit(c).alias("feature"), F.col(f"__n{i}").alias("n"), F.col(f"__r{i}").alias("corr"))
+            for i, c in enumerate(features)
+        ]
+        out = summary.select(F.inline(F.array(*structs)))
     if min_n is not None:
         out = out.withColumn("missing", F.col("n") <= min_n).withColumn(
             "corr", F.when(~F.col("missing"), F.col("corr"))
