@@ -232,7 +232,7 @@ def derived_column_check(df: DataFrame, checks: Sequence[tuple[str, Column, floa
 
 # --- A26 --------------------------------------------------------------------------------------
 
-def vif(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def vif(df: DataFrame, cols: Sequence[str], min_rows: int | None = None) -> DataFrame:
     """Variance inflation without intercept over complete rows: VIF_i = G_ii * inv(G)_ii, G = X'X.
 
     One aggregate builds the k(k+1)/2 cross-product sums; the k x k inverse is
@@ -242,11 +242,14 @@ def vif(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     k = len(cols)
     complete = df.select(*[F.col(_q(c)).cast("double").alias(f"x{i}") for i, c in enumerate(cols)]).dropna()
     idx = [(i, j) for i in range(k) for j in range(i, k)]
-    summary = complete.agg(*[F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"g_{i}_{j}") for i, j in idx])
+    summary = complete.agg(F.count(F.lit(1)).alias("__rows"),
+                           *[F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"g_{i}_{j}") for i, j in idx])
 
     def invert(it):
         for pdf in it:
             for _, row in pdf.iterrows():
+                if min_rows is not None and row["__rows"] <= min_rows:
+                    continue  # too few complete rows: no report
                 g = np.zeros((k, k))
                 for i, j in idx:
                     g[i, j] = g[j, i] = row[f"g_{i}_{j}"]

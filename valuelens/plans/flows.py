@@ -86,7 +86,7 @@ def fit_clean(df: DataFrame, target: str = TARGET, sparse_pct: float = 50.0, pai
     pairs = st.high_corr_pairs(st.corr_matrix_long(d, numeric), pair_threshold)
     plan.redundant_dropped = [r.feature for r in st.redundant_drop_list(pairs, tc).collect()]
     rest = [c for c in numeric if c not in plan.redundant_dropped]
-    tc2 = st.target_correlations(d, rest, target)
+    tc2 = st.target_correlations(d, rest, target, min_n=min_n)  # too few rows: no r, so not dropped
     plan.low_corr_dropped = [r.feature for r in st.low_corr_drop_list(tc2, low_threshold).collect()]
     checks = []
     if {"minutes_per_game", "minutes_played", "appearances"} <= set(d.columns):
@@ -96,9 +96,14 @@ def fit_clean(df: DataFrame, target: str = TARGET, sparse_pct: float = 50.0, pai
     if checks:
         plan.derived_dropped = [r.column_name for r in st.derived_column_check(d, checks).filter("is_derived = 1").collect()]
     kept = fe.drop_columns(d, plan.drops() + META_COLUMNS)
-    vif_cols = [c for c in pr.numeric_columns(kept, exclude=[target])][:25]
-    if len(vif_cols) >= 2:
-        plan.vif_report = st.vif(kept, vif_cols)
+    # VIF report only: numeric columns (not target / indicators) under 30 % null, the first 25,
+    # complete rows, more than 100 of them
+    cand = pr.numeric_columns(kept, exclude=[target, "is_DF", "is_MF", "is_FW"])
+    if cand:
+        rates = {r.column_name: r.null_pct for r in pr.null_profile(kept, cand).collect()}
+        vif_cols = [c for c in cand if (rates.get(c) or 0.0) < 30.0][:25]
+        if len(vif_cols) > 1:
+            plan.vif_report = st.vif(kept, vif_cols, min_rows=100)
     num = pr.numeric_columns(kept, exclude=[target])
     cat = pr.string_columns(kept)
     plan.fills = fe.fit_impute(kept, num, cat)
