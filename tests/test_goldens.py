@@ -149,3 +149,11 @@ def test_overlay(spark):
     right = spark.createDataFrame([(1, None), (2, 0.0)], "k int, v double")
     out = jn.overlay(left, right, "k", ["v"])
     assert [r.v for r in out.orderBy("k").collect()] == [5.0, 0.0]
+
+
+def test_head_and_tail_of_top(spark):
+    from valuelens.operators.themes import head_and_tail
+
+    ranked = spark.createDataFrame([(f"f{i}", i) for i in range(1, 31)], "feature string, rank int")
+    got = {(r.part, r.feature) for r in head_and_tail(ranked, "rank", 20, 3).collect()}
+    assert got == {("head", "f1"), ("head", "f2"), ("head", "f3"), ("tail", "f18"), ("tail", "f19"), ("tail", "f20")}

@@ -39,3 +39,14 @@ def sign_counts(target_corr: DataFrame, pos: float = 0.2, neg: float = -0.2) ->
     return target_corr.agg(
         F.count_if(F.col("corr") > pos).alias("n_positive"), F.count_if(F.col("corr") < neg).alias("n_negative")
     )
+
+
+def head_and_tail(ranked: DataFrame, rank_col: str = "rank", top: int = 20, k: int = 3) -> DataFrame:
+    """The first ``k`` and the last ``k`` of the top ``top`` ranked features, labelled
+    'head' / 'tail' (the tail is the weakest of the top list, not the most negative r)."""
+    top_rows = ranked.filter(F.col(rank_col) <= top)
+    n = top_rows.agg(F.max(rank_col).alias("__m"))
+    j = top_rows.crossJoin(F.broadcast(n))
+    head = j.filter(F.col(rank_col) <= k).withColumn("part", F.lit("head"))
+    tail = j.filter(F.col(rank_col) > F.col("__m") - k).withColumn("part", F.lit("tail"))
+    return head.unionByName(tail).drop("__m")

@@ -21,7 +21,7 @@ from valuelens.operators import lifecycle as lc
 from valuelens.operators import profile as pr
 from valuelens.operators import split as sp
 from valuelens.operators import stats as st
-from valuelens.operators.themes import sign_counts, theme_counts
+from valuelens.operators.themes import head_and_tail, sign_counts, theme_counts
 from valuelens.schema import CLEAN_COLUMNS, KEEPER, RAW_PLAYER, order_columns
 from valuelens.session import cut_lineage
 from valuelens.sinks import writers
@@ -159,6 +159,7 @@ def drivers(df: DataFrame, target: str = TARGET, top: int = 20) -> dict[str, Dat
         "correlations": ranked,
         "themes": theme_counts(top_n, "feature", THEMES),
         "signs": sign_counts(top_n),
+        "head_tail": head_and_tail(ranked, "rank", top, 3),
     }
 
 
