@@ -157,3 +157,30 @@ def test_target_correlation_routes_agree(spark):
     many = {r.feature: (r.n, r.corr) for r in st.target_correlations(li, base + [f"x{i}" for i in range(6)], "l_extendedprice").collect()}
     for c in base:
         assert few[c][0] == many[c][0] and abs(few[c][1] - many[c][1]) < 1e-9
+
+
+def test_exact_percentiles_match_percentile_aggregate(spark):
+    from valuelens.operators.quantiles import exact_percentiles
+
+    # a hot group with most rows and repeated values, plus small groups; NULLs skipped
+    df = spark.range(20000).select(
+        F.when(F.col("id") % 10 < 7, F.lit("hot")).otherwise((F.col("id") % 5).cast("string")).alias("g"),
+        F.when(F.col("id") % 97 == 0, F.lit(None)).otherwise(((F.col("id") * 7919) % 1013) / 10.0).alias("v"))
+    probs = [0.0, 0.25, 0.5, 0.75, 0.99, 1.0]
+    got = {(r.g, r.p): r.q for r in exact_percentiles(df, ["g"], "v", probs).collect()}
+    exp_rows = df.groupBy("g").agg(F.percentile("v", F.array(*[F.lit(p) for p in probs])).alias("q")).collect()
+    assert len(got) == len(exp_rows) * len(probs)
+    for r in exp_rows:
+        for p, q in zip(probs, r.q):
+            assert abs(got[(r.g, p)] - q) < 1e-9
+
+
+def test_group_quartiles_distributed_equals_map(spark):
+    from valuelens.operators.groupstats import group_stats_quartiles
+
+    o = table(spark, SF_SMALL, "orders")
+    a = {r.o_orderpriority: r for r in group_stats_quartiles(o, "o_orderpriority", "o_totalprice").collect()}
+    b = {r.o_orderpriority: r for r in group_stats_quartiles(o, "o_orderpriority", "o_totalprice", quantiles="distributed").collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert a[k].asDict() == b[k].asDict()
