@@ -184,3 +184,17 @@ def test_group_quartiles_distributed_equals_map(spark):
     assert a.keys() == b.keys()
     for k in a:
         assert a[k].asDict() == b[k].asDict()
+
+
+def test_curve_distributed_median_equals_map(spark):
+    from valuelens.operators.lifecycle import value_curve
+    from valuelens.plans.q_lifecycle import priced_parts
+
+    j = priced_parts(spark, SF_SMALL)
+    a = {r.p_size: r.asDict() for r in value_curve(j, "p_size", "l_extendedprice").collect()}
+    b = {r.p_size: r.asDict() for r in value_curve(j, "p_size", "l_extendedprice", quantiles="distributed").collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        for f, v in a[k].items():
+            w = b[k][f]
+            assert (v is None and w is None) or abs(v - w) <= 1e-9 * max(1, abs(v))

@@ -39,17 +39,30 @@ def centered_mean(col: str, order: Column | str, partition: list[str] | None = N
     return total / width
 
 
-def key_stats(df: DataFrame, keys: list[str], value: str, approx: bool = False, with_std: bool = True) -> DataFrame:
-    """Mean, median, std (n-1), count of ``value`` per key; rows with a NULL key or value are skipped."""
+def key_stats(df: DataFrame, keys: list[str], value: str, approx: bool = False, with_std: bool = True,
+              quantiles: str = "map") -> DataFrame:
+    """Mean, median, std (n-1), count of ``value`` per key; rows with a NULL key or value are skipped.
+
+    ``quantiles="distributed"`` takes the exact median from operators.quantiles
+    (no per-key value map; a hot key is spread over many tasks)."""
     src = df.select(*keys, value).dropna(subset=[*keys, value])
-    aggs = [F.avg(value).alias("mean"), _median(value, approx).alias("median")]
+    aggs = [F.avg(value).alias("mean")]
+    if quantiles != "distributed":
+        aggs.append(_median(value, approx or quantiles == "approx").alias("median"))
     if with_std:
         aggs.append(F.stddev_samp(value).alias("std"))
     aggs.append(F.count(F.lit(1)).alias("count"))
-    return src.groupBy(*keys).agg(*aggs)
+    out = src.groupBy(*keys).agg(*aggs)
+    if quantiles == "distributed":
+        from valuelens.operators.quantiles import exact_percentiles
+
+        med = exact_percentiles(src, keys, value, [0.5]).select(*keys, F.col("q").alias("median"))
+        out = out.join(med, keys, "left").select(*keys, "mean", "median", *(["std"] if with_std else []), "count")
+    return out
 
 
-def value_curve(df: DataFrame, key: str, value: str, min_count: int | None = None, approx: bool = False) -> DataFrame:
+def value_curve(df: DataFrame, key: str, value: str, min_count: int | None = None, approx: bool = False,
+                quantiles: str = "map") -> DataFrame:
     """Curve of ``value`` by ordered ``key``.
 
     Columns: key, mean, median, std, count, mean_smooth, median_smooth, cv,
@@ -57,7 +70,7 @@ def value_curve(df: DataFrame, key: str, value: str, min_count: int | None = Non
     keys; ``min_count`` filters afterwards (W6), so it cannot move below the
     windows.
     """
-    stats = key_stats(df, [key], value, approx)
+    stats = key_stats(df, [key], value, approx, quantiles=quantiles)
     o = Window.orderBy(key)
     curve = (
         stats.withColumn("mean_smooth", centered_mean("mean", key))
