@@ -80,7 +80,7 @@ def test_bins(spark):
 
     df = col1(spark, [900, 901, 2000], "int")
     assert run(df, sg.right_closed_bins("v", MINUTE_EDGES, MINUTE_LABELS)) == [
-        "Low (<900)", "Medium (900-2000)", "Medium (900-2000)"]
+        "Low (<900 min)", "Medium (900-2000 min)", "Medium (900-2000 min)"]
 
 
 def test_smoothing(spark):

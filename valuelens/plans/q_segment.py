@@ -168,7 +168,7 @@ def inverse_one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Playing-time bands (right-closed) and labels.
 MINUTE_EDGES = [0, 900, 2000, float("inf")]
-MINUTE_LABELS = ["Low (<900)", "Medium (900-2000)", "High (>2000)"]
+MINUTE_LABELS = ["Low (<900 min)", "Medium (900-2000 min)", "High (>2000 min)"]
 
 
 def _sql_bins(col: str, edges, labels) -> str:

@@ -341,11 +341,11 @@ WITH s AS (
          avg(o_totalprice) / 100000 AS market_value FROM orders GROUP BY o_custkey),
 c AS (SELECT regr_slope(market_value, appearances) AS b, regr_intercept(market_value, appearances) AS a FROM s),
 r AS (SELECT market_value - (a + b * appearances) AS residual, market_value,
-        CASE WHEN minutes_played / 10 > 0 AND minutes_played / 10 <= 900 THEN 'Low (<900)'
-             WHEN minutes_played / 10 > 900 AND minutes_played / 10 <= 2000 THEN 'Medium (900-2000)'
-             WHEN minutes_played / 10 > 2000 THEN 'High (>2000)' END AS minutes_band FROM s, c),
+        CASE WHEN minutes_played / 10 > 0 AND minutes_played / 10 <= 900 THEN 'Low (<900 min)'
+             WHEN minutes_played / 10 > 900 AND minutes_played / 10 <= 2000 THEN 'Medium (900-2000 min)'
+             WHEN minutes_played / 10 > 2000 THEN 'High (>2000 min)' END AS minutes_band FROM s, c),
 g AS (SELECT minutes_band, count(*) AS n, avg(market_value) AS mean_value, avg(residual) AS mean_residual FROM r GROUP BY 1),
-d AS (SELECT 'Low (<900)' AS minutes_band UNION ALL SELECT 'Medium (900-2000)' UNION ALL SELECT 'High (>2000)')
+d AS (SELECT 'Low (<900 min)' AS minutes_band UNION ALL SELECT 'Medium (900-2000 min)' UNION ALL SELECT 'High (>2000 min)')
 SELECT d.minutes_band, coalesce(g.n, 0) AS n, round(g.mean_value, 4) AS mean_value, round(g.mean_residual, 4) AS mean_residual
 FROM d LEFT JOIN g USING (minutes_band)""",
 )
