@@ -11,17 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    BooleanType,
-    DecimalType,
-    DoubleType,
-    FloatType,
-    IntegerType,
-    LongType,
-    NumericType,
-    ShortType,
-    StringType,
-)
+from pyspark.sql.types import BooleanType, DoubleType, FloatType, NumericType, StringType
 
 
 # --- column selection by type (P3, P4, P5) -------------------------------------------------
