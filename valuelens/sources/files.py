@@ -41,6 +41,18 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: StructType = RA
     return df
 
 
+def file_headers(spark: SparkSession, files: list[str], threads: int = 16) -> dict[str, list[str]]:
+    """Header of every CSV file (a first-line read per file), several files at a time: Spark
+    runs the small jobs submitted from different threads concurrently."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def one(p: str) -> list[str]:
+        return spark.read.option("header", True).csv(p).columns
+
+    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(files)))) as pool:
+        return dict(zip(files, pool.map(one, files)))
+
+
 def read_csv_folder(spark: SparkSession, folder: str, schema: StructType = RAW_PLAYER, pattern: str = "*.csv") -> DataFrame:
     """S2 + S3 + S4: every CSV in a folder, matched to the schema by column NAME.
 
@@ -56,7 +68,7 @@ def read_csv_folder(spark: SparkSession, folder: str, schema: StructType = RAW_P
         return spark.createDataFrame([], StructType(list(schema.fields) + [StructField("_source_file", StringType()),
                                                                            StructField("_block_start", LongType())]))
     expected = [f.name for f in schema.fields]
-    headers = {p: spark.read.option("header", True).csv(p).columns for p in files}
+    headers = file_headers(spark, files)
     if all(h == expected for h in headers.values()):
         return read_csv(spark, files, schema)
     frames = []
