@@ -58,11 +58,13 @@ def training_input(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     Tree induction scans its input once per level; after a join, AQE sizes
     partitions for SQL (128 MB advisory) and can leave fewer partitions than
     cores, so the learner would run on a few tasks. The rows are spread over
-    max(2 x default parallelism, spark.sql.shuffle.partitions) partitions and
-    kept (memory, spilling to disk) for the passes of one fit.
+    2 x default parallelism partitions and
+    kept (memory, spilling to disk) for the passes of one fit. The partition
+    count follows the cluster's cores (2 x default parallelism), not the SQL
+    shuffle setting: every tree level is a pass over all partitions.
     """
     spark = df.sparkSession
-    n = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = 2 * spark.sparkContext.defaultParallelism
     from pyspark import StorageLevel
 
     return df.select(*cols).repartition(n).persist(StorageLevel.MEMORY_AND_DISK)
