@@ -28,6 +28,31 @@ GBT_X_PARAMS = dict(maxIter=200, stepSize=0.05, maxDepth=6, subsamplingRate=0.8,
 GBT_L_PARAMS = dict(maxIter=200, stepSize=0.05, maxDepth=5, minInstancesPerNode=20, seed=42)
 
 
+# The reference's search grids, mapped to Spark ML parameter names. Grid axes
+# without a Spark ML counterpart (min samples per split, number of leaves) are left out; the
+# full grids are large (hundreds of points x 5 folds), the driver queries use a 4-point grid.
+RF_GRID = {
+    "numTrees": [150, 200, 250],
+    "maxDepth": [15, 20, 25],
+    "minInstancesPerNode": [3, 5, 7],
+    "featureSubsetStrategy": ["0.5", "0.6", "0.7"],
+}
+GBT_X_GRID = {
+    "maxIter": [200, 300, 400],
+    "stepSize": [0.03, 0.05, 0.07],
+    "maxDepth": [5, 6, 7],
+    "minInstancesPerNode": [2, 3, 4],
+    "subsamplingRate": [0.7, 0.8, 0.9],
+    "featureSubsetStrategy": ["0.7", "0.8", "0.9"],
+}
+GBT_L_GRID = {
+    "maxIter": [100, 200, 300],
+    "stepSize": [0.01, 0.05, 0.1],
+    "maxDepth": [3, 6, 9],
+    "minInstancesPerNode": [10, 20, 30],
+}
+
+
 def _pipeline(features: Sequence[str], label: str, regressor) -> Pipeline:
     va = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
     regressor.setFeaturesCol("features").setLabelCol(label).setPredictionCol("prediction")
