@@ -57,3 +57,19 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = jobs.scratch(spark, "stream-score")
     jobs.score_stream(model, rows, f"{root}/out", f"{root}/ck")
     return round_doubles(spark.read.parquet(f"{root}/out").select("row_key", "prediction", "predicted_value"))
+
+
+@register(
+    "stream_window_profile",
+    """
+SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, event_type,
+       count(*) AS n, round(sum(value), 4) AS sum_value, round(avg(value), 4) AS mean_value,
+       round(min(value), 4) AS min_value, round(max(value), 4) AS max_value
+FROM events GROUP BY 1, 2, event_type""",
+)
+def stream_window_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R4 (event time): daily tumbling windows per event type with a 1-hour watermark."""
+    root = jobs.scratch(spark, "window-profile")
+    jobs.windowed_profile_stream(_events_stream(spark, sf_dir), "ts", "1 day", ["event_type"], "value", "1 hour",
+                                 f"{root}/changelog", f"{root}/ck")
+    return round_doubles(jobs.current_groups(spark, f"{root}/changelog", ["window_start", "window_end", "event_type"]))

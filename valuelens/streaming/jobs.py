@@ -121,3 +121,40 @@ def current_groups(spark: SparkSession, changelog: str, keys: Sequence[str]) ->
     df = spark.read.parquet(changelog)
     others = [c for c in df.columns if c not in keys and c != "_batch_id"]
     return df.groupBy(*keys).agg(F.max_by(F.struct(*others), F.col("_batch_id")).alias("r")).select(*keys, "r.*")
+
+
+def windowed_profile_stream(stream: DataFrame, ts: str, window: str, keys: Sequence[str], value: str, delay: str,
+                            out_changelog: str, checkpoint: str, available_now: bool = True):
+    """R4 with event time: per (tumbling window, keys) count / sum / mean / min / max.
+
+    The watermark (``delay`` behind the latest event time seen) lets Spark drop
+    the state of windows that can no longer change; late rows within the delay
+    still update their window. Updated windows are appended to a changelog
+    (update mode), reduced by ``current_groups``.
+    """
+    from pyspark.sql.types import TimestampNTZType
+
+    ntz = isinstance(stream.schema[ts].dataType, TimestampNTZType)
+    if ntz:  # watermarks need instants: read wall-clock event times in the session time zone
+        stream = stream.withColumn("__event_time", F.col(ts).cast("timestamp"))
+        ts = "__event_time"
+    agg = (stream.withWatermark(ts, delay)
+           .groupBy(F.window(ts, window).alias("w"), *keys)
+           .agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("sum_value"), F.avg(value).alias("mean_value"),
+                F.min(value).alias("min_value"), F.max(value).alias("max_value")))
+    start, end = F.col("w.start"), F.col("w.end")
+    if ntz:
+        start, end = start.cast("timestamp_ntz"), end.cast("timestamp_ntz")
+    flat = agg.select(start.alias("window_start"), end.alias("window_end"), *keys,
+                      "n", "sum_value", "mean_value", "min_value", "max_value")
+
+    def append_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("_batch_id", F.lit(batch_id)).write.mode("append").parquet(out_changelog)
+
+    w = flat.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(append_batch)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    q = w.start()
+    if available_now:
+        q.awaitTermination()
+    return q
