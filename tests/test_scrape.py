@@ -58,3 +58,12 @@ def test_records(spark):
     k = by["Keeper One"]
     assert k.saves_per90 == 3.2 and k.goals_per_90 is None   # outfield labels do not map for keepers
     assert (k.appearances, k.goals) == (0, 0)                  # counters default to 0
+
+
+def test_person_id_survives_collision_suffix(spark):
+    same = PLAYER  # the same person scraped twice in one league (moved clubs)
+    pages = spark.createDataFrame([(1, "https://site.example/players/a", same), (2, "https://site.example/players/b", same)],
+                                  "page_id long, url string, html string")
+    rec = records_from_pages(pages, "2023-03-01", league="L", keep_person_id=True).orderBy("player_id").collect()
+    assert rec[0].person_id == rec[1].person_id
+    assert {r.player_id for r in rec} == {rec[0].person_id, rec[0].person_id + "-1"}

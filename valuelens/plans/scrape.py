@@ -24,7 +24,9 @@ BASICS = ["appearances", "minutes_played", "goals", "assists"]
 
 
 def records_from_pages(player_pages: DataFrame, as_of: str, club_rows: DataFrame | None = None,
-                       league: str | None = None, club: str | None = None) -> DataFrame:
+                       league: str | None = None, club: str | None = None, keep_person_id: bool = False) -> DataFrame:
+    """70-column records; with ``keep_person_id`` the id WITHOUT the collision suffix is kept as
+    ``person_id`` so a player who moved clubs can be deduplicated per person, not per stint."""
     spark = player_pages.sparkSession
     prof = hx.profile_fields(player_pages).withColumn(
         "kind", F.when(F.upper(F.coalesce(F.col("position"), F.lit(""))) == "GK", "goalkeeper").otherwise("outfield"))
@@ -53,4 +55,6 @@ def records_from_pages(player_pages: DataFrame, as_of: str, club_rows: DataFrame
         "goals_per_90": per90_rate("goals", "minutes_played", "goals_per_90"),
         "assists_per_90": per90_rate("assists", "minutes_played", "assists_per_90"),
     })
+    if keep_person_id:
+        return conform(rec.withColumnRenamed("base_id", "person_id"), RAW_PLAYER, keep=["person_id"])
     return conform(rec, RAW_PLAYER)

@@ -66,9 +66,8 @@ CLEAN_PLAYER = StructType([
 ])
 
 
-def conform(df: DataFrame, schema: StructType = RAW_PLAYER, defaults: dict | None = None) -> DataFrame:
-    """K2: project onto the schema's columns in order: unknown columns dropped, missing ones
-    added, values cast (try_cast: bad text -> NULL) and NULLs replaced by per-field defaults."""
+def conform_columns(df: DataFrame, schema: StructType = RAW_PLAYER, defaults: dict | None = None) -> list[Column]:
+    """The K2 projection as column expressions (see :func:`conform`)."""
     defaults = RAW_DEFAULTS if defaults is None else defaults
     have = set(df.columns)
     cols: list[Column] = []
@@ -77,7 +76,14 @@ def conform(df: DataFrame, schema: StructType = RAW_PLAYER, defaults: dict | Non
         if f.name in defaults:
             v = F.coalesce(v, F.lit(defaults[f.name]).cast(f.dataType))
         cols.append(v.alias(f.name))
-    return df.select(*cols)
+    return cols
+
+
+def conform(df: DataFrame, schema: StructType = RAW_PLAYER, defaults: dict | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """K2: project onto the schema's columns in order: unknown columns dropped (except ``keep``),
+    missing ones added, values cast (try_cast: bad text -> NULL) and NULLs replaced by per-field
+    defaults."""
+    return df.select(*conform_columns(df, schema, defaults), *[F.col(f"`{k}`") for k in keep])
 
 
 def complete_features(df: DataFrame, required: Sequence[str]) -> DataFrame:
