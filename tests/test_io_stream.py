@@ -99,3 +99,20 @@ def test_bad_rows_go_to_rejects(spark):
     df = read_csv(spark, root, schema, bad_records=True).cache()
     good, bad = split_rejects(df)
     assert good.count() == 2 and bad.count() == 1
+
+
+def test_partitioned_write_prunes_on_read(spark):
+    import contextlib
+    import io
+
+    from valuelens.sinks.writers import write_by_league
+
+    c = table(spark, SF_SMALL, "customer")
+    root = jobs.scratch(spark, "t-part")
+    write_by_league(c.withColumn("c_mktsegment", F.concat(F.lit("Seg "), "c_mktsegment")), f"{root}/out", col="c_mktsegment")
+    back = spark.read.parquet(f"{root}/out").filter(F.col("c_mktsegment_part") == "Seg_BUILDING")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        back.explain(mode="formatted")
+    assert "PartitionFilters: [isnotnull(c_mktsegment_part" in buf.getvalue()
+    assert back.count() == c.filter(F.col("c_mktsegment") == "BUILDING").count()
