@@ -198,3 +198,19 @@ def test_curve_distributed_median_equals_map(spark):
         for f, v in a[k].items():
             w = b[k][f]
             assert (v is None and w is None) or abs(v - w) <= 1e-9 * max(1, abs(v))
+
+
+def test_keyed_reductions_combine_map_side(spark):
+    """A hot key is reduced inside every map task: the plan has a partial max_by before the shuffle."""
+    import contextlib
+    import io
+
+    df = spark.range(30000).select((F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id"))).alias("k"),
+                                   F.col("id").alias("ord"), (F.col("id") * 2).alias("v"))
+    out = dd.dedupe_keep_last(df, "k", ["ord"])
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        out.explain()
+    plan = buf.getvalue()
+    assert "partial_max_by" in plan and plan.index("partial_max_by") > plan.index("Exchange")
+    assert out.filter("k = 0").first().ord == 29997
