@@ -214,3 +214,15 @@ def test_keyed_reductions_combine_map_side(spark):
     plan = buf.getvalue()
     assert "partial_max_by" in plan and plan.index("partial_max_by") > plan.index("Exchange")
     assert out.filter("k = 0").first().ord == 29997
+
+
+def test_describe_distributed_quartiles_equal(spark):
+    from valuelens.operators import profile as pr
+
+    li = table(spark, SF_SMALL, "lineitem").withColumn("d", F.nullif("l_discount", F.lit(0.0)))
+    cols = ["l_quantity", "l_extendedprice", "d"]
+    a = {r.column_name: r.asDict() for r in pr.describe_numeric(li, cols).collect()}
+    b = {r.column_name: r.asDict() for r in pr.describe_numeric(li, cols, quantiles="distributed").collect()}
+    for c in cols:
+        for f in ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]:
+            assert abs(a[c][f] - b[c][f]) <= 1e-9 * max(1, abs(a[c][f]))

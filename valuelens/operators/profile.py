@@ -195,12 +195,25 @@ def numeric_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return pairs.withColumn("column_name", names[F.col("ci")])
 
 
-def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
+def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False,
+                     quantiles: str = "map") -> DataFrame:
     """Count, mean, std (n-1), min, 25/50/75 % (exact, linear), max per numeric column.
 
     Up to ``WIDE_LIMIT`` columns: one wide aggregate; beyond: the long form
-    grouped by column (same values, flat plan)."""
+    grouped by column (same values, flat plan). ``quantiles="distributed"``
+    takes the quartiles from operators.quantiles (exact, no per-column value map)."""
     cols = list(cols or numeric_columns(df))
+    if quantiles == "distributed":
+        from valuelens.operators.quantiles import exact_percentiles
+
+        long = numeric_long(df, cols)
+        mom = long.groupBy("ci", "column_name").agg(
+            F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
+            F.min("x").alias("min"), F.max("x").alias("max"))
+        qs = exact_percentiles(long, ["column_name"], "x", [0.25, 0.5, 0.75]).groupBy("column_name").agg(
+            *[F.max(F.when(F.col("p") == p, F.col("q"))).alias(n) for p, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))])
+        return mom.join(qs, "column_name", "left").select(
+            "column_name", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
     if len(cols) > WIDE_LIMIT:
         q = F.percentile_approx("x", [0.25, 0.5, 0.75], 10000).cast("array<double>") if approx else F.percentile(
             F.col("x"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
