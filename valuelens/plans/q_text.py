@@ -208,3 +208,31 @@ def collision_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", F.lower("c_mktsegment").alias("base_id"))
     return cs(c, "base_id", scope=["c_nationkey"], order=["c_custkey"], out="player_id")
+
+
+@register(
+    "first_valid_price",
+    r"""
+WITH s AS (
+  SELECT o_custkey, o_orderdate, o_orderkey,
+    CASE WHEN o_orderstatus = 'P' THEN '€-' WHEN o_orderpriority = '5-LOW' THEN 'n/a'
+         ELSE concat('€', CAST(o_orderkey % 90 AS VARCHAR), ',', CAST(o_custkey % 10 AS VARCHAR), 'm') END AS cell
+  FROM orders),
+t AS (SELECT *, lower(regexp_replace(replace(cell, '€', ''), '^\s+|\s+$', '', 'g')) AS v FROM s WHERE contains(cell, '€')),
+p AS (SELECT o_custkey, o_orderdate, o_orderkey,
+        CASE WHEN v = '' THEN NULL
+             WHEN ends_with(v, 'k') THEN TRY_CAST(replace(replace(left(v, length(v) - 1), '.', ''), ',', '.') AS DOUBLE) / 1000
+             WHEN ends_with(v, 'm') THEN TRY_CAST(replace(left(v, length(v) - 1), ',', '.') AS DOUBLE)
+             ELSE TRY_CAST(replace(replace(v, '.', ''), ',', '.') AS DOUBLE) / 1000000 END AS value_m FROM t)
+SELECT o_custkey, arg_min(value_m, (o_orderdate, o_orderkey)) AS value_m FROM p WHERE value_m IS NOT NULL GROUP BY o_custkey""",
+)
+def first_valid_price(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per customer, the first cell (by date, key) holding a '€' amount that parses."""
+    from valuelens.sources.html import first_valid_price as fvp
+
+    o = table(spark, sf_dir, "orders")
+    cell = (F.when(F.col("o_orderstatus") == "P", F.lit("€-")).when(F.col("o_orderpriority") == "5-LOW", F.lit("n/a"))
+            .otherwise(F.concat(F.lit("€"), (F.col("o_orderkey") % 90).cast("string"), F.lit(","),
+                                (F.col("o_custkey") % 10).cast("string"), F.lit("m"))))
+    cells = o.select("o_custkey", F.struct("o_orderdate", "o_orderkey").alias("pos"), cell.alias("cell"))
+    return fvp(cells, "o_custkey", "pos", "cell")
