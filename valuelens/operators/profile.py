@@ -297,6 +297,19 @@ def skew_bands(moment_table: DataFrame, high: float = 2.0, moderate: float = 0.5
     )
 
 
+def skew_report(moment_table: DataFrame, limits: dict[str, int] | None = None) -> DataFrame:
+    """Per skew band, the columns with the largest abs(G1), at most ``limits[band]`` of them
+    (10 high, 10 moderate, 5 symmetric by default), ranked within the band."""
+    from pyspark.sql import Window
+
+    limits = limits or {"high": 10, "moderate": 10, "symmetric": 5}
+    banded = skew_bands(moment_table).filter(F.col("skew_band").isNotNull())
+    w = Window.partitionBy("skew_band").orderBy(F.abs("skew").desc(), "column_name")
+    ranked = banded.withColumn("band_rank", F.row_number().over(w))
+    cap = F.create_map(*[F.lit(x) for kv in limits.items() for x in kv])
+    return ranked.filter(F.col("band_rank") <= cap[F.col("skew_band")]).select("column_name", "skew", "skew_band", "band_rank")
+
+
 # --- A41 / F12 -------------------------------------------------------------------------------------
 
 def range_rules(df: DataFrame, cols: Sequence[str], lo: float, hi: float) -> list[Column]:

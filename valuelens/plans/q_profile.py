@@ -250,3 +250,22 @@ def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
     return li.orderBy(*order).limit(5).select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+
+
+_SKEW_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
+
+
+@register(
+    "skew_report",
+    "WITH b AS (\n" + _union(
+        "SELECT '{c}' AS column_name, skewness({c}) AS skew FROM lineitem", _SKEW_COLS) + """),
+c AS (SELECT *, CASE WHEN abs(skew) > 2 THEN 'high' WHEN abs(skew) > 0.5 THEN 'moderate' ELSE 'symmetric' END AS skew_band
+      FROM b WHERE skew IS NOT NULL),
+r AS (SELECT *, row_number() OVER (PARTITION BY skew_band ORDER BY abs(skew) DESC, column_name) AS band_rank FROM c)
+SELECT column_name, round(skew, 4) AS skew, skew_band, band_rank FROM r
+WHERE band_rank <= CASE skew_band WHEN 'high' THEN 10 WHEN 'moderate' THEN 10 ELSE 5 END""",
+)
+def skew_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Skew bands with the most skewed columns of each band."""
+    m = pr.moments(table(spark, sf_dir, "lineitem"), _SKEW_COLS)
+    return round_doubles(pr.skew_report(m))
