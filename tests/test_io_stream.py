@@ -116,3 +116,13 @@ def test_partitioned_write_prunes_on_read(spark):
         back.explain(mode="formatted")
     assert "PartitionFilters: [isnotnull(c_mktsegment_part" in buf.getvalue()
     assert back.count() == c.filter(F.col("c_mktsegment") == "BUILDING").count()
+
+
+def test_bounded_state_dedupe_equals_batch(spark):
+    ev = table(spark, SF_SMALL, "events")
+    root = jobs.scratch(spark, "t-bounded")
+    s = jobs.file_stream(spark, SF_SMALL, ev.schema, "parquet", glob="events.parquet")
+    jobs.dedupe_keep_last_bounded(s, "user_id", ["ts", "event_id"], "ts", "400 days", f"{root}/log", f"{root}/ck")
+    streamed = jobs.current_rows(spark, f"{root}/log", "user_id", ["ts", "event_id"]).select(*ev.columns)
+    batch = dd.dedupe_keep_last(ev, "user_id", ["ts", "event_id"]).select(*ev.columns)
+    assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0

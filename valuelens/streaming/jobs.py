@@ -158,3 +158,64 @@ def windowed_profile_stream(stream: DataFrame, ts: str, window: str, keys: Seque
     if available_now:
         q.awaitTermination()
     return q
+
+
+def dedupe_keep_last_bounded(stream: DataFrame, key: str, order: Sequence[str], ts: str, horizon: str,
+                             changelog: str, checkpoint: str, available_now: bool = True):
+    """R2 with bounded state: keep-last per key through ``applyInPandasWithState``.
+
+    Each key's state is its current latest row; a key not seen for ``horizon``
+    of event time (past the watermark) times out and its state is dropped, so
+    state stays proportional to the recently active keys. Changed keys are
+    appended to a changelog each micro-batch (reduce it with ``current_rows``).
+    A key's rows of one micro-batch arrive as an iterator of Arrow chunks and
+    are reduced chunk by chunk (bounded memory), but in one task: for keys
+    that may hold a large share of every batch, ``dedupe_keep_last_stream``
+    (partial aggregation, unbounded state) is the skew-safe choice.
+    """
+    import pandas as pd
+    from pyspark.sql.streaming.state import GroupStateTimeout
+    from pyspark.sql.types import TimestampNTZType
+
+    cols = stream.columns
+    schema = stream.schema
+    et = F.col(ts).cast("timestamp") if isinstance(schema[ts].dataType, TimestampNTZType) else F.col(ts)
+    src = stream.withColumn("__et", et).withWatermark("__et", horizon)
+    order_idx = [cols.index(o) for o in order]
+
+    def _ms(text: str) -> int:
+        n, unit = text.split()
+        mult = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
+        return int(float(n) * mult * 1000)
+
+    span = _ms(horizon)
+
+    def latest(k, pdfs, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        best = state.get if state.exists else None
+        for pdf in pdfs:
+            pdf = pdf[cols]
+            top = pdf.sort_values(list(order), kind="mergesort").iloc[-1]
+            cand = tuple(top[c] for c in cols)
+            if best is None or tuple(cand[i] for i in order_idx) > tuple(best[i] for i in order_idx):
+                best = cand
+        if best is None:
+            return
+        state.update(best)
+        state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + span)
+        yield pd.DataFrame([best], columns=cols)
+
+    out = src.groupBy(key).applyInPandasWithState(latest, schema, schema, "Update", GroupStateTimeout.EventTimeTimeout)
+
+    def append_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("_batch_id", F.lit(batch_id)).write.mode("append").parquet(changelog)
+
+    w = out.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(append_batch)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    q = w.start()
+    if available_now:
+        q.awaitTermination()
+    return q
