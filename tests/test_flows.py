@@ -47,6 +47,9 @@ def test_ingest_empty_folder(spark):
 def test_clean_fit_transform(raw):
     plan = flows.fit_clean(raw)
     clean = flows.transform_clean(raw, plan)
+    audit = {r.step: r for r in plan.audit.collect()}
+    assert audit["drop_missing_target"].rows_out == clean.count()
+    assert audit["drop_goalkeepers"].rows_in == raw.count()
     assert "market_value" == clean.columns[-1]
     assert not set(plan.drops()) & set(clean.columns)
     assert clean.filter(F.col("market_value").isNull()).count() == 0

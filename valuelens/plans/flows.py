@@ -59,6 +59,7 @@ class CleanPlan:
     derived_dropped: list[str] = field(default_factory=list)
     fills: DataFrame | None = None
     vif_report: DataFrame | None = None
+    audit: DataFrame | None = None
     columns: list[str] = field(default_factory=list)
 
     def drops(self) -> list[str]:
@@ -81,6 +82,14 @@ def fit_clean(df: DataFrame, target: str = TARGET, sparse_pct: float = 50.0, pai
     prof = fe.fit_prune_sparse(d, sparse_pct)
     plan.sparse_dropped = [r.column_name for r in prof.filter("dropped = 1").collect()]
     d = fe.drop_columns(d, plan.sparse_dropped).dropna(subset=[target])
+    # A2: rows kept by each row-dropping step (three counts in one pass over the input)
+    c = df.withColumn("__cat", sg.classify_position("position")).agg(
+        F.count(F.lit(1)).alias("n_in"), F.count_if(F.col("__cat") != "GK").alias("n_outfield"),
+        F.count_if((F.col("__cat") != "GK") & F.col(target).isNotNull()).alias("n_target")).first()
+    plan.audit = df.sparkSession.createDataFrame([
+        ("drop_goalkeepers", c.n_in, c.n_outfield), ("drop_missing_target", c.n_outfield, c.n_target)],
+        "step string, rows_in long, rows_out long").withColumn("removed", F.col("rows_in") - F.col("rows_out")).withColumn(
+        "kept_pct", F.try_divide(F.col("rows_out"), F.col("rows_in")) * 100)
     numeric = pr.numeric_columns(d, exclude=[target, "is_DF", "is_MF", "is_FW"])
     tc = st.target_correlations(d, numeric, target, min_n=min_n)
     pairs = st.high_corr_pairs(st.corr_matrix_long(d, numeric), pair_threshold)
