@@ -226,3 +226,13 @@ def test_describe_distributed_quartiles_equal(spark):
     for c in cols:
         for f in ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]:
             assert abs(a[c][f] - b[c][f]) <= 1e-9 * max(1, abs(a[c][f]))
+
+
+def test_boxplot_distributed_equals_map(spark):
+    o = table(spark, SF_SMALL, "orders")
+    a = {r.o_orderpriority: r.asDict() for r in st.boxplot_summary(o, "o_orderpriority", "o_totalprice").collect()}
+    b = {r.o_orderpriority: r.asDict() for r in st.boxplot_summary(o, "o_orderpriority", "o_totalprice", quantiles="distributed").collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        for f, v in a[k].items():
+            assert v == b[k][f] or abs(v - b[k][f]) <= 1e-9 * max(1, abs(v))

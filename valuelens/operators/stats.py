@@ -504,11 +504,20 @@ def histogram(df: DataFrame, col: Column | str, bins: int = 50, name: str = "val
     )
 
 
-def boxplot_summary(df: DataFrame, group: str, value: str, whisker: float = 1.5) -> DataFrame:
-    """Per group quartiles, IQR, whiskers at the furthest data points inside the fences, outlier count."""
+def boxplot_summary(df: DataFrame, group: str, value: str, whisker: float = 1.5, quantiles: str = "map") -> DataFrame:
+    """Per group quartiles, IQR, whiskers at the furthest data points inside the fences, outlier count.
+
+    ``quantiles="distributed"`` takes the quartiles from operators.quantiles (exact, no per-group
+    value map)."""
     src = df.select(group, value).dropna()
-    q = src.groupBy(group).agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
-    q = q.select(group, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+    if quantiles == "distributed":
+        from valuelens.operators.quantiles import exact_percentiles
+
+        q = exact_percentiles(src, [group], value, [0.25, 0.5, 0.75]).groupBy(group).agg(
+            *[F.max(F.when(F.col("p") == p, F.col("q"))).alias(n) for p, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
+    else:
+        q = src.groupBy(group).agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
+        q = q.select(group, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo_f = F.col("q1") - whisker * F.col("iqr")
     hi_f = F.col("q3") + whisker * F.col("iqr")
