@@ -344,13 +344,15 @@ def quadrant_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
 m AS (SELECT quantile_cont(market_value, 0.5) AS mv FROM fw)
 SELECT c_custkey, round(market_value, 4) AS market_value, round(conversion_rate, 4) AS conversion_rate
 FROM fw, m WHERE forward_type = 'Clinical Finisher' AND market_value < mv
-ORDER BY conversion_rate DESC, c_custkey LIMIT 5""",
+ORDER BY round(conversion_rate, 6) DESC, c_custkey LIMIT 5""",
 )
 def undervalued_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = forwards(spark, sf_dir)
     m = f.agg(F.percentile("market_value", 0.5).alias("mv"))
     c = f.crossJoin(F.broadcast(m)).filter((F.col("forward_type") == "Clinical Finisher") & (F.col("market_value") < F.col("mv")))
-    top = gs.top_k(c, "conversion_rate", 5, ["c_custkey"])
+    # rank on the rate rounded to 6 decimals so rates equal up to float noise tie, then by key
+    c = c.withColumn("__rate", F.round("conversion_rate", 6))
+    top = gs.top_k(c, "__rate", 5, ["c_custkey"])
     return round_doubles(top.select("c_custkey", "market_value", "conversion_rate"))
 
 
