@@ -6,7 +6,9 @@ import os
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -64,22 +66,46 @@ def position_in(df: DataFrame, group: list[str], order: list[str], out: str) ->
     """0-based place of each row in its group by ``order``, safe for a group of any size.
 
     Rows are dealt by range over (group, order, row number of the scan), so a hot group,
-    even one of equal rows, spreads over many tasks. Each range numbers its own rows; a
-    table of one row per (range, group) gives the rows of a group in earlier ranges. The
-    ranges are checkpointed, as a second evaluation could draw other bounds. Null groups
-    are groups like others.
+    even one of equal rows, spreads over many tasks. Each range numbers its own rows as they
+    stream by and is written once (a second evaluation could draw other bounds); groups that
+    began in earlier ranges, at most one per range, get those ranges' counts added by a broadcast.
+    Null groups are groups like others. All columns of ``df`` are kept.
     """
     keys = [*group, *order, "__tie"]
     ranged = df.withColumn("__tie", F.monotonically_increasing_id())
-    ranged = checkpoint(ranged.repartitionByRange(partitions(df.sparkSession), *keys).withColumn("__pid", F.spark_partition_id()))
-    local = ranged.withColumn("__rn", F.row_number().over(Window.partitionBy("__pid", *group).orderBy(*order, "__tie")))
-    counts = ranged.groupBy("__pid", *group).agg(F.count(F.lit(1)).alias("__n"))
+    ranged = ranged.repartitionByRange(partitions(df.sparkSession), *keys).sortWithinPartitions(*keys)
+    ranged = ranged.drop("__tie").withColumn("__pid", F.spark_partition_id()).withColumn("__rn", F.lit(0).cast("long"))
+    schema = ranged.schema
+
+    def number(batches):
+        last, seen = None, 0
+        for b in batches:
+            n = b.num_rows
+            if not n:
+                continue
+            new = np.zeros(n, dtype=bool)
+            for g in group:
+                x = b.column(g)
+                one, two = x.slice(1), x.slice(0, n - 1)
+                differ = pc.fill_null(pc.not_equal(one, two), True)
+                both = pc.and_(pc.is_null(one), pc.is_null(two))
+                new[1:] |= np.asarray(pc.and_not(differ, both))
+            first = tuple(b.column(g)[0].as_py() for g in group)
+            new[0] = last is None or first != last
+            at = np.arange(n)
+            begin = np.maximum.accumulate(np.where(new, at, -1))
+            rn = np.where(begin < 0, at + seen, at - begin)
+            last, seen = tuple(b.column(g)[n - 1].as_py() for g in group), int(rn[-1]) + 1
+            yield b.set_column(b.schema.get_field_index("__rn"), "__rn", pa.array(rn, pa.int64()))
+
+    local = written(ranged.mapInArrow(number, schema))
+    counts = local.groupBy("__pid", *group).agg(F.count(F.lit(1)).alias("__n"))
     spread = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.withColumn("__off", F.coalesce(F.sum("__n").over(spread), F.lit(0)))
-    before = before.where("__off > 0").select(F.col("__pid").alias("__p2"), *[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], "__off")
+    before = counts.withColumn("__off", F.coalesce(F.sum("__n").over(spread), F.lit(0))).where("__off > 0")
+    before = before.select(F.col("__pid").alias("__p2"), *[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], "__off")
     same = F.col("__pid") == F.col("__p2")
     for i, g in enumerate(group):
         same = same & F.col(g).eqNullSafe(F.col(f"__g{i}"))
-    joined = local.join(before, same, "left")
-    return joined.withColumn(out, F.coalesce("__off", F.lit(0)) + F.col("__rn") - 1).drop(
-        "__pid", "__p2", "__rn", "__off", "__tie", *[f"__g{i}" for i in range(len(group))])
+    joined = local.join(F.broadcast(before), same, "left")  # at most one row per range
+    return joined.withColumn(out, F.coalesce("__off", F.lit(0)) + F.col("__rn")).drop(
+        "__pid", "__p2", "__rn", "__off", *[f"__g{i}" for i in range(len(group))])
