@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from valuelens.llm import q_tables, q_text  # noqa: F401
+from valuelens.llm import q_models, q_tables, q_text  # noqa: F401
 from valuelens.llm.tables import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
