@@ -109,3 +109,31 @@ def position_in(df: DataFrame, group: list[str], order: list[str], out: str) ->
     joined = local.join(F.broadcast(before), same, "left")  # at most one row per range
     return joined.withColumn(out, F.coalesce("__off", F.lit(0)) + F.col("__rn")).drop(
         "__pid", "__p2", "__rn", "__off", *[f"__g{i}" for i in range(len(group))])
+
+
+def grouped(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with equal (integer, not null) keys, for rows that come sorted by key. Groups must be of bounded size."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        cols = [np.asarray(b.column(k)) for k in key]
+        edge = np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols], axis=0)) + 1 if b.num_rows > 1 else np.zeros(0, np.int64)
+        begin = np.concatenate([[0], edge, [b.num_rows]]).tolist()
+        first = tuple(c[0] for c in cols)
+        if held and first != last:
+            yield _joined(held)
+            held = []
+        for i, (a, e) in enumerate(zip(begin[:-1], begin[1:])):
+            if i:
+                yield _joined(held)
+                held = []
+            held.append(b.slice(a, e - a))
+        last = tuple(c[-1] for c in cols)
+    if held:
+        yield _joined(held)
+
+
+def _joined(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return held[0] if len(held) == 1 else pa.concat_batches(held)

@@ -3,10 +3,10 @@
 A batch of texts is one byte buffer. Words are maximal runs of word bytes, found
 with a 256-entry lookup table, so no Python object is made per word.
 
-Two word classes are offered: ``ALNUM`` (ASCII letters and digits and every byte of
-a non-ASCII character, A-Z lowered) and ``NONSPACE`` (everything but space and
-the control characters 9 to 13). Both split at ASCII bytes only, so working on UTF-8
-bytes gives the same words as working on characters.
+Word classes: ``ALNUM`` (ASCII letters and digits and every byte of a non-ASCII
+character, A-Z lowered), ``NONSPACE`` (everything but space and the control characters 9
+to 13) and ``NONSPACE_LOWER`` (the same, A-Z lowered). All split at ASCII bytes only, so
+working on UTF-8 bytes gives the same words as working on characters.
 """
 
 from __future__ import annotations
@@ -24,8 +24,8 @@ _IS_ALNUM = ((_BYTES >= 48) & (_BYTES <= 57)) | ((_BYTES >= 97) & (_BYTES <= 122
 _IS_NONSPACE = ~((_BYTES == 32) | ((_BYTES >= 9) & (_BYTES <= 13)))
 
 #: Word classes: name -> table of word bytes.
-ALNUM, NONSPACE = "alnum", "nonspace"
-_TABLE = {ALNUM: _IS_ALNUM, NONSPACE: _IS_NONSPACE}
+ALNUM, NONSPACE, NONSPACE_LOWER = "alnum", "nonspace", "nonspace_lower"
+_TABLE = {ALNUM: _IS_ALNUM, NONSPACE: _IS_NONSPACE, NONSPACE_LOWER: _IS_NONSPACE}
 
 _KEEP = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], dtype=np.uint64)
 
@@ -48,7 +48,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 class Words:
     """Words of a batch. ``first[i]:first[i + 1]`` are the words of text i."""
 
-    data: np.ndarray  # bytes of all texts (lowered for ALNUM), 8 spare bytes at the end
+    data: np.ndarray  # bytes of all texts (lowered if the class says so), 8 spare bytes at the end
     start: np.ndarray  # first byte of each word
     end: np.ndarray  # byte after each word
     first: np.ndarray  # number of words before each text; one more entry than texts
@@ -105,7 +105,7 @@ def split(texts: pa.Array, kind: str) -> Words:
     raw = np.frombuffer(texts.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]]
     size = len(raw)
     data = np.zeros(size + 8, dtype=np.uint8)
-    data[:size] = _LOWER[raw] if kind == ALNUM else raw
+    data[:size] = raw if kind == NONSPACE else _LOWER[raw]
     inside = np.zeros(size + 1, dtype=bool)
     inside[:size] = _TABLE[kind][data[:size]]
     begin = offsets - offsets[0]
