@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from valuelens.llm import near_dup
+from valuelens.llm import embed_dup, near_dup
 from valuelens.llm.tables import register, table
 
 
 @register("op5_superminhash")
 def op5_superminhash(spark, sf_dir):
     return near_dup.classes(table(spark, sf_dir, "documents"), k=2)
+
+
+@register("op9_embedding_tiles")
+def op9_embedding_tiles(spark, sf_dir):
+    return embed_dup.near(table(spark, sf_dir, "embeddings"))

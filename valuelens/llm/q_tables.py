@@ -9,8 +9,6 @@ from valuelens.llm.mixing import mix
 from valuelens.llm.sharding import shard
 from valuelens.llm.tables import register, table
 
-_DROP = r"(?is)<!--.*?-->|<script[^>]*>.*?</script\s*>|<style[^>]*>.*?</style\s*>|<noscript[^>]*>.*?</noscript\s*>|<template[^>]*>.*?</template\s*>"
-
 
 def _sql_unescape(c: str) -> str:
     named = f"""replace(replace(replace(replace(replace({c}, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&apos;', ''''), '&nbsp;', ' ')"""
@@ -29,7 +27,7 @@ _UUID = "'<urn:uuid:' || h[1:8] || '-' || h[9:12] || '-' || h[13:16] || '-' || h
 WITH p AS (SELECT page_id, url, coalesce(html, '') AS html, md5(concat('response', chr(10), coalesce(CAST(page_id AS VARCHAR), ''), chr(10), coalesce(url, ''), chr(10), coalesce(html, ''))) AS h FROM pages),
 r AS (SELECT page_id, url, html, {_UUID} AS rid,
         'HTTP/1.1 200 OK' || chr(13) || chr(10) || 'Content-Type: text/html; charset=utf-8' || chr(13) || chr(10) || 'Content-Length: ' || strlen(html) AS head,
-        regexp_replace(html, '{_DROP}', ' ', 'g') AS bare FROM p),
+        regexp_replace(html, '{warc.DROP}', ' ', 'g') AS bare FROM p),
 f AS (SELECT *,
         'http-status: 200' || chr(13) || chr(10) || 'title: ' || {_LINE.format(_sql_unescape("regexp_extract(bare, '(?is)<title[^>]*>(.*?)</title', 1)"))}
         || chr(13) || chr(10) || 'language: ' || regexp_extract(html, '(?i)<html(?:\\s[^>]*?)?\\slang\\s*=\\s*["'']([^"''>]*)["'']', 1) || chr(13) || chr(10)

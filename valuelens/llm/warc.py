@@ -22,7 +22,7 @@ _BLOCKS = "p|div|br|hr|h[1-6]|li|ul|ol|dl|dt|dd|table|tr|td|th|article|section|n
 DROP = r"(?is)<!--.*?-->|<script[^>]*>.*?</script\s*>|<style[^>]*>.*?</style\s*>|<noscript[^>]*>.*?</noscript\s*>|<template[^>]*>.*?</template\s*>"
 BREAK = rf"(?i)</?(?:{_BLOCKS})(?:[\s/][^>]*)?>"
 TAG = r"<[a-zA-Z/!?][^>]*>"
-SPACES = r"[ \t\r\f\x0B\x{A0}]+"
+SPACES = r" *[\t\r\f\x0B\x{A0}][ \t\r\f\x0B\x{A0}]*| {2,}"
 #: Named entities decoded besides &amp;, which comes last.
 NAMED = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " "))
 
@@ -49,29 +49,41 @@ def responses(pages: DataFrame, date: str = "2024-01-01T00:00:00Z") -> DataFrame
         _digest(block).alias("block_digest"), _digest(html).alias("payload_digest"), block.alias("block"))
 
 
-def unescape(c: Column) -> Column:
-    """Character references decoded once: numeric ones, the NAMED ones and &amp;."""
+def _named(c: Column) -> Column:
     for name, value in NAMED:
         c = F.replace(c, F.lit(name), F.lit(value))
+    return c
+
+
+def unescape(c: Column) -> Column:
+    """Character references decoded once: the NAMED ones, numeric ones, and last &amp;."""
+    return _numeric(_named(c))
+
+
+def _numeric(c: Column) -> Column:
     refs = F.array_distinct(F.regexp_extract_all(c, F.lit(r"(&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});)"), F.lit(1)))
     digits = lambda e: F.regexp_extract(e, r"&#[xX]?([0-9a-fA-F]+);", 1)
     code = lambda e: F.when(F.lower(e).startswith("&#x"), F.conv(digits(e), 16, 10)).otherwise(digits(e)).cast("long")
     real = lambda k: (k > 0) & (k != 38) & (k < 0x110000) & ~k.between(0xD800, 0xDFFF)
     char = lambda k: F.decode(F.unhex(F.lpad(F.hex(k), 8, "0")), "UTF-32")
-    c = F.when(F.size(refs) <= 0, c).otherwise(F.aggregate(
-        refs, c, lambda text, e: F.when(real(code(e)), F.replace(text, e, char(code(e)))).otherwise(text)))
+    c = F.aggregate(refs, c, lambda text, e: F.when(real(code(e)), F.replace(text, e, char(code(e)))).otherwise(text))
     return F.regexp_replace(c, r"(?i)&amp;|&#0{0,4}38;|&#x0{0,4}26;", "&")
 
 
+def _without_tags(bare: Column) -> Column:
+    """Text with one line break per block tag; references of the NAMED kind decoded."""
+    return _named(F.regexp_replace(F.regexp_replace(bare, BREAK, "\n"), TAG, ""))
+
+
+def _tidy(text: Column) -> Column:
+    """Numeric references decoded, single spaces, no empty lines, no space at either end."""
+    t = F.regexp_replace(_numeric(text), SPACES, " ")
+    return F.btrim(F.regexp_replace(t, r" ?\n[ \n]*", "\n"), F.lit(" \n"))
+
+
 def plain_text(html: Column) -> Column:
     """Text of HTML: no comments, scripts or styles, one line per block, single spaces."""
-    t = F.regexp_replace(html, DROP, " ")
-    t = F.regexp_replace(t, BREAK, "\n")
-    t = F.regexp_replace(t, TAG, "")
-    t = unescape(t)
-    t = F.regexp_replace(t, SPACES, " ")
-    t = F.regexp_replace(t, r" ?\n[ \n]*", "\n")
-    return F.btrim(t, F.lit(" \n"))
+    return _tidy(_without_tags(F.regexp_replace(html, DROP, " ")))
 
 
 def derive(records: DataFrame) -> DataFrame:
@@ -88,7 +100,9 @@ def derive(records: DataFrame) -> DataFrame:
     cut = F.locate(CRLF + CRLF, F.col("b"))
     r = r.withColumn("cut", cut).withColumn("source_headers", F.when(F.col("cut") > 0, F.expr("substring(b, 1, cut - 1)")).otherwise(F.col("b")))
     r = r.withColumn("html", F.when(F.col("cut") > 0, F.expr("substring(b, cut + 4)")).otherwise(F.lit(""))).drop("b", "cut")
-    bare = F.regexp_replace("html", DROP, " ")
+    # columns of their own, so that each pass over the text runs once
+    r = r.withColumn("bare", F.regexp_replace("html", DROP, " ")).withColumn("untagged", _without_tags(F.col("bare")))
+    bare = F.col("bare")
     links = F.regexp_extract_all(bare, F.lit(r"(?i)<a\s(?:[^>]*?\s)?href\s*=\s*[\"']([^\"'>]*)[\"']"), F.lit(1))
     one_line = lambda c: F.btrim(F.regexp_replace(c, r"\s+", " "), F.lit(" "))
     title = one_line(unescape(F.regexp_extract(bare, r"(?is)<title[^>]*>(.*?)</title", 1)))
@@ -97,7 +111,7 @@ def derive(records: DataFrame) -> DataFrame:
     fields = F.concat(
         F.lit("http-status: "), status, F.lit(f"{CRLF}title: "), title, F.lit(f"{CRLF}language: "), lang, F.lit(CRLF),
         F.array_join(F.transform(links, lambda x: F.concat(F.lit("outlink: "), one_line(unescape(x)), F.lit(CRLF))), ""))
-    r = r.withColumn("fields", fields).withColumn("text", plain_text(F.col("html"))).drop("html")
+    r = r.withColumn("fields", fields).withColumn("text", _tidy(F.col("untagged"))).drop("html", "bare", "untagged")
     kinds = F.array(
         F.struct(F.lit("metadata").alias("record_type"), F.lit("application/warc-fields").alias("content_type"), F.col("fields").alias("block")),
         F.struct(F.lit("conversion").alias("record_type"), F.lit("text/plain; charset=utf-8").alias("content_type"), F.col("text").alias("block")))
