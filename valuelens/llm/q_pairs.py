@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from valuelens.llm import embed_dup, near_dup
+from valuelens.llm import embed_dup, near_dup, substrings
 from valuelens.llm.tables import register, table
 
 
@@ -14,3 +14,19 @@ def op5_superminhash(spark, sf_dir):
 @register("op9_embedding_tiles")
 def op9_embedding_tiles(spark, sf_dir):
     return embed_dup.near(table(spark, sf_dir, "embeddings"))
+
+
+@register("op7_recompression", r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS g
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),
+dup AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS rn FROM win) WHERE rn > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM dup),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id LEFT JOIN n ON d.doc_id = n.doc_id
+""")
+def op7_recompression(spark, sf_dir):
+    return substrings.without_repeats(table(spark, sf_dir, "documents"), text_kept=False)

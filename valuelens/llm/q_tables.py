@@ -16,7 +16,7 @@ def _sql_unescape(c: str) -> str:
     code = "CASE WHEN lower(e)[:3] = '&#x' THEN CAST('0x' || lpad(e[4:-2], 8, '0') AS BIGINT) ELSE CAST(e[3:-2] AS BIGINT) END"
     numeric = f"""list_reduce(list_prepend({named}, list_filter({refs}, lambda e: {code} > 0 AND {code} <> 38 AND {code} < 1114112
         AND {code} NOT BETWEEN 55296 AND 57343)), lambda t, e: replace(t, e, chr(CAST({code} AS INTEGER))))"""
-    return f"regexp_replace({numeric}, '(?i)&amp;|&#0{{0,4}}38;|&#x0{{0,4}}26;', '&', 'g')"
+    return f"regexp_replace({numeric}, '&(?:(?i:amp)|#0{{0,4}}38|#[xX]0{{0,4}}26);', '&', 'g')"
 
 
 _LINE = "trim(regexp_replace({}, '\\s+', ' ', 'g'), ' ')"

@@ -19,10 +19,10 @@ CRLF = "\r\n"
 _BLOCKS = "p|div|br|hr|h[1-6]|li|ul|ol|dl|dt|dd|table|tr|td|th|article|section|nav|header|footer|main|aside|title|head|body|html|pre|blockquote|form|figure"
 
 #: Patterns removed from HTML or replaced, in this order (dot matches line ends).
-DROP = r"(?is)<!--.*?-->|<script[^>]*>.*?</script\s*>|<style[^>]*>.*?</style\s*>|<noscript[^>]*>.*?</noscript\s*>|<template[^>]*>.*?</template\s*>"
-BREAK = rf"(?i)</?(?:{_BLOCKS})(?:[\s/][^>]*)?>"
+DROP = r"(?s)<(?:!--.*?-->|(?i:script[^>]*>.*?</script\s*>|style[^>]*>.*?</style\s*>|noscript[^>]*>.*?</noscript\s*>|template[^>]*>.*?</template\s*>))"
+BREAK = rf"</?(?i:{_BLOCKS})(?:[\s/][^>]*)?>"
 TAG = r"<[a-zA-Z/!?][^>]*>"
-SPACES = r" *[\t\r\f\x0B\x{A0}][ \t\r\f\x0B\x{A0}]*| {2,}"
+SPACES = r"[\t\r\f\x0B\x{A0}]+"
 #: Named entities decoded besides &amp;, which comes last.
 NAMED = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " "))
 
@@ -67,7 +67,7 @@ def _numeric(c: Column) -> Column:
     real = lambda k: (k > 0) & (k != 38) & (k < 0x110000) & ~k.between(0xD800, 0xDFFF)
     char = lambda k: F.decode(F.unhex(F.lpad(F.hex(k), 8, "0")), "UTF-32")
     c = F.aggregate(refs, c, lambda text, e: F.when(real(code(e)), F.replace(text, e, char(code(e)))).otherwise(text))
-    return F.regexp_replace(c, r"(?i)&amp;|&#0{0,4}38;|&#x0{0,4}26;", "&")
+    return F.regexp_replace(c, r"&(?:(?i:amp)|#0{0,4}38|#[xX]0{0,4}26);", "&")
 
 
 def _without_tags(bare: Column) -> Column:
@@ -77,8 +77,8 @@ def _without_tags(bare: Column) -> Column:
 
 def _tidy(text: Column) -> Column:
     """Numeric references decoded, single spaces, no empty lines, no space at either end."""
-    t = F.regexp_replace(_numeric(text), SPACES, " ")
-    return F.btrim(F.regexp_replace(t, r" ?\n[ \n]*", "\n"), F.lit(" \n"))
+    t = F.regexp_replace(F.regexp_replace(_numeric(text), SPACES, " "), "  +", " ")
+    return F.btrim(F.replace(F.regexp_replace(t, r"\n[ \n]+", "\n"), F.lit(" \n"), F.lit("\n")), F.lit(" \n"))
 
 
 def plain_text(html: Column) -> Column:
