@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from valuelens.llm import licenses
 from valuelens.llm.decontaminate import decontaminate
 from valuelens.llm.tables import register, table
 
@@ -30,3 +31,10 @@ def op2_decontamination(spark, sf_dir):
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@register("op4_license_rules")
+def op4_license_rules(spark, sf_dir):
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"),
+                        F.array_join("labels", ",").alias("labels"), "score", F.to_json("detections").alias("detections"))
