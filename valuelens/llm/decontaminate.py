@@ -138,11 +138,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, max_window
     """
     bench = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text"))
     docs = docs.select("doc_id", F.col(text_column).alias("text"))
-    total = bench.agg(F.sum(F.size(F.split(F.coalesce("text", F.lit("")), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")))).first()[0] or 0
-    if total > max_windows:
+    index = _index(bench, n, max_windows)
+    if index is None:
         return _by_join(docs, bench, n, clean_text)
-    rows = bench.collect()  # at most max_windows words
-    index = build_index([r[0] for r in rows], [r[1] for r in rows], n)
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(batches):
@@ -154,6 +152,33 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, max_window
     return map_arrow(docs, run, _schema(docs))
 
 
+def clean_documents(docs: DataFrame, benchmark: DataFrame, n: int = 10, max_windows: int = 4_000_000) -> DataFrame:
+    """The rows of docs, with all their columns, in which no window of the benchmark occurs."""
+    bench = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text"))
+    index = _index(bench, n, max_windows)
+    if index is None:
+        hit = _by_join(docs.select("doc_id", "text"), bench, n, False).where("n_hit > 0").select(F.col("doc_id").alias("__hit")).distinct()
+        return docs.join(hit, docs["doc_id"].eqNullSafe(F.col("__hit")), "left_anti")
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+
+    def run(batches):
+        for b in W.pieces(batches):
+            w, hit, _ = scan(b.column("text"), shared.value)
+            total = np.concatenate([[0], np.cumsum(hit)])
+            yield b.filter(pa.array(total[w.first[1:]] == total[w.first[:-1]]))
+
+    return map_arrow(docs, run, docs.schema)
+
+
+def _index(bench: DataFrame, n: int, max_windows: int) -> Index | None:
+    """The index of a benchmark of at most max_windows words, else None."""
+    total = bench.agg(F.sum(F.size(F.split(F.coalesce("text", F.lit("")), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")))).first()[0] or 0
+    if total > max_windows:
+        return None
+    rows = bench.collect()  # at most max_windows words
+    return build_index([r[0] for r in rows], [r[1] for r in rows], n)
+
+
 def _schema(docs: DataFrame) -> str:
     return f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {ADDED}"
 
