@@ -24,6 +24,8 @@ from valuelens.llm.tables import map_arrow, position_in, written
 
 #: Weights of the sources in code-point order, repeated.
 WEIGHTS = (3, 1, 2)
+#: Documents of each length that the proportional share leaves to the fit.
+FREE = 8
 
 
 def reach(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
@@ -70,19 +72,20 @@ def fit(sizes: np.ndarray, counts: np.ndarray, target: float, window: int = 1 <<
     budget = int(round(target - passes * total)) if passes < 2 else 0
     if budget >= total:
         return passes + 1, take
-    take = (counts * budget) // total if total < 2**31 else np.array([int(c) * budget // total for c in counts.tolist()])
+    # a proportional share, less a few documents of each length that stay free for the fit
+    take = np.array([max(0, int(c) * budget // total - FREE) for c in counts.tolist()])
     take[sizes == 0] = 0
     budget -= int((take * sizes).sum())
     for i in np.argsort(-sizes, kind="stable").tolist():
         if budget <= window:
             break
         if sizes[i] > 0:
-            more = min(int(counts[i] - take[i]), (budget - window) // int(sizes[i]) + 1, budget // int(sizes[i]))
+            more = min(int(counts[i] - take[i]), (budget - window) // int(sizes[i]))
             take[i] += more
             budget -= more * int(sizes[i])
     # longest first: the table then reaches far sums early
     order = np.argsort(-sizes, kind="stable")
-    take[order] += reach(sizes[order], (counts - take)[order], min(budget, 4 * window))
+    take[order] += reach(sizes[order], (counts - take)[order], min(budget, window + int(sizes.max())))
     return passes, take
 
 
