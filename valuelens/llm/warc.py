@@ -149,5 +149,7 @@ def parse(records: DataFrame) -> DataFrame:
 
 
 def write_warc(records: DataFrame, path: str) -> None:
-    """One text file of WARC records per partition, written by Spark (gzip, so lines end as written)."""
-    serialise(records).select(F.decode("bytes", "UTF-8").alias("value")).write.option("lineSep", "").option("compression", "gzip").text(path)
+    """Text files of WARC records, one per partition, compressed by Spark's writer."""
+    text = F.decode("bytes", "UTF-8")
+    body = serialise(records).select(F.substring(text, F.lit(1), F.length(text) - 2).alias("value"))
+    body.write.option("lineSep", CRLF).option("compression", "gzip").text(path)  # the writer adds the last line end
