@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from valuelens.llm import words as W
 from valuelens.llm.components import _forest, connected_components
 from valuelens.llm.superminhash import signatures
-from valuelens.llm.tables import grouped, map_arrow, partitions, written
+from valuelens.llm.tables import filtered_shuffles, grouped, map_arrow, partitions, written
 
 BANDS, ROWS = 24, 5
 SLOTS = BANDS * ROWS
@@ -262,8 +262,8 @@ def classes(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (4, 5), ki
     in_buckets = found.where("partner is null").select("bucket", "node").distinct()
     active = stars.select("node").union(stars.select("center")).union(in_buckets.select("node")).distinct()
     # the node's set as found before, as an id may come with several texts
-    wanted = active.join(nodes.select("node", F.col("n").alias("__n"), F.col("s1").alias("__s")), "node")
-    texts = docs.where("text is not null").select(F.col("doc_id").alias("node"), "text").join(wanted, "node")
+    wanted = written(active.join(nodes.select("node", F.col("n").alias("__n"), F.col("s1").alias("__s")), "node"))
+    texts = docs.where("text is not null").select(F.col("doc_id").alias("node"), "text").join(wanted.where("__n > 0"), "node")
 
     def sets(batches):
         for b in W.pieces(batches):
@@ -274,7 +274,8 @@ def classes(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (4, 5), ki
             out = pa.RecordBatch.from_arrays([b.column("node"), pa.array(blobs, pa.binary())], names=["node", "members"])
             yield out.filter(pa.array(same))
 
-    members = written(map_arrow(texts, sets, f"node {id_type}, members binary"))
+    with filtered_shuffles(docs.sparkSession):
+        members = written(map_arrow(texts, sets, f"node {id_type}, members binary"))
 
     salt = F.pmod(F.xxhash64("node"), F.col("salts")).cast("int")
     salted = stars.join(stars.groupBy("center").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("salts")), "center")

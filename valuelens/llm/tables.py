@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +54,25 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def filtered_shuffles(spark: SparkSession):
+    """Let Spark put a Bloom filter of a join's small side before the large side's shuffle, at any scan size.
+
+    The small side must carry a comparison (Spark takes it for selective then). A filter too full only
+    lets more rows through. For jobs that run inside the block.
+    """
+    keys = {"applicationSideScanSizeThreshold": "1MB", "creationSideThreshold": "64GB"}
+    names = {f"spark.sql.optimizer.runtime.bloomFilter.{k}": v for k, v in keys.items()}
+    before = {k: spark.conf.get(k) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     ship_package(df.sparkSession)
     return df.mapInArrow(fn, schema)
