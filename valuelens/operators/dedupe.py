@@ -68,8 +68,14 @@ def position_in_group(df: DataFrame, group: Sequence[str], order: Sequence[str],
     before = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
     local = ranged.withColumn("__rn", F.row_number().over(Window.partitionBy("__pid", *group).orderBy(*order)))
-    j = local.join(offsets, ["__pid", *group], "left")
-    return j.withColumn(out, F.col("__off") + F.col("__rn") - 1).drop("__pid", "__rn", "__off")
+    # null groups are groups like others
+    before = offsets.select(F.col("__pid").alias("__p2"), "__off", *[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)])
+    same = F.col("__pid") == F.col("__p2")
+    for i, g in enumerate(group):
+        same = same & F.col(g).eqNullSafe(F.col(f"__g{i}"))
+    j = local.join(before, same, "left")
+    return j.withColumn(out, F.col("__off") + F.col("__rn") - 1).drop(
+        "__pid", "__p2", "__rn", "__off", *[f"__g{i}" for i in range(len(group))])
 
 
 def collision_suffix(df: DataFrame, base: str, scope: Sequence[str], order: Sequence[str], out: str = "id",

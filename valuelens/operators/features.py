@@ -116,11 +116,32 @@ def engineered(df: DataFrame) -> DataFrame:
 # --- M1 / M2 / M3 ---------------------------------------------------------------------------------
 
 def fit_impute(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], approx: bool = False) -> DataFrame:
-    """M1 + M2 fit: one aggregate giving the exact median of each numeric column and the mode
-    (smallest among ties) of each categorical column. Returns a one-row plan table."""
-    aggs = [(F.percentile_approx(c, 0.5, 10000) if approx else F.median(c)).alias(c) for c in numeric]
-    aggs += [F.mode(F.col(c), True).alias(c) for c in categorical]
-    return df.agg(*aggs)
+    """M1 + M2 fit: the exact median of each numeric column and the mode (smallest among ties)
+    of each categorical column. Returns a one-row plan table.
+
+    Both come from the long (column, value) form, so no column's values meet in one task."""
+    from valuelens.operators.profile import numeric_long
+    from valuelens.operators.quantiles import exact_percentiles
+
+    numeric, categorical = list(numeric), list(categorical)
+    pick = lambda t, c, v: F.max(F.when(F.col("column_name") == c, F.col(v))).alias(c)
+    parts = []
+    if numeric:
+        if approx:
+            parts.append(df.agg(*[F.percentile_approx(F.col(f"`{c}`"), 0.5, 10000).alias(c) for c in numeric]))
+        else:
+            med = exact_percentiles(numeric_long(df, numeric), ["column_name"], "x", [0.5])
+            parts.append(med.agg(*[pick(med, c, "q") for c in numeric]))
+    if categorical:
+        cells = df.select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("v")) for c in categorical]))).where("v is not null")
+        top = cells.groupBy("column_name", "v").count().groupBy("column_name").agg(
+            F.min_by("v", F.struct(-F.col("count"), F.col("v"))).alias("mode"))
+        parts.append(top.agg(*[pick(top, c, "mode") for c in categorical]))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.crossJoin(F.broadcast(p))  # one row each
+    return out
 
 
 def transform_impute(df: DataFrame, plan: DataFrame, unknown: str = "Unknown") -> DataFrame:
@@ -259,6 +280,11 @@ def standardize_pop(df: DataFrame, cols: Sequence[str], suffix: str = "_z") -> D
 
 def percentile_trim(df: DataFrame, col: str, lo: float = 0.01, hi: float = 0.99, approx: bool = False) -> DataFrame:
     """P20: keep rows with p_lo <= col <= p_hi (inclusive; exact linear percentiles by default)."""
-    q = F.percentile_approx(col, [lo, hi], 10000) if approx else F.percentile(F.col(col), F.array(F.lit(lo), F.lit(hi)))
-    b = df.agg(q.alias("__b")).select(F.col("__b")[0].cast("double").alias("__lo"), F.col("__b")[1].cast("double").alias("__hi"))
+    if approx:
+        b = df.agg(F.percentile_approx(col, [lo, hi], 10000).alias("__b")).select(
+            F.col("__b")[0].cast("double").alias("__lo"), F.col("__b")[1].cast("double").alias("__hi"))
+    else:
+        from valuelens.operators.quantiles import quantile_columns
+
+        b = quantile_columns(df, [], col, {"__lo": lo, "__hi": hi})
     return df.crossJoin(F.broadcast(b)).filter(F.col(col).between(F.col("__lo"), F.col("__hi"))).drop("__lo", "__hi")

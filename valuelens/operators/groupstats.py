@@ -12,6 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from valuelens.operators.quantiles import with_quantiles
+
+QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+
 
 def np_round(c: Column, digits: int) -> Column:
     """Round the scaled binary value (numpy / pandas ``.round`` semantics; exact .5 ties go up)."""
@@ -26,8 +30,7 @@ def py_round(c: Column, digits: int) -> Column:
     return F.bround(c * m, 0) / m
 
 
-def group_stats_quartiles(df: DataFrame, group: str, value: str, round_inputs: int | None = 2, approx: bool = False,
-                          quantiles: str = "map") -> DataFrame:
+def group_stats_quartiles(df: DataFrame, group: str, value: str, round_inputs: int | None = 2, approx: bool = False) -> DataFrame:
     """Size, min, Q1, median, mean, Q3, max, std (n-1) per group; IQR and CV % derived.
 
     With ``round_inputs`` the eight statistics are rounded first and IQR / CV
@@ -36,21 +39,13 @@ def group_stats_quartiles(df: DataFrame, group: str, value: str, round_inputs: i
     """
     aggs = [F.count(F.lit(1)).alias("size"), F.min(value).cast("double").alias("min"),
             F.avg(value).alias("mean"), F.max(value).cast("double").alias("max"), F.stddev_samp(value).alias("std")]
-    if quantiles == "distributed":
-        # exact quartiles without a per-group value map (operators.quantiles), joined to the moments
-        from valuelens.operators.quantiles import exact_percentiles
-
-        qs = exact_percentiles(df, [group], value, [0.25, 0.5, 0.75]).groupBy(group).agg(
-            F.array(*[F.max(F.when(F.col("p") == p, F.col("q"))) for p in (0.25, 0.5, 0.75)]).alias("__q"))
-        g = df.groupBy(group).agg(*aggs).join(qs, group, "left")
+    if approx:
+        q = F.percentile_approx(value, [0.25, 0.5, 0.75], 10000).cast("array<double>")
+        g = df.groupBy(group).agg(*aggs, q.alias("__q")).withColumns(
+            {n: F.col("__q")[i] for i, n in enumerate(("q1", "median", "q3"))})
     else:
-        q = (F.percentile_approx(value, [0.25, 0.5, 0.75], 10000).cast("array<double>") if approx or quantiles == "approx"
-             else F.percentile(F.col(value), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
-        g = df.groupBy(group).agg(*aggs, q.alias("__q"))
-    g = g.select(
-        group, "size", "min", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"), "mean",
-        F.col("__q")[2].alias("q3"), "max", "std",
-    )
+        g = with_quantiles(df.groupBy(group).agg(*aggs), df, [group], value, QUARTILES)
+    g = g.select(group, "size", "min", "q1", "median", "mean", "q3", "max", "std")
     if round_inputs is not None:
         for c in ["min", "q1", "median", "mean", "q3", "max", "std"]:
             g = g.withColumn(c, np_round(F.col(c), round_inputs))

@@ -59,6 +59,10 @@ def _pipeline(features: Sequence[str], label: str, regressor) -> Pipeline:
     return Pipeline(stages=[va, regressor])
 
 
+#: Files read per training partition, at most about this many bytes.
+PARTITION_BYTES = 256 << 20
+
+
 def random_forest(features: Sequence[str], label: str, **params) -> Pipeline:
     """M11."""
     p = {**RF_PARAMS, **params}
@@ -83,13 +87,13 @@ def training_input(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     Tree induction scans its input once per level; after a join, AQE sizes
     partitions for SQL (128 MB advisory) and can leave fewer partitions than
     cores, so the learner would run on a few tasks. The rows are spread over
-    2 x default parallelism partitions and
-    kept (memory, spilling to disk) for the passes of one fit. The partition
-    count follows the cluster's cores (2 x default parallelism), not the SQL
-    shuffle setting: every tree level is a pass over all partitions.
+    2 x default parallelism partitions, or more if the files they come from
+    hold more than PARTITION_BYTES for each, and kept (memory, spilling to disk)
+    for the passes of one fit. Callers unpersist them.
     """
-    spark = df.sparkSession
-    n = 2 * spark.sparkContext.defaultParallelism
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    read = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    n = max(2 * df.sparkSession.sparkContext.defaultParallelism, min(read // PARTITION_BYTES, 1 << 20))
     from pyspark import StorageLevel
 
     return df.select(*cols).repartition(n).persist(StorageLevel.MEMORY_AND_DISK)
@@ -189,11 +193,14 @@ def best_model(metrics: DataFrame, metric: str = "test_r2") -> DataFrame:
 def ensemble(predictions: DataFrame, key: str, actual: str | None = None) -> DataFrame:
     """Long (key, model, prediction) -> per row: mean, min, max, population std over models, and
     each model's difference and % difference from the mean; error vs actual when given."""
+    cells = F.struct("model", "prediction", *([actual] if actual else []))
     stats = predictions.groupBy(key).agg(
         F.avg("prediction").alias("ens_mean"), F.min("prediction").alias("ens_min"),
         F.max("prediction").alias("ens_max"), F.stddev_pop("prediction").alias("ens_std"),
+        F.collect_list(cells).alias("__c"),  # a row per model
     )
-    out = predictions.join(stats, key)
+    out = stats.withColumn("__c", F.explode("__c")).select(
+        key, "__c.model", "__c.prediction", *([F.col(f"__c.{actual}")] if actual else []), "ens_mean", "ens_min", "ens_max", "ens_std")
     out = out.withColumn("diff_from_avg", F.col("prediction") - F.col("ens_mean")).withColumn(
         "diff_pct", F.try_divide(F.col("diff_from_avg"), F.col("ens_mean")) * 100)
     if actual:
@@ -209,19 +216,23 @@ def group_mispricing(scored: DataFrame, group: str, actual: str, predicted: str,
     r = scored.withColumn("residual", F.col(actual) - F.col(predicted)).withColumn(
         "residual_pct", F.try_divide(F.col("residual"), F.col(predicted)) * 100)
     m = float(10 ** round_first)
+    from valuelens.operators.quantiles import with_quantiles
+
     g = r.groupBy(group).agg(
         (F.round(F.avg("residual") * m) / m).alias("mean_residual"),
-        (F.round(F.median("residual") * m) / m).alias("median_residual"),
         F.count("residual").alias("count"),
         (F.round(F.avg("residual_pct") * m) / m).alias("mean_residual_pct"),
     )
-    return g.filter(F.col("count") >= min_count)
+    g = with_quantiles(g, r, [group], "residual", {"__median": 0.5}).filter(F.col("count") >= min_count)
+    return g.select(group, "mean_residual", (F.round(F.col("__median") * m) / m).alias("median_residual"), "count", "mean_residual_pct")
 
 
 def score_summary(scored: DataFrame, col: str = "predicted_value") -> DataFrame:
     """Mean, median, max, min of the predictions of a batch."""
-    return scored.agg(F.avg(col).alias("mean"), F.median(col).alias("median"), F.max(col).alias("max"), F.min(col).alias("min"),
-                      F.count(col).alias("n"))
+    from valuelens.operators.quantiles import with_quantiles
+
+    stats = scored.agg(F.avg(col).alias("mean"), F.max(col).alias("max"), F.min(col).alias("min"), F.count(col).alias("n"))
+    return with_quantiles(stats, scored, [], col, {"median": 0.5}).select("mean", "median", "max", "min", "n")
 
 
 def feature_importance(model: PipelineModel, features: Sequence[str], spark: SparkSession) -> DataFrame:

@@ -13,14 +13,7 @@ from pyspark.sql import functions as F
 
 from valuelens.functions.segment import right_closed_bins
 from valuelens.operators.groupstats import np_round
-
-
-def _median(col: str, approx: bool) -> Column:
-    # Exact median keeps a value->count map per group; for groups with an
-    # unbounded number of distinct values switch to the sketch.
-    if approx:
-        return F.percentile_approx(col, 0.5, 10000)
-    return F.median(col)
+from valuelens.operators.quantiles import with_quantiles
 
 
 def centered_mean(col: str, order: Column | str, partition: list[str] | None = None, width: int = 3) -> Column:
@@ -39,30 +32,24 @@ def centered_mean(col: str, order: Column | str, partition: list[str] | None = N
     return total / width
 
 
-def key_stats(df: DataFrame, keys: list[str], value: str, approx: bool = False, with_std: bool = True,
-              quantiles: str = "map") -> DataFrame:
+def key_stats(df: DataFrame, keys: list[str], value: str, approx: bool = False, with_std: bool = True) -> DataFrame:
     """Mean, median, std (n-1), count of ``value`` per key; rows with a NULL key or value are skipped.
 
-    ``quantiles="distributed"`` takes the exact median from operators.quantiles
-    (no per-key value map; a hot key is spread over many tasks)."""
+    The median is exact, without a per-key value map (operators.quantiles), unless ``approx``."""
     src = df.select(*keys, value).dropna(subset=[*keys, value])
     aggs = [F.avg(value).alias("mean")]
-    if quantiles != "distributed":
-        aggs.append(_median(value, approx or quantiles == "approx").alias("median"))
+    if approx:
+        aggs.append(F.percentile_approx(value, 0.5, 10000).alias("median"))
     if with_std:
         aggs.append(F.stddev_samp(value).alias("std"))
     aggs.append(F.count(F.lit(1)).alias("count"))
     out = src.groupBy(*keys).agg(*aggs)
-    if quantiles == "distributed":
-        from valuelens.operators.quantiles import exact_percentiles
-
-        med = exact_percentiles(src, keys, value, [0.5]).select(*keys, F.col("q").alias("median"))
-        out = out.join(med, keys, "left").select(*keys, "mean", "median", *(["std"] if with_std else []), "count")
-    return out
+    if not approx:
+        out = with_quantiles(out, src, keys, value, {"median": 0.5})
+    return out.select(*keys, "mean", "median", *(["std"] if with_std else []), "count")
 
 
-def value_curve(df: DataFrame, key: str, value: str, min_count: int | None = None, approx: bool = False,
-                quantiles: str = "map") -> DataFrame:
+def value_curve(df: DataFrame, key: str, value: str, min_count: int | None = None, approx: bool = False) -> DataFrame:
     """Curve of ``value`` by ordered ``key``.
 
     Columns: key, mean, median, std, count, mean_smooth, median_smooth, cv,
@@ -70,7 +57,7 @@ def value_curve(df: DataFrame, key: str, value: str, min_count: int | None = Non
     keys; ``min_count`` filters afterwards (W6), so it cannot move below the
     windows.
     """
-    stats = key_stats(df, [key], value, approx, quantiles=quantiles)
+    stats = key_stats(df, [key], value, approx)
     o = Window.orderBy(key)
     curve = (
         stats.withColumn("mean_smooth", centered_mean("mean", key))

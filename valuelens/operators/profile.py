@@ -176,13 +176,10 @@ def value_counts_pct(df: DataFrame, col: str) -> DataFrame:
 
 def global_summary(df: DataFrame, col: str) -> DataFrame:
     """A10: min, max, mean, median, std (n-1) of one column."""
-    return df.agg(
-        F.min(col).alias("min"), F.max(col).alias("max"), F.avg(col).alias("mean"),
-        F.median(col).alias("median"), F.stddev_samp(col).alias("std"),
-    )
-
+    from valuelens.operators.quantiles import with_quantiles
 
-WIDE_LIMIT = 8  # above this many columns, per-column statistics run on the long (column, value) form
+    stats = df.agg(F.min(col).alias("min"), F.max(col).alias("max"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"))
+    return with_quantiles(stats, df, [], col, {"median": 0.5}).select("min", "max", "mean", "median", "std")
 
 
 def numeric_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -195,57 +192,22 @@ def numeric_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return pairs.withColumn("column_name", names[F.col("ci")])
 
 
-def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False,
-                     quantiles: str = "map") -> DataFrame:
+def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
     """Count, mean, std (n-1), min, 25/50/75 % (exact, linear), max per numeric column.
 
-    Up to ``WIDE_LIMIT`` columns: one wide aggregate; beyond: the long form
-    grouped by column (same values, flat plan). ``quantiles="distributed"``
-    takes the quartiles from operators.quantiles (exact, no per-column value map)."""
-    cols = list(cols or numeric_columns(df))
-    if quantiles == "distributed":
-        from valuelens.operators.quantiles import exact_percentiles
-
-        long = numeric_long(df, cols)
-        mom = long.groupBy("ci", "column_name").agg(
-            F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
-            F.min("x").alias("min"), F.max("x").alias("max"))
-        qs = exact_percentiles(long, ["column_name"], "x", [0.25, 0.5, 0.75]).groupBy("column_name").agg(
-            *[F.max(F.when(F.col("p") == p, F.col("q"))).alias(n) for p, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))])
-        return mom.join(qs, "column_name", "left").select(
-            "column_name", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
-    if len(cols) > WIDE_LIMIT:
-        q = F.percentile_approx("x", [0.25, 0.5, 0.75], 10000).cast("array<double>") if approx else F.percentile(
-            F.col("x"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        g = numeric_long(df, cols).groupBy("ci", "column_name").agg(
-            F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"), F.min("x").alias("min"),
-            q.alias("__q"), F.max("x").alias("max"))
-        return g.select("column_name", "count", "mean", "std", "min", F.col("__q")[0].alias("q25"),
-                        F.col("__q")[1].alias("q50"), F.col("__q")[2].alias("q75"), "max")
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(_q(c)).cast("double")
-        q = F.percentile_approx(x, [0.25, 0.5, 0.75], 10000).cast("array<double>") if approx else F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        aggs += [
-            F.count(x).alias(f"__c_{i}"), F.avg(x).alias(f"__m_{i}"), F.stddev_samp(x).alias(f"__s_{i}"),
-            F.min(x).alias(f"__lo_{i}"), q.alias(f"__q_{i}"), F.max(x).alias(f"__hi_{i}"),
-        ]
-    summary = df.agg(*aggs)
-    structs = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.col(f"__c_{i}").alias("count"),
-            F.col(f"__m_{i}").alias("mean"),
-            F.col(f"__s_{i}").alias("std"),
-            F.col(f"__lo_{i}").alias("min"),
-            F.col(f"__q_{i}")[0].alias("q25"),
-            F.col(f"__q_{i}")[1].alias("q50"),
-            F.col(f"__q_{i}")[2].alias("q75"),
-            F.col(f"__hi_{i}").alias("max"),
-        )
-        for i, c in enumerate(cols)
-    ]
-    return _long(summary, structs)
+    One plan for any number of columns: the long form grouped by column. Quartiles are exact
+    without a per-column value map (operators.quantiles), unless ``approx``."""
+    from valuelens.operators.quantiles import with_quantiles
+
+    long = numeric_long(df, list(cols or numeric_columns(df)))
+    names = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    aggs = [F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"), F.min("x").alias("min"), F.max("x").alias("max")]
+    if approx:
+        q = F.percentile_approx("x", list(names.values()), 10000)
+        g = long.groupBy("column_name").agg(*aggs, q.alias("__q")).withColumns({n: F.col("__q")[i] for i, n in enumerate(names)})
+    else:
+        g = with_quantiles(long.groupBy("column_name").agg(*aggs), long, ["column_name"], "x", names)
+    return g.select("column_name", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def sample_skew(skew_pop: Column, n: Column) -> Column:
@@ -260,32 +222,11 @@ def sample_kurt(kurt_pop: Column, n: Column) -> Column:
 
 def moments(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """A12 + A13: population skewness / excess kurtosis and the sample-adjusted G1 / G2."""
-    cols = list(cols or numeric_columns(df))
-    if len(cols) > WIDE_LIMIT:
-        g = numeric_long(df, cols).groupBy("ci", "column_name").agg(
-            F.count("x").alias("n"), F.skewness("x").alias("skew_pop"), F.kurtosis("x").alias("kurt_pop"))
-        n = F.col("n").cast("double")
-        return g.select("column_name", "n", "skew_pop", "kurt_pop", sample_skew(F.col("skew_pop"), n).alias("skew"),
-                        sample_kurt(F.col("kurt_pop"), n).alias("kurt"))
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(_q(c)).cast("double")
-        aggs += [F.count(x).alias(f"__n_{i}"), F.skewness(x).alias(f"__sk_{i}"), F.kurtosis(x).alias(f"__ku_{i}")]
-    summary = df.agg(*aggs)
-    structs = []
-    for i, c in enumerate(cols):
-        n = F.col(f"__n_{i}").cast("double")
-        structs.append(
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.col(f"__n_{i}").alias("n"),
-                F.col(f"__sk_{i}").alias("skew_pop"),
-                F.col(f"__ku_{i}").alias("kurt_pop"),
-                sample_skew(F.col(f"__sk_{i}"), n).alias("skew"),
-                sample_kurt(F.col(f"__ku_{i}"), n).alias("kurt"),
-            )
-        )
-    return _long(summary, structs)
+    g = numeric_long(df, list(cols or numeric_columns(df))).groupBy("column_name").agg(
+        F.count("x").alias("n"), F.skewness("x").alias("skew_pop"), F.kurtosis("x").alias("kurt_pop"))
+    n = F.col("n").cast("double")
+    return g.select("column_name", "n", "skew_pop", "kurt_pop", sample_skew(F.col("skew_pop"), n).alias("skew"),
+                    sample_kurt(F.col("kurt_pop"), n).alias("kurt"))
 
 
 def skew_bands(moment_table: DataFrame, high: float = 2.0, moderate: float = 0.5) -> DataFrame:

@@ -1,22 +1,19 @@
 """Exact percentiles without a per-group value map (memory-bounded, safe for hot groups).
 
-Spark's exact ``percentile`` aggregate builds a value -> count map for every
-group and merges the maps of a group in one task: fine for bounded value
-domains, a memory risk for a group holding a third of a huge table with
-millions of distinct values. This formulation keeps every step a shuffle or a
-broadcast join:
-
-1. ``(group, value) -> count``: distinct values per group, pre-aggregated
-   map-side (the shuffle key includes the value, so a hot group spreads).
-2. the number of rows of the group with a smaller value, as a cumulative sum
-   computed like ``dedupe.position_in_group``: range partitions on
-   (group, value) split a hot group over many tasks, each numbers its own
-   slice, and a small per-(partition, group) table supplies the offsets.
-3. for each (group, probability) the two ranks around ``p * (n - 1)`` form a
-   small target table; the counted values are joined to it on the group
-   (broadcast when small) and kept where ``before <= rank < before + count``.
-4. linear interpolation between the two values (pandas / DuckDB
+Spark's exact ``percentile`` aggregate builds a value -> count map for every group and
+merges the maps of a group in one task: a memory risk for a group holding a third of a
+huge table with millions of distinct values. Here a sketch brackets each percentile and an
+exact count settles it:
+
+1. one aggregate per group gives the row count and, from ``percentile_approx`` (whose rank
+   error is at most ``rows / ACCURACY``), two values per probability that enclose the wanted rank;
+2. a second pass counts the rows below each bracket (combined map-side) and, for the few
+   rows within, the rows per distinct value; only about ``6 / ACCURACY`` of a group's rows
+   reach its window;
+3. the two values around rank ``p * (n - 1)`` are interpolated linearly (pandas / DuckDB
    ``quantile_cont`` semantics).
+
+Null groups are groups like others; null values are skipped, and NaN sorts above all numbers.
 """
 
 from __future__ import annotations
@@ -26,48 +23,75 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Sketch size: ranks are known to rows / ACCURACY after the first pass.
+ACCURACY = 10000
+
 
-def cumulative_before(counts: DataFrame, group: Sequence[str], order: str, weight: str, out: str = "__before",
-                      partitions: int | None = None) -> DataFrame:
-    """Sum of ``weight`` over the rows of the same group with a smaller ``order`` value."""
-    from valuelens.session import cut_lineage
+def exact_percentiles(df: DataFrame, group: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
+    """(group..., p, q): exact linear-interpolated percentiles of ``value`` per group (NULLs skipped).
 
-    n = partitions or int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = cut_lineage(counts.repartitionByRange(n, *group, order).withColumn("__pid", F.spark_partition_id()))
-    sums = ranged.groupBy("__pid", *group).agg(F.sum(weight).alias("__w"))
-    prev = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.withColumn("__off", F.coalesce(F.sum("__w").over(prev), F.lit(0))).drop("__w")
-    local_prev = Window.partitionBy("__pid", *group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    local = ranged.withColumn("__loc", F.coalesce(F.sum(weight).over(local_prev), F.lit(0)))
-    j = local.join(offsets, ["__pid", *group], "left")
-    return j.withColumn(out, F.col("__off") + F.col("__loc")).drop("__pid", "__loc", "__off")
+    Groups without a value give no row."""
+    found = _percentiles(df, group, value, probs)
+    return found.select(*[F.col(f"__k{i}").alias(g) for i, g in enumerate(group)], F.col("__p").alias("p"), F.col("__q").alias("q"))
 
 
-def exact_percentiles(df: DataFrame, group: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
-    """(group..., p, q): exact linear-interpolated percentiles of ``value`` per group (NULLs skipped)."""
-    group = list(group)
-    vc = df.select(*group, F.col(value).cast("double").alias("__v")).dropna(subset=["__v"]).groupBy(*group, "__v").agg(
-        F.count(F.lit(1)).alias("__c"))
-    n = vc.groupBy(*group).agg(F.sum("__c").alias("__n"))
-    p = df.sparkSession.createDataFrame([(float(x), i) for i, x in enumerate(probs)], "p double, __pi int")
-    targets = n.crossJoin(F.broadcast(p)).withColumn("__pos", F.col("p") * (F.col("__n") - 1))
-    targets = targets.select(
-        *group, "p", "__pi", "__pos", F.floor("__pos").cast("long").alias("__lo"), F.ceil("__pos").cast("long").alias("__hi"))
-    # one row per (group, p, side) with the rank wanted
-    ranks = targets.select(*group, "p", "__pi", "__pos", F.explode(F.array(
-        F.struct(F.lit(0).alias("side"), F.col("__lo").alias("rank")),
-        F.struct(F.lit(1).alias("side"), F.col("__hi").alias("rank")))).alias("t")).select(
-        *group, "p", "__pi", "__pos", "t.side", "t.rank")
-    cum = cumulative_before(vc, group, "__v", "__c")
-    # target side renamed so the join condition is unambiguous (both sides derive from vc)
-    t = ranks.select(*[F.col(g).alias(f"__t_{i}") for i, g in enumerate(group)], "p", "__pi", "__pos", "side", "rank")
-    cond = (F.col("__before") <= F.col("rank")) & (F.col("rank") < F.col("__before") + F.col("__c"))
-    for i, g in enumerate(group):
-        cond = cond & F.col(g).eqNullSafe(F.col(f"__t_{i}"))
-    hit = cum.join(t, cond).select(*group, "p", "__pi", "__pos", "side", "rank", "__v")
-    both = hit.groupBy(*group, "p", "__pi", "__pos").agg(
-        F.max(F.when(F.col("side") == 0, F.col("__v"))).alias("__a"),
-        F.max(F.when(F.col("side") == 1, F.col("__v"))).alias("__b"),
-        F.max(F.when(F.col("side") == 0, F.col("rank"))).alias("__lo"))
-    frac = F.col("__pos") - F.col("__lo")
-    return both.select(*group, "p", (F.col("__a") + (F.col("__b") - F.col("__a")) * frac).alias("q"))
+def _percentiles(df: DataFrame, group: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
+    """The same with columns __k0, __k1, ..., __p, __q, which no group column's name meets."""
+    group, probs = list(group), [float(p) for p in probs]
+    names = [f"__k{i}" for i in range(len(group))]
+    src = df.select(*[F.col(f"`{g}`").alias(n) for g, n in zip(group, names)], F.col(f"`{value}`").cast("double").alias("__v")).where("__v is not null")
+    margin = 3.0 / ACCURACY
+    marks = [min(1.0, max(0.0, p + s * margin)) for p in probs for s in (-1, 1)]
+    sketch = src.groupBy(*names).agg(
+        F.count(F.lit(1)).alias("__n"), F.percentile_approx("__v", [float(m) for m in marks], ACCURACY).alias("__b"))
+    if not group:
+        sketch = sketch.where("__n > 0")
+    # per probability: its bracket; open at the ends of the scale, and for groups so small that a rank
+    # is more than the margin
+    pos = lambda p: F.lit(p) * (F.col("__n") - 1)
+    low, high, small = F.lit(float("-inf")), F.lit(float("nan")), F.col("__n") <= ACCURACY
+    brackets = F.array(*[F.struct(
+        F.lit(i).alias("i"), F.lit(p).alias("p"), pos(p).alias("pos"),
+        F.when(small | F.lit(p <= margin), low).otherwise(F.col("__b")[2 * i]).alias("lo"),
+        F.when(small | F.lit(p >= 1 - margin), high).otherwise(F.col("__b")[2 * i + 1]).alias("hi")) for i, p in enumerate(probs)])
+    sketch = sketch.select(*[F.col(n).alias(f"__t{i}") for i, n in enumerate(names)], brackets.alias("__br"))
+    same = F.lit(True)
+    for i, n in enumerate(names):
+        same = same & F.col(n).eqNullSafe(F.col(f"__t{i}"))
+    joined = src.join(sketch, same) if group else src.crossJoin(F.broadcast(sketch))
+    # a row counts once below a bracket (value folded to NULL) or under its value within
+    side = F.transform("__br", lambda b: F.when(F.col("__v") <= b["hi"], F.struct(
+        b["i"].alias("i"), b["p"].alias("p"), b["pos"].alias("pos"), F.when(F.col("__v") >= b["lo"], F.col("__v")).alias("v"))))
+    cells = joined.select(*names, F.inline(F.filter(side, lambda s: s.isNotNull())))
+    counts = cells.groupBy(*names, "i", "p", "pos", "v").agg(F.count(F.lit(1)).alias("c"))
+    order = Window.partitionBy(*names, "i").orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = counts.withColumn("before", F.coalesce(F.sum("c").over(order), F.lit(0))).where("v is not null")
+    at = lambda r: F.max(F.when((F.col("before") <= r) & (r < F.col("before") + F.col("c")), F.col("v")))
+    both = ranked.groupBy(*names, "i", "p", "pos").agg(at(F.floor("pos")).alias("a"), at(F.ceil("pos")).alias("b"))
+    q = F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(F.col("a") + (F.col("b") - F.col("a")) * (F.col("pos") - F.floor("pos")))
+    return both.select(*names, F.col("p").alias("__p"), q.alias("__q"))
+
+
+def quantile_columns(df: DataFrame, group: Sequence[str], value: str, names: dict[str, float]) -> DataFrame:
+    """One row per group with a column for each named probability (one row in all without groups)."""
+    wide = _wide(df, group, value, names)
+    return wide.select(*[F.col(f"__k{i}").alias(g) for i, g in enumerate(group)], *[F.col(f"__q_{n}").alias(n) for n in names])
+
+
+def _wide(df: DataFrame, group: Sequence[str], value: str, names: dict[str, float]) -> DataFrame:
+    q = _percentiles(df, group, value, list(names.values()))
+    keys = [f"__k{i}" for i in range(len(group))]
+    return q.groupBy(*keys).agg(*[F.max(F.when(F.col("__p") == float(p), F.col("__q"))).alias(f"__q_{n}") for n, p in names.items()])
+
+
+def with_quantiles(stats: DataFrame, df: DataFrame, group: Sequence[str], value: str, names: dict[str, float]) -> DataFrame:
+    """``stats`` (a row per group) with quantile columns of ``df`` joined on; null groups match."""
+    q = _wide(df, group, value, names)
+    if not group:
+        joined = stats.crossJoin(F.broadcast(q))
+    else:
+        same = F.lit(True)
+        for i, g in enumerate(group):
+            same = same & F.col(f"`{g}`").eqNullSafe(F.col(f"__k{i}"))
+        joined = stats.join(q, same, "left")
+    return joined.withColumnsRenamed({f"__q_{n}": n for n in names}).drop(*[f"__k{i}" for i in range(len(group))])

@@ -9,7 +9,6 @@ one-row summary, not on the driver.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -18,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from valuelens.functions.segment import strength_label
+from valuelens.session import ship_package
 
 
 def _q(c: str) -> str:
@@ -52,40 +52,20 @@ def corr_pair(df: DataFrame, a: str, b: str) -> DataFrame:
 
 # --- A19 --------------------------------------------------------------------------------------
 
-def corr_matrix_long(df: DataFrame, cols: Sequence[str], method: str = "auto", include_diagonal: bool = False) -> DataFrame:
+def corr_matrix_long(df: DataFrame, cols: Sequence[str], include_diagonal: bool = False) -> DataFrame:
     """Long correlation matrix (col_1, col_2, n, corr) for every pair i < j.
 
-    ``pairs`` puts four central-moment aggregates per pair in a single
-    ``agg``; the generated code grows with k^2 and is only worth it for a few
-    columns. ``moments`` streams Arrow batches through ``mapInPandas``, where
-    masked moment sums of all pairs come from three matrix products per batch,
-    then sums them with ``groupBy(i, j)``: plan size is flat in k, and at
-    sf0.1 with 7 columns it ran in 1.6 s against 8.9 s for ``pairs``.
+    One route for any number of columns: Arrow batches stream through
+    ``mapInPandas``, where masked moment sums of all pairs come from four
+    matrix products per batch and are added up per partition; ``groupBy(i, j)``
+    sums the partitions. NaN counts as NULL: a pair uses the rows where both
+    values are numbers.
     """
     cols = list(cols)
-    if method == "auto":
-        method = "pairs" if len(cols) <= 4 else "moments"
-    if method == "pairs":
-        aggs = []
-        pairs = list(combinations(range(len(cols)), 2))
-        for p, (i, j) in enumerate(pairs):
-            m = pair_moments(cols[i], cols[j])
-            aggs += [m["n"].alias(f"__n{p}"), F.try_divide(m["cov"], m["sx"] * m["sy"]).alias(f"__r{p}")]
-        if not aggs:
-            return df.sparkSession.createDataFrame([], "col_1 string, col_2 string, n bigint, corr double")
-        summary = df.agg(*aggs)
-        structs = [
-            F.struct(
-                F.lit(cols[i]).alias("col_1"), F.lit(cols[j]).alias("col_2"),
-                F.col(f"__n{p}").alias("n"), F.col(f"__r{p}").alias("corr"),
-            )
-            for p, (i, j) in enumerate(pairs)
-        ]
-        out = summary.select(F.inline(F.array(*structs)))
-    elif method == "moments":
-        out = _corr_by_moments(df, cols)
+    if len(cols) < 2:
+        out = df.sparkSession.createDataFrame([], "col_1 string, col_2 string, n bigint, corr double")
     else:
-        raise ValueError(method)
+        out = _corr_by_moments(df, cols)
     if include_diagonal:
         diag = df.agg(*[F.count(_q(c)).alias(f"__d{i}") for i, c in enumerate(cols)]).select(
             F.inline(F.array(*[
@@ -98,31 +78,35 @@ def corr_matrix_long(df: DataFrame, cols: Sequence[str], method: str = "auto", i
     return out
 
 
+def _shifted(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Columns c0, c1, ... as doubles less their means (NaN read as NULL), for stable sums; a one-row broadcast."""
+    x = [F.nanvl(F.col(_q(c)).cast("double"), F.lit(None).cast("double")) for c in cols]
+    means = df.agg(*[F.coalesce(F.avg(e), F.lit(0.0)).alias(f"__m{i}") for i, e in enumerate(x)])
+    return df.crossJoin(F.broadcast(means)).select(*[(e - F.col(f"__m{i}")).alias(f"c{i}") for i, e in enumerate(x)])
+
+
 def _corr_by_moments(df: DataFrame, cols: list[str]) -> DataFrame:
     k = len(cols)
-    # shift by an approximate mean for numerical stability (one small aggregate, k numbers)
-    shift_row = df.agg(*[F.avg(F.col(_q(c)).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
-    shift = np.array([0.0 if shift_row[i] is None else float(shift_row[i]) for i in range(k)])
     iu, ju = np.triu_indices(k, 1)
-    src = df.select(*[F.col(_q(c)).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
 
-    def batch_sums(it):
+    def sums_of_partition(it):
+        total = None
         for pdf in it:
-            x = pdf.to_numpy(dtype=float, na_value=np.nan) - shift
+            x = pdf.to_numpy(dtype=float, na_value=np.nan)
             m = ~np.isnan(x)
-            x0 = np.where(m, x, 0.0)
-            mf = m.astype(float)
-            n = mf.T @ mf
-            s1 = x0.T @ mf          # s1[i, j] = sum of x_i where x_j present (and x_i present)
-            s2 = (x0 * x0).T @ mf
-            p = x0.T @ x0
+            x0, mf = np.where(m, x, 0.0), m.astype(float)
+            # n, sums of x_i where x_j is there, sums of squares likewise, products
+            part = np.stack([mf.T @ mf, x0.T @ mf, (x0 * x0).T @ mf, x0.T @ x0])
+            total = part if total is None else total + part
+        if total is not None:
+            n, s1, s2, p = total
             yield pd.DataFrame({
                 "i": iu, "j": ju, "n": n[iu, ju], "sx": s1[iu, ju], "sy": s1[ju, iu],
                 "sxx": s2[iu, ju], "syy": s2[ju, iu], "sxy": p[iu, ju],
             })
 
-    sums = src.mapInPandas(
-        batch_sums, "i long, j long, n double, sx double, sy double, sxx double, syy double, sxy double"
+    sums = _shifted(df, cols).mapInPandas(
+        sums_of_partition, "i long, j long, n double, sx double, sy double, sxx double, syy double, sxy double"
     ).groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ["n", "sx", "sy", "sxx", "syy", "sxy"]])
     n, sx, sy = F.col("n"), F.col("sx"), F.col("sy")
     vx = n * F.col("sxx") - sx * sx
@@ -147,25 +131,18 @@ def high_corr_pairs(corr_long: DataFrame, threshold: float = 0.95) -> DataFrame:
 def target_correlations(df: DataFrame, features: Sequence[str], target: str, min_n: int | None = None) -> DataFrame:
     """(feature, n, corr, abs_corr, r2, direction, strength) of each feature with the target.
 
-    With ``min_n`` a feature whose jointly non-null count is <= min_n gets no
-    correlation (it is "missing", not NaN).
+    One grouped aggregate over the long (feature, x, y) form for any number of features; NaN counts
+    as NULL. With ``min_n`` a feature whose jointly non-null count is <= min_n gets no
+    correlation and is marked ``missing``.
     """
-    features = list(features)
-    if len(features) > 8:
-        # many features: the moment-sum route (flat plan); keep the pairs that involve the target
-        m = corr_matrix_long(df, features + [target], method="moments").filter(F.col("col_2") == target)
-        out = m.select(F.col("col_1").alias("feature"), "n", "corr")
+    number = lambda c: F.nanvl(F.col(_q(c)).cast("double"), F.lit(None).cast("double"))
+    cells = F.array(*[F.struct(F.lit(c).alias("feature"), number(c).alias("x")) for c in features])
+    long = df.select(number(target).alias("y"), F.inline(cells)) if features else None
+    if long is None:
+        out = df.sparkSession.createDataFrame([], "feature string, n bigint, corr double")
     else:
-        aggs = []
-        for i, c in enumerate(features):
-            pm = pair_moments(c, target)
-            aggs += [pm["n"].alias(f"__n{i}"), F.try_divide(pm["cov"], pm["sx"] * pm["sy"]).alias(f"__r{i}")]
-        summary = df.agg(*aggs)
-        structs = [
-            F.struct(F.lit(c).alias("feature"), F.col(f"__n{i}").alias("n"), F.col(f"__r{i}").alias("corr"))
-            for i, c in enumerate(features)
-        ]
-        out = summary.select(F.inline(F.array(*structs)))
+        m = pair_moments("x", "y")
+        out = long.groupBy("feature").agg(m["n"].alias("n"), F.try_divide(m["cov"], m["sx"] * m["sy"]).alias("corr"))
     if min_n is not None:
         out = out.withColumn("missing", F.col("n") <= min_n).withColumn(
             "corr", F.when(~F.col("missing"), F.col("corr"))
@@ -235,27 +212,38 @@ def derived_column_check(df: DataFrame, checks: Sequence[tuple[str, Column, floa
 def vif(df: DataFrame, cols: Sequence[str], min_rows: int | None = None) -> DataFrame:
     """Variance inflation without intercept over complete rows: VIF_i = G_ii * inv(G)_ii, G = X'X.
 
-    One aggregate builds the k(k+1)/2 cross-product sums; the k x k inverse is
-    computed by one Arrow task over that single summary row.
+    Any number of columns: partitions add up their cross products in arrays (the plan does not
+    grow with k), one grouped sum joins them, and one Arrow task inverts the k x k matrix of the
+    columns scaled to unit length.
     """
     cols = list(cols)
     k = len(cols)
-    complete = df.select(*[F.col(_q(c)).cast("double").alias(f"x{i}") for i, c in enumerate(cols)]).dropna()
-    idx = [(i, j) for i in range(k) for j in range(i, k)]
-    summary = complete.agg(F.count(F.lit(1)).alias("__rows"),
-                           *[F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"g_{i}_{j}") for i, j in idx])
+    complete = df.select(*[F.nanvl(F.col(_q(c)).cast("double"), F.lit(None).cast("double")).alias(f"x{i}") for i, c in enumerate(cols)]).dropna()
+    iu, ju = np.triu_indices(k)
+
+    def products(it):
+        total, rows = np.zeros((k, k)), 0
+        for pdf in it:
+            x = pdf.to_numpy(dtype=float)
+            total += x.T @ x
+            rows += len(x)
+        if rows:
+            yield pd.DataFrame({"i": iu, "j": ju, "g": total[iu, ju], "n": np.full(len(iu), rows)})
+
+    summed = complete.mapInPandas(products, "i int, j int, g double, n long").groupBy("i", "j").agg(F.sum("g").alias("g"), F.sum("n").alias("n"))
+    summary = summed.agg(F.collect_list(F.struct("i", "j", "g")).alias("cells"), F.coalesce(F.max("n"), F.lit(0)).alias("rows"))
 
     def invert(it):
         for pdf in it:
-            for _, row in pdf.iterrows():
-                if min_rows is not None and row["__rows"] <= min_rows:
+            for cells, rows in zip(pdf["cells"], pdf["rows"]):
+                if rows == 0 or (min_rows is not None and rows <= min_rows):
                     continue  # too few complete rows: no report
                 g = np.zeros((k, k))
-                for i, j in idx:
-                    g[i, j] = g[j, i] = row[f"g_{i}_{j}"]
+                for c in cells:
+                    g[c["i"], c["j"]] = g[c["j"], c["i"]] = c["g"]
+                size = np.sqrt(np.diag(g))
                 try:
-                    inv = np.linalg.inv(g)
-                    v = np.diag(g) * np.diag(inv)
+                    v = np.diag(np.linalg.inv(g / np.outer(size, size)))
                 except np.linalg.LinAlgError:
                     v = np.full(k, np.inf)
                 yield pd.DataFrame({"column_name": cols, "vif": v})
@@ -363,6 +351,7 @@ def corr_significance(df: DataFrame, features: Sequence[str], target: str, with_
     tc = target_correlations(df, features, target).select("feature", "n", "corr")
     out = tc.withColumn("t_stat", corr_t_stat(F.col("corr"), F.col("n").cast("double")))
     if with_p:
+        ship_package(df.sparkSession)
         out = out.withColumn("p_value", p_from_t(F.col("t_stat"), (F.col("n") - 2).cast("double"))).withColumn(
             "stars", stars(F.col("p_value"))
         )
@@ -392,6 +381,7 @@ def anova_oneway(df: DataFrame, group: str, value: str, with_p: bool = True) ->
         F.try_divide(F.col("ssb") / (F.col("k") - 1), F.try_divide(F.col("ssw"), F.col("n_total") - F.col("k"))).alias("f_stat"),
     )
     if with_p:
+        ship_package(df.sparkSession)
         out = out.withColumn("p_value", p_from_f(F.col("f_stat"), F.col("df_between").cast("double"), F.col("df_within").cast("double")))
         out = out.withColumn(
             "decision", F.when(F.col("p_value") < 0.001, "reject (p<0.001)").when(F.col("p_value") < 0.05, "reject (p<0.05)").otherwise("fail to reject")
@@ -422,42 +412,47 @@ def _det3(m):
     )
 
 
-def quadratic_fit(df: DataFrame, y: str, x: str) -> DataFrame:
-    """y = c0 + c1 x + c2 x^2 by the normal equations (power sums, Cramer's rule)."""
-    xs, ys = F.col(_q(x)).cast("double"), F.col(_q(y)).cast("double")
-    src = df.select(xs.alias("x"), ys.alias("y")).dropna()
-    s = src.agg(
-        F.count(F.lit(1)).cast("double").alias("s0"), F.sum("x").alias("s1"), F.sum(F.pow("x", 2)).alias("s2"),
-        F.sum(F.pow("x", 3)).alias("s3"), F.sum(F.pow("x", 4)).alias("s4"),
-        F.sum("y").alias("t0"), F.sum(F.col("x") * F.col("y")).alias("t1"), F.sum(F.pow("x", 2) * F.col("y")).alias("t2"),
-    )
-    c = {k: F.col(k) for k in ["s0", "s1", "s2", "s3", "s4", "t0", "t1", "t2"]}
-    a = [[c["s0"], c["s1"], c["s2"]], [c["s1"], c["s2"], c["s3"]], [c["s2"], c["s3"], c["s4"]]]
-    t = [c["t0"], c["t1"], c["t2"]]
+def _quadratic_scaled(df: DataFrame, y: str, x: str) -> DataFrame:
+    """One row: b0, b1, b2 of y = b0 + b1 z + b2 z^2 with z = (x - m) / s, and m, s, n, lo, hi and the linear fit.
+
+    Normal equations in the centred, scaled variable: well conditioned wherever x lies.
+    """
+    src = df.select(F.col(_q(x)).cast("double").alias("x"), F.col(_q(y)).cast("double").alias("y")).dropna()
+    at = src.agg(F.avg("x").alias("m"), F.stddev_pop("x").alias("s"), F.min("x").alias("lo"), F.max("x").alias("hi"),
+                 F.regr_slope("y", "x").alias("slope"), F.regr_intercept("y", "x").alias("intercept"))
+    z = F.try_divide(F.col("x") - F.col("m"), F.col("s"))
+    scaled = src.crossJoin(F.broadcast(at)).withColumn("z", z)
+    keep = ["m", "s", "lo", "hi", "slope", "intercept"]
+    p = scaled.agg(
+        F.count(F.lit(1)).cast("double").alias("s0"), *[F.sum(F.pow("z", i)).alias(f"s{i}") for i in (1, 2, 3, 4)],
+        *[F.sum(F.pow("z", i) * F.col("y")).alias(f"t{i}") for i in (0, 1, 2)], *[F.first(c).alias(c) for c in keep])
+    c = [F.col(f"s{i}") for i in range(5)]
+    a = [[c[0], c[1], c[2]], [c[1], c[2], c[3]], [c[2], c[3], c[4]]]
+    t = [F.col(f"t{i}") for i in range(3)]
     det = _det3(a)
 
     def repl(col_idx):
         return [[t[r] if cc == col_idx else a[r][cc] for cc in range(3)] for r in range(3)]
 
-    return s.select(
-        F.try_divide(_det3(repl(0)), det).alias("c0"),
-        F.try_divide(_det3(repl(1)), det).alias("c1"),
-        F.try_divide(_det3(repl(2)), det).alias("c2"),
-        c["s0"].cast("bigint").alias("n"),
-    )
+    return p.select(*[F.try_divide(_det3(repl(i)), det).alias(f"b{i}") for i in range(3)], F.col("s0").cast("bigint").alias("n"), *keep)
+
+
+def quadratic_fit(df: DataFrame, y: str, x: str) -> DataFrame:
+    """y = c0 + c1 x + c2 x^2, fitted in the scaled variable and expanded."""
+    b0, b1, b2, m, s = (F.col(c) for c in ("b0", "b1", "b2", "m", "s"))
+    return _quadratic_scaled(df, y, x).select(
+        (b0 - b1 * m / s + b2 * m * m / (s * s)).alias("c0"), (b1 / s - 2 * b2 * m / (s * s)).alias("c1"), (b2 / (s * s)).alias("c2"), "n")
 
 
 def fit_grid(df: DataFrame, y: str, x: str, points: int = 100) -> DataFrame:
-    """``points`` evenly spaced x from min to max with the linear and quadratic fitted values."""
-    rng = df.agg(F.min(x).cast("double").alias("lo"), F.max(x).cast("double").alias("hi"))
-    coef = linear_fit(df, y, x).crossJoin(quadratic_fit(df, y, x)).crossJoin(rng)
-    g = coef.select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
-    gx = F.col("lo") + F.col("i") * (F.col("hi") - F.col("lo")) / (points - 1)
-    g = g.withColumn("x", gx)
+    """``points`` evenly spaced x from min to max (of complete rows) with the linear and quadratic fitted values."""
+    g = _quadratic_scaled(df, y, x).select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
+    g = g.withColumn("x", F.col("lo") + F.col("i") * (F.col("hi") - F.col("lo")) / (points - 1))
+    z = (F.col("x") - F.col("m")) / F.col("s")
     return g.select(
         "i", "x",
         (F.col("intercept") + F.col("slope") * F.col("x")).alias("y_linear"),
-        (F.col("c0") + F.col("c1") * F.col("x") + F.col("c2") * F.col("x") * F.col("x")).alias("y_quadratic"),
+        (F.col("b0") + F.col("b1") * z + F.col("b2") * z * z).alias("y_quadratic"),
     )
 
 
@@ -492,32 +487,25 @@ def histogram(df: DataFrame, col: Column | str, bins: int = 50, name: str = "val
     rng = src.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     width = (F.col("hi") - F.col("lo"))
     b = F.least(F.floor(F.try_divide(F.col("v") - F.col("lo"), width) * bins) + 1, F.lit(bins)).cast("int")
-    counts = src.crossJoin(F.broadcast(rng)).select(F.coalesce(b, F.lit(1)).alias("bucket")).groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("count")
-    )
-    grid = rng.select("lo", "hi", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bucket"))
-    return grid.join(counts, "bucket", "left").select(
+    # at most ``bins`` rows: one row with a map of them, then the full grid
+    counts = src.crossJoin(F.broadcast(rng)).groupBy(F.coalesce(b, F.lit(1)).alias("bucket"), "lo", "hi").agg(F.count(F.lit(1)).alias("count"))
+    one = counts.groupBy("lo", "hi").agg(F.map_from_entries(F.collect_list(F.struct("bucket", "count"))).alias("n"))
+    grid = one.select("*", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bucket"))
+    return grid.select(
         F.lit(name).alias("series"), "bucket",
         (F.col("lo") + (F.col("bucket") - 1) * (F.col("hi") - F.col("lo")) / bins).alias("bin_lo"),
         (F.col("lo") + F.col("bucket") * (F.col("hi") - F.col("lo")) / bins).alias("bin_hi"),
-        F.coalesce(F.col("count"), F.lit(0)).alias("count"),
+        F.coalesce(F.col("n")[F.col("bucket")], F.lit(0)).alias("count"),
     )
 
 
-def boxplot_summary(df: DataFrame, group: str, value: str, whisker: float = 1.5, quantiles: str = "map") -> DataFrame:
-    """Per group quartiles, IQR, whiskers at the furthest data points inside the fences, outlier count.
+def boxplot_summary(df: DataFrame, group: str, value: str, whisker: float = 1.5) -> DataFrame:
+    """Per group exact quartiles (operators.quantiles), IQR, whiskers at the furthest data points
+    inside the fences, outlier count. Rows with a null group or value are left out."""
+    from valuelens.operators.quantiles import quantile_columns
 
-    ``quantiles="distributed"`` takes the quartiles from operators.quantiles (exact, no per-group
-    value map)."""
     src = df.select(group, value).dropna()
-    if quantiles == "distributed":
-        from valuelens.operators.quantiles import exact_percentiles
-
-        q = exact_percentiles(src, [group], value, [0.25, 0.5, 0.75]).groupBy(group).agg(
-            *[F.max(F.when(F.col("p") == p, F.col("q"))).alias(n) for p, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
-    else:
-        q = src.groupBy(group).agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
-        q = q.select(group, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+    q = quantile_columns(src, [group], value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo_f = F.col("q1") - whisker * F.col("iqr")
     hi_f = F.col("q3") + whisker * F.col("iqr")

@@ -21,6 +21,7 @@ from valuelens.operators import lifecycle as lc
 from valuelens.operators import profile as pr
 from valuelens.operators import split as sp
 from valuelens.operators import stats as st
+from valuelens.operators.quantiles import quantile_columns, with_quantiles
 from valuelens.operators.themes import head_and_tail, sign_counts, theme_counts
 from valuelens.schema import CLEAN_COLUMNS, KEEPER, RAW_PLAYER, order_columns
 from valuelens.session import cut_lineage
@@ -105,12 +106,12 @@ def fit_clean(df: DataFrame, target: str = TARGET, sparse_pct: float = 50.0, pai
     if checks:
         plan.derived_dropped = [r.column_name for r in st.derived_column_check(d, checks).filter("is_derived = 1").collect()]
     kept = fe.drop_columns(d, plan.drops() + META_COLUMNS)
-    # VIF report only: numeric columns (not target / indicators) under 30 % null, the first 25,
-    # complete rows, more than 100 of them
+    # VIF report only: all numeric columns (not target / indicators) under 30 % null, complete
+    # rows, more than 100 of them
     cand = pr.numeric_columns(kept, exclude=[target, "is_DF", "is_MF", "is_FW"])
     if cand:
         rates = {r.column_name: r.null_pct for r in pr.null_profile(kept, cand).collect()}
-        vif_cols = [c for c in cand if (rates.get(c) or 0.0) < 30.0][:25]
+        vif_cols = [c for c in cand if (rates.get(c) or 0.0) < 30.0]
         if len(vif_cols) > 1:
             plan.vif_report = st.vif(kept, vif_cols, min_rows=100)
     num = pr.numeric_columns(kept, exclude=[target])
@@ -153,7 +154,6 @@ def profile(df: DataFrame) -> dict[str, DataFrame]:
 
 # --- C4 drivers of value ----------------------------------------------------------------------------
 
-# Theme keywords for feature names (see plans.q_segment.THEMES).
 def drivers(df: DataFrame, target: str = TARGET, top: int = 20) -> dict[str, DataFrame]:
     """C4: NULL -> 0, correlation of every numeric column with the target, significance, themes of
     the top features (multi-label) and sign counts."""
@@ -253,19 +253,20 @@ def finishing(df: DataFrame, target: str = TARGET) -> dict[str, DataFrame]:
     fw = df.filter(F.col("is_FW") == 1).dropna(subset=[target]) if "is_FW" in df.columns else df.dropna(subset=[target])
     fw = _ensure(fw, ["shots_per90", "xg_per90", "shots_on_target_pct", "goals_per_90", "appearances", "minutes_played"])
     f = fe.finishing_metrics(fw, "shots_per90", "minutes_played", "goals", "xg_per90", "shots_on_target_pct")
-    med = f.agg(F.median("shots_per90").alias("sm"), F.median("conversion_rate").alias("cm"))
+    med = quantile_columns(f, [], "shots_per90", {"sm": 0.5}).crossJoin(quantile_columns(f, [], "conversion_rate", {"cm": 0.5}))
     f = f.crossJoin(F.broadcast(med)).withColumn("forward_type", sg.quadrant("shots_per90", "conversion_rate", "sm", "cm"))
     kept = f.filter((F.coalesce(F.col("appearances"), F.lit(0)) >= 5) & (F.coalesce(F.col("minutes_played"), F.lit(0)) >= 450))
     metrics = [c for c in ["shots_per90", "shots_on_target_per90", "conversion_rate", "xg_overperformance", "shot_accuracy",
                            "goals_per_90", "xg_per90"] if c in kept.columns]
-    mv = kept.agg(F.percentile(target, 0.5).alias("mv"))
+    mv = quantile_columns(kept, [], target, {"mv": 0.5})
     clinical = kept.crossJoin(F.broadcast(mv)).filter((F.col("forward_type") == "Clinical Finisher") & (F.col(target) < F.col("mv")))
     return {
         "forwards": kept,
         "significance": st.corr_significance(kept, metrics, target),
         "fit": st.linear_fit(kept, target, "conversion_rate"),
-        "summary": kept.groupBy("forward_type").agg(F.count(target).alias("n"), F.avg(target).alias("mean"),
-                                                     F.median(target).alias("median"), F.stddev_samp(target).alias("std")),
+        "summary": with_quantiles(
+            kept.groupBy("forward_type").agg(F.count(target).alias("n"), F.avg(target).alias("mean"), F.stddev_samp(target).alias("std")),
+            kept, ["forward_type"], target, {"median": 0.5}).select("forward_type", "n", "mean", "median", "std"),
         "top_value": gs.top_k(kept, target, 10, [c for c in ["player_id"] if c in kept.columns]),
         "undervalued": gs.top_k(clinical, "conversion_rate", 5, [c for c in ["player_id"] if c in kept.columns]),
     }
@@ -287,13 +288,15 @@ class FeaturePlan:
 def fit_features(train: DataFrame, target: str = TARGET, freq_cols=("nationality", "current_club", "league"),
                  label_cols=("league",), te_cols=("nationality", "current_club"), select_threshold: float = 0.05) -> FeaturePlan:
     """M18 fit on the training split only (no leakage into validation / test)."""
-    logs = [r.column_name for r in fe.fit_auto_log(train, exclude=[target]).filter("selected = 1").collect()]
+    # nothing made of the target, and no bookkeeping column, may become a feature
+    held = [target, "__y", "fold", "split", "player_id"]
+    logs = [r.column_name for r in fe.fit_auto_log(train, exclude=held).filter("selected = 1").collect()]
     d = fe.engineered(fe.transform_auto_log(train, logs))
     freq = {c: fe.fit_frequency(d, c) for c in freq_cols if c in d.columns}
     labels = {c: fe.fit_label_codes(d, c) for c in label_cols if c in d.columns}
     d2 = transform_features_base(d, freq, labels)
     tcodes = {c: fe.fit_target_codes(d2, c, "__y", "fold") for c in te_cols if c in d2.columns} if "fold" in d2.columns else {}
-    num = pr.numeric_columns(d2, exclude=[target, "__y", "fold"])
+    num = pr.numeric_columns(d2, exclude=held)
     tc = st.target_correlations(d2.fillna(0, subset=num), num, "__y")
     selected = [r.feature for r in st.select_features(tc, select_threshold).collect()]
     return FeaturePlan(logs, freq, labels, tcodes, selected)

@@ -14,6 +14,7 @@ from valuelens.functions import segment as sg
 from valuelens.operators import features as fe
 from valuelens.operators import groupstats as gs
 from valuelens.operators.lifecycle import PHASE_EDGES, PHASE_LABELS
+from valuelens.operators.quantiles import quantile_columns, with_quantiles
 from valuelens.plans.registry import register, round_doubles, table
 
 
@@ -304,7 +305,7 @@ def forwards(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == FORWARD_SEGMENT).select("c_custkey")
     s = season(spark, sf_dir).join(c, "c_custkey", "left_semi").filter(F.col("market_value").isNotNull())
     f = fe.finishing_metrics(s, "shots_per90", "minutes_played", "goals", "xg_per90", "shots_on_target_pct")
-    med = f.agg(F.median("shots_per90").alias("shots_med"), F.median("conversion_rate").alias("conv_med"))
+    med = quantile_columns(f, [], "shots_per90", {"shots_med": 0.5}).crossJoin(quantile_columns(f, [], "conversion_rate", {"conv_med": 0.5}))
     f = f.crossJoin(F.broadcast(med)).withColumn(
         "forward_type", sg.quadrant("shots_per90", "conversion_rate", "shots_med", "conv_med")
     ).drop("shots_med", "conv_med")
@@ -348,7 +349,7 @@ ORDER BY round(conversion_rate, 6) DESC, c_custkey LIMIT 5""",
 )
 def undervalued_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = forwards(spark, sf_dir)
-    m = f.agg(F.percentile("market_value", 0.5).alias("mv"))
+    m = quantile_columns(f, [], "market_value", {"mv": 0.5})
     c = f.crossJoin(F.broadcast(m)).filter((F.col("forward_type") == "Clinical Finisher") & (F.col("market_value") < F.col("mv")))
     # rank on the rate rounded to 6 decimals so rates equal up to float noise tie, then by key
     c = c.withColumn("__rate", F.round("conversion_rate", 6))
@@ -367,10 +368,10 @@ def forward_type_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = forwards(spark, sf_dir)
     g = f.groupBy("forward_type").agg(
         F.count("market_value").alias("n"), gs.np_round(F.avg("market_value"), 2).alias("mean_value"),
-        gs.np_round(F.median("market_value"), 2).alias("median_value"), gs.np_round(F.avg("shots_per90"), 2).alias("mean_shots"),
-        gs.np_round(F.avg("conversion_rate"), 2).alias("mean_conversion"),
+        gs.np_round(F.avg("shots_per90"), 2).alias("mean_shots"), gs.np_round(F.avg("conversion_rate"), 2).alias("mean_conversion"),
     )
-    return g
+    g = with_quantiles(g, f, ["forward_type"], "market_value", {"median_value": 0.5})
+    return g.withColumn("median_value", gs.np_round(F.col("median_value"), 2))
 
 
 # --- A37 ------------------------------------------------------------------------------------------

@@ -7,7 +7,9 @@ resolves the shared checkpoint folder used to cut long lineages.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 
@@ -54,13 +56,16 @@ def get_spark(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the deployment sets it to a shared filesystem path; it is only
-    filled in here when unset (local runs and tests), with a fresh scratch
-    folder.
+    On a cluster the deployment sets it to a path that all executors share; a session without it
+    is refused unless it runs in one process (``local`` masters: tests, benches), where a fresh
+    scratch folder is taken and removed at exit.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="valuelens-ckpt-")
+        atexit.register(shutil.rmtree, conf_dir, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     spark.sparkContext.setCheckpointDir(conf_dir)
     return conf_dir
