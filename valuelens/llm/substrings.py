@@ -148,7 +148,11 @@ def _send_windows(window: int, rounds: int, blocks: int):
 
     def run(batches):
         for b in W.pieces(batches):
-            doc_id, digest = np.asarray(b.column("doc_id")).astype(np.int64), _digests(b.column("digest"))
+            place = pc.fill_null(b.column("doc_id"), 2**63 - 1)
+            b = b.filter(pc.equal(place, b.column("first")))
+            if not b.num_rows:
+                continue
+            doc_id, digest = np.asarray(b.column("first")).astype(np.int64), _digests(b.column("digest"))
             tag = (digest[:, 1] & 0xFFFF).astype(np.uint16)
             w = W.split(b.column("text"), W.NONSPACE)
             h, starts, doc, key = _keys(w, window, rounds)
@@ -236,7 +240,8 @@ def without_repeats(docs: DataFrame, window: int = 20, rounds: int = ROUNDS, tex
     shared = map_arrow(met, _shared_keys, "text1 long, data binary").groupBy("text1").agg(F.collect_list("data").alias("keys"))
     wanted = firsts.withColumn("text1", _number("digest", 1, 8, -10).cast("long")).join(shared, "text1").select("digest", "first", "keys")
     # this join and the last one need the same shuffle of the texts, which Spark makes once
-    texts = base.join(wanted, "digest").where(place == F.col("first")).select(F.col("first").alias("doc_id"), "digest", "text", "keys")
+    # (which copy comes first is looked at behind the join: as a join key it would call for another shuffle)
+    texts = base.join(wanted, "digest").select("doc_id", "first", "digest", "text", "keys")
     windows = map_arrow(texts, _send_windows(window, rounds, blocks), "block int, data binary, doc long, tag int, start long, n long")
     spread = F.coalesce("block", F.pmod(F.xxhash64("doc", "start"), F.lit(blocks)).cast("int"))
     windows = windows.withColumn("block", spread).repartition(partitions(spark), "block").sortWithinPartitions("block")
