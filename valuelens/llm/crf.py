@@ -60,8 +60,8 @@ def features(w: Words, at: np.ndarray, word_hash: np.ndarray, bits: int, lexicon
     every = np.arange(n)
 
     def add(row, h):
-        rows.append(row)
-        ids.append((h >> np.uint64(64 - bits)).astype(np.int64))
+        rows.append(row.astype(np.int32))
+        ids.append((h >> np.uint64(64 - bits)).astype(np.int32))
 
     add(every, mix64(word_hash ^ np.uint64(0xA5A5)))
     for k in PREFIXES:

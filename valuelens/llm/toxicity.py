@@ -21,7 +21,7 @@ from valuelens.llm import words as W
 from valuelens.llm.tables import map_arrow
 
 #: Bounds of the sample that the model is fitted on: documents per class, characters per document.
-FIT_DOCS, FIT_CHARS = 2500, 6000
+FIT_DOCS, FIT_CHARS = 2000, 4000
 BITS = 18
 SEQUENCE = 48
 
@@ -76,14 +76,25 @@ def learn(rows: list, seed: int = 3) -> crf.Crf | None:
         return None
     _, at, kind = np.unique(h, return_index=True, return_inverse=True)
     hints = [h[at], *[crf.affix(w, at, k) for k in (6, 5, 4)], *[crf.affix(w, at, k, True) for k in (6, 5)]]
-    names, number = np.unique(np.concatenate(hints), return_inverse=True)
-    number = number.reshape(len(hints), len(at))
-    # pairs (document, feature), each once
-    pairs = np.unique((doc * len(names) + number[:, kind]).ravel())
-    d, f = pairs // len(names), pairs % len(names)
-    real = names[f] != 0
-    picked = explain(d[real], f[real], toxic)
-    hot_type = np.isin(number, picked).any(axis=0) if len(picked) else np.zeros(len(at), dtype=bool)
+    # pairs (document, feature), each once; one kind of feature after the other to keep memory low
+    seen = np.unique(doc * len(at) + kind)
+    pair_doc, pair_type = (seen // len(at)).astype(np.int32), (seen % len(at)).astype(np.int32)
+    del seen
+    ds, fs, numbers, before = [], [], [], 0
+    for hint in hints:
+        names, number = np.unique(hint, return_inverse=True)
+        number = (number + before).astype(np.int32)
+        real = hint[pair_type] != 0
+        pairs = np.unique(pair_doc[real].astype(np.int64) << 32 | number[pair_type[real]])
+        ds.append((pairs >> 32).astype(np.int32))
+        fs.append((pairs & 0xFFFFFFFF).astype(np.int32))
+        numbers.append(number)
+        before += len(names)
+    d, f = np.concatenate(ds), np.concatenate(fs)
+    del ds, fs, hints, pair_doc, pair_type
+    picked = explain(d, f, toxic)
+    del d, f
+    hot_type = np.any([np.isin(n, picked) for n in numbers], axis=0)
     tag = (hot_type[kind] & toxic[doc]).astype(np.int64)
     # sequences: runs of SEQUENCE words; those with a toxic word, and as many drawn from the rest
     starts = np.concatenate([np.arange(a, b, SEQUENCE) for a, b in zip(w.first[:-1], w.first[1:])])
@@ -97,8 +108,9 @@ def learn(rows: list, seed: int = 3) -> crf.Crf | None:
     grid = starts[use][:, None] + np.arange(SEQUENCE)
     ok = grid < ends[use][:, None]
     grid = np.where(ok, grid, 0)
-    types = crf.features(w, at, h[at], BITS)
-    return crf.fit(["clean", "toxic"], types, np.where(ok, kind[grid], -1), np.where(ok, tag[grid], 0), BITS, seed=seed)
+    used, sequences = np.unique(kind[grid], return_inverse=True)
+    types = crf.features(w, at[used], h[at[used]], BITS)
+    return crf.fit(["clean", "toxic"], types, np.where(ok, sequences.reshape(grid.shape), -1), np.where(ok, tag[grid], 0), BITS, seed=seed)
 
 
 def document_scores(p: np.ndarray, first: np.ndarray) -> np.ndarray:
