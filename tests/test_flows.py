@@ -81,3 +81,32 @@ def test_train_and_serve(raw):
     out = flows.serve(raw.limit(10), tr, actual="market_value")
     assert out["predictions"].count() == 30
     assert out["ensemble"].filter(F.col("ens_min") > F.col("ens_max")).count() == 0
+
+
+def test_clean_plan_survives_a_save(spark, raw, tmp_path):
+    from valuelens.plans import persist
+
+    plan = flows.fit_clean(raw)
+    persist.save_clean_plan(plan, str(tmp_path / "clean"))
+    again = persist.load_clean_plan(spark, str(tmp_path / "clean"))
+    a, b = flows.transform_clean(raw, plan), flows.transform_clean(raw, again)
+    assert a.columns == b.columns and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert again.drops() == plan.drops()
+
+
+def test_trained_models_survive_a_save_and_serve_without_the_training_rows(spark, raw, tmp_path):
+    from valuelens.plans import persist
+
+    path = str(tmp_path / "raw")
+    raw.write.parquet(path)
+    small = {"rf": dict(numTrees=4, maxDepth=3), "gbt_l": dict(maxIter=2)}
+    tr = flows.train(spark.read.parquet(path), models=("rf", "gbt_l"), model_params=small, cross_validate=True)
+    assert tr["metrics"].where("model = 'rf'").first().cv_r2_mean is not None
+    persist.save_trained(tr, str(tmp_path / "trained"))
+    again = persist.load_trained(spark, str(tmp_path / "trained"))
+    batch = spark.createDataFrame(raw.limit(20).collect(), raw.schema)
+    a = {(r.player_id, r.model): r.prediction for r in flows.serve(batch, tr)["predictions"].collect()}
+    out = flows.serve(batch, again)["predictions"]
+    assert {(r.player_id, r.model): r.prediction for r in out.collect()} == a and len(a) == 40
+    assert not any(path in f for f in out.inputFiles())
+    assert not any(path in f for f in flows.serve(batch, tr)["predictions"].inputFiles())

@@ -67,3 +67,24 @@ def test_person_id_survives_collision_suffix(spark):
     rec = records_from_pages(pages, "2023-03-01", league="L", keep_person_id=True).orderBy("player_id").collect()
     assert rec[0].person_id == rec[1].person_id
     assert {r.player_id for r in rec} == {rec[0].person_id, rec[0].person_id + "-1"}
+
+
+ODD = """<html dir=ltr lang='de'><head><title data-x="1">Tom &amp; J&#233;r&#xF4;me &lt;3</title></head><body>
+<a class="x" href='/p?a=1&amp;b=2' rel="me">Caf&eacute;? R&amp;D
+ second line</a><A HREF="http://other.example/z">Z&nbsp;&quot;q&quot;</A>
+<table class=t id='stats_scout_full_AM'><tr><th scope="row" data-stat='statistic'>Goals &amp; more</th><td class='r' data-stat='per90'>0.5</td></tr></table>
+<ul><li class=a><b>One</b> <a data-k="1" href='/one'>uno</a></li><li>no link</li></ul></body></html>"""
+
+
+def test_html_as_a_parser_reads_it(spark):
+    page = spark.createDataFrame([(1, "https://s.example/dir/p", ODD)], "page_id long, url string, html string")
+    links = [(r.pos, r.href, r.text, r.abs_url) for r in hx.extract_links(page).orderBy("pos").collect()]
+    assert links == [
+        (1, "/p?a=1&b=2", "Caf&eacute;? R&D\n second line", "https://s.example/p?a=1&b=2"),
+        (2, "http://other.example/z", 'Z "q"', "http://other.example/z"),
+        (3, "/one", "uno", "https://s.example/one"),
+    ]
+    f = hx.extract_fields(page).first()
+    assert (f.title, f.lang) == ("Tom & Jérôme <3", "de")
+    assert [(r.stat_label, r.per90) for r in hx.stat_pairs(page).collect()] == [("Goals & more", "0.5")]
+    assert [(r.pos, r.text, r.href) for r in hx.extract_list_items(page).collect()] == [(1, "One uno", "/one")]

@@ -113,6 +113,27 @@ def regex_capture(col: Column | str, pattern: str, group: int = 1) -> Column:
     return F.nullif(F.regexp_extract(txt, pattern, group), F.lit(""))
 
 
+# Named character references decoded (``&amp;`` is decoded last).
+NAMED_REFERENCES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&euro;", "€")]
+
+
+def decode_entities(col: Column | str) -> Column:
+    """Character references of HTML text decoded once: named ones, decimal and hexadecimal numbers."""
+    c = _c(col)
+    for name, value in NAMED_REFERENCES:
+        c = F.replace(c, F.lit(name), F.lit(value))
+    refs = F.array_distinct(F.regexp_extract_all(c, F.lit(r"(&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});)"), F.lit(1)))
+
+    def decoded(text: Column, ref: Column) -> Column:
+        digits = F.regexp_extract(ref, r"&#[xX]?([0-9a-fA-F]+);", 1)
+        code = F.when(F.lower(ref).startswith("&#x"), F.conv(digits, 16, 10)).otherwise(digits).cast("long")
+        valid = (code > 0) & (code != 38) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+        return F.when(valid, F.replace(text, ref, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))).otherwise(text)
+
+    c = F.aggregate(refs, c, decoded)
+    return F.regexp_replace(c, r"&(?:amp|#0{0,4}38|#[xX]0{0,4}26);", "&")
+
+
 def label_from_name(col: Column | str) -> Column:
     """'shots_per90' -> 'Shots Per90'."""
     return F.initcap(F.regexp_replace(_c(col), "_", " "))

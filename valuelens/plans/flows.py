@@ -48,6 +48,11 @@ def ingest(spark: SparkSession, folder: str, out: str | None = None) -> tuple[Da
     return deduped, audit
 
 
+def _settled(df: DataFrame) -> DataFrame:
+    """A table of a row or of a row per column, computed once: later uses do not go back to its input."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
 # --- C2 clean -------------------------------------------------------------------------------------
 
 @dataclass
@@ -113,10 +118,10 @@ def fit_clean(df: DataFrame, target: str = TARGET, sparse_pct: float = 50.0, pai
         rates = {r.column_name: r.null_pct for r in pr.null_profile(kept, cand).collect()}
         vif_cols = [c for c in cand if (rates.get(c) or 0.0) < 30.0]
         if len(vif_cols) > 1:
-            plan.vif_report = st.vif(kept, vif_cols, min_rows=100)
+            plan.vif_report = _settled(st.vif(kept, vif_cols, min_rows=100))
     num = pr.numeric_columns(kept, exclude=[target])
     cat = pr.string_columns(kept)
-    plan.fills = fe.fit_impute(kept, num, cat)
+    plan.fills = _settled(fe.fit_impute(kept, num, cat))
     plan.columns = order_columns(kept, CLEAN_COLUMNS, target).columns
     d.unpersist()
     return plan
@@ -292,10 +297,12 @@ def fit_features(train: DataFrame, target: str = TARGET, freq_cols=("nationality
     held = [target, "__y", "fold", "split", "player_id"]
     logs = [r.column_name for r in fe.fit_auto_log(train, exclude=held).filter("selected = 1").collect()]
     d = fe.engineered(fe.transform_auto_log(train, logs))
-    freq = {c: fe.fit_frequency(d, c) for c in freq_cols if c in d.columns}
-    labels = {c: fe.fit_label_codes(d, c) for c in label_cols if c in d.columns}
+    # code tables are cut from the training rows (shared checkpoint folder): serving never reads these again
+    freq = {c: cut_lineage(fe.fit_frequency(d, c)) for c in freq_cols if c in d.columns}
+    labels = {c: cut_lineage(fe.fit_label_codes(d, c)) for c in label_cols if c in d.columns}
     d2 = transform_features_base(d, freq, labels)
-    tcodes = {c: fe.fit_target_codes(d2, c, "__y", "fold") for c in te_cols if c in d2.columns} if "fold" in d2.columns else {}
+    tcodes = {c: tuple(cut_lineage(t) for t in fe.fit_target_codes(d2, c, "__y", "fold"))
+              for c in te_cols if c in d2.columns} if "fold" in d2.columns else {}
     num = pr.numeric_columns(d2, exclude=held)
     tc = st.target_correlations(d2.fillna(0, subset=num), num, "__y")
     selected = [r.feature for r in st.select_features(tc, select_threshold).collect()]
@@ -321,8 +328,8 @@ def transform_features(df: DataFrame, plan: FeaturePlan, oof: bool = False) -> D
 
 
 def train(df: DataFrame, target: str = TARGET, key: str = "player_id", models=("rf", "gbt_x", "gbt_l"),
-          model_params: dict | None = None) -> dict:
-    """Trim to the 1-99 % target band, hash split 64/16/20, fit feature tables on train, out-of-fold
+          model_params: dict | None = None, cross_validate: bool = False) -> dict:
+    """C10 (with ``cross_validate``, M14 of the first model): trim to the 1-99 % target band, hash split 64/16/20, fit feature tables on train, out-of-fold
     target codes, NULL -> 0, fit the tree models, compare on log-scale R^2 and original-scale errors."""
     model_params = model_params or {}
     d = fe.percentile_trim(df.dropna(subset=[target]), target, 0.01, 0.99)
@@ -343,14 +350,17 @@ def train(df: DataFrame, target: str = TARGET, key: str = "player_id", models=("
     builders = {"rf": ml.random_forest, "gbt_x": ml.gbt_x, "gbt_l": ml.gbt_l}
     train_rows = ml.training_input(parts["train"], parts["train"].columns)
     fitted, rows = {}, []
+    cv = ml.cv_summary(ml.cv_fold_scores(builders[models[0]](feats, "__y", **model_params.get(models[0], {})), train_rows, "__y")).first() if cross_validate else None
     for name in models:
         m, secs = ml.fit_timed(builders[name](feats, "__y", **model_params.get(name, {})), train_rows)
         fitted[name] = m
         scored = {s: m.transform(p) for s, p in parts.items()}
         met = ml.model_metrics(name, scored, "__y", target).withColumn("train_s", F.lit(secs)).first()
-        rows.append(met.asDict())
+        rows.append(met.asDict() | ({"cv_r2_mean": cv.cv_r2_mean, "cv_r2_std": cv.cv_r2_std} if cv and name == models[0] else {}))
+    train_rows.unpersist()
     spark = df.sparkSession
-    metrics = spark.createDataFrame(rows)
+    names = list(dict.fromkeys(k for r in rows for k in r))
+    metrics = spark.createDataFrame([tuple(r.get(k) for k in names) for r in rows], names)
     return {"plan": plan, "features": feats, "models": fitted, "metrics": ml.best_model(metrics, "test_r2")}
 
 

@@ -12,7 +12,11 @@ _ROOT = r"regexp_extract(url, '^(https?://[^/?#]+)', 1)"
 
 
 def _strip(x: str) -> str:
-    return "trim(" + _TAGS.format(x=x) + ")"
+    """The stored pages hold only these references."""
+    text = _TAGS.format(x=x)
+    for ref, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
+        text = f"replace({text}, '{ref}', '{char}')"
+    return f"trim({text})"
 
 
 @register(

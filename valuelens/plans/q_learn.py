@@ -40,7 +40,7 @@ def model_table(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = N
 
 
 def _fitted(spark: SparkSession, sf_dir: str, name: str):
-    key = (id(spark), sf_dir, name)
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _MODELS:
         data = model_table(spark, sf_dir)
         train = data.filter(F.col("split") == "train")

@@ -13,12 +13,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from valuelens.functions.text import parse_currency
+from valuelens.functions.text import decode_entities, parse_currency
 
-LINK_RE = r'<a href="([^"]*)"[^>]*>(.*?)</a>'
+# an attribute may stand anywhere in its tag and be quoted either way; anchors may span lines
+LINK_RE = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*["']([^"'>]*)["'][^>]*>(.*?)</a\s*>"""
+HREF_RE = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*["']([^"'>]*)["']"""
 COMMENT_RE = r"(?s)<!--(.*?)-->"
-ROW_RE = r"(?s)<tr([^>]*)>(.*?)</tr>"
-CELL_RE = r"(?s)<t[dh][^>]*>(.*?)</t[dh]>"
+ROW_RE = r"(?is)<tr([^>]*)>(.*?)</tr\s*>"
+CELL_RE = r"(?is)<t[dh](?:\s[^>]*)?>(.*?)</t[dh]\s*>"
 TAG_RE = r"<[^>]+>"
 
 
@@ -33,7 +35,8 @@ def absolute_href(href: Column, url: Column) -> Column:
 
 
 def strip_tags(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, TAG_RE, ""))
+    """Text of an HTML fragment as a parser gives it: tags removed, character references decoded, ends trimmed."""
+    return F.trim(decode_entities(F.regexp_replace(c, TAG_RE, "")))
 
 
 def extract_links(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -41,10 +44,8 @@ def extract_links(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     hrefs = F.regexp_extract_all(F.col(html_col), F.lit(LINK_RE), 1)
     texts = F.regexp_extract_all(F.col(html_col), F.lit(LINK_RE), 2)
     z = pages.select(id_col, url_col, F.posexplode(F.arrays_zip(hrefs.alias("href"), texts.alias("text"))).alias("p", "l"))
-    return z.select(
-        id_col, (F.col("p") + 1).alias("pos"), F.col("l.href").alias("href"), strip_tags(F.col("l.text")).alias("text"),
-        absolute_href(F.col("l.href"), F.col(url_col)).alias("abs_url"),
-    )
+    z = z.select(id_col, url_col, (F.col("p") + 1).alias("pos"), decode_entities(F.col("l.href")).alias("href"), strip_tags(F.col("l.text")).alias("text"))
+    return z.select(id_col, "pos", "href", "text", absolute_href(F.col("href"), F.col(url_col)).alias("abs_url"))
 
 
 def first_link_matching(links: DataFrame, needles: Sequence[str], id_col: str = "page_id") -> DataFrame:
@@ -70,9 +71,9 @@ def extract_fields(pages: DataFrame, id_col: str = "page_id", html_col: str = "h
     h = F.col(html_col)
     return pages.select(
         id_col,
-        F.nullif(strip_tags(F.regexp_extract(h, r"(?s)<title>(.*?)</title>", 1)), F.lit("")).alias("title"),
+        F.nullif(strip_tags(F.regexp_extract(h, r"(?is)<title[^>]*>(.*?)</title\s*>", 1)), F.lit("")).alias("title"),
         F.nullif(strip_tags(F.regexp_extract(h, r"(?s)<h1[^>]*>(.*?)</h1>", 1)), F.lit("")).alias("name"),
-        F.nullif(F.regexp_extract(h, r'<html[^>]* lang="([^"]*)"', 1), F.lit("")).alias("lang"),
+        F.nullif(F.regexp_extract(h, r"""(?i)<html\s(?:[^>]*?\s)?lang\s*=\s*["']([^"'>]*)["']""", 1), F.lit("")).alias("lang"),
         F.size(F.regexp_extract_all(h, F.lit(r"<p[ >]"), 0)).alias("n_paragraphs"),
         F.size(F.regexp_extract_all(h, F.lit(r"<li[ >]"), 0)).alias("n_items"),
     )
@@ -82,7 +83,7 @@ def extract_list_items(pages: DataFrame, id_col: str = "page_id", url_col: str =
     """S11 on lists: every ``<li>`` that carries a link -> (id, pos, text, href); items without a link are skipped."""
     items = F.regexp_extract_all(F.col(html_col), F.lit(r"(?s)<li[^>]*>(.*?)</li>"), 1)
     z = pages.select(id_col, url_col, F.posexplode(items).alias("p", "item"))
-    href = F.regexp_extract(F.col("item"), r'<a href="([^"]*)"', 1)
+    href = decode_entities(F.regexp_extract(F.col("item"), HREF_RE, 1))
     return z.filter(href != "").select(
         id_col, (F.col("p") + 1).alias("pos"), strip_tags(F.col("item")).alias("text"), href.alias("href"),
         absolute_href(href, F.col(url_col)).alias("abs_url"),
@@ -97,8 +98,8 @@ def extract_table_rows(pages: DataFrame, id_col: str = "page_id", html_col: str
     bodies = F.regexp_extract_all(F.col(html_col), F.lit(ROW_RE), 2)
     z = pages.select(id_col, F.posexplode(F.arrays_zip(attrs.alias("a"), bodies.alias("b"))).alias("p", "r"))
     z = z.filter(~F.col("r.a").contains(header_class))
-    href = F.regexp_extract(F.col("r.b"), r'<a href="([^"]*)"', 1)
-    cells = F.transform(F.regexp_extract_all(F.col("r.b"), F.lit(CELL_RE), 1), lambda c: F.trim(F.regexp_replace(c, TAG_RE, "")))
+    href = decode_entities(F.regexp_extract(F.col("r.b"), HREF_RE, 1))
+    cells = F.transform(F.regexp_extract_all(F.col("r.b"), F.lit(CELL_RE), 1), strip_tags)
     out = z.select(id_col, (F.col("p") + 1).alias("row_pos"), cells.alias("cells"), F.nullif(href, F.lit("")).alias("href"))
     if require_link:
         out = out.filter(F.col("href").isNotNull())
@@ -110,14 +111,14 @@ def stat_pairs(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
     """S13 (+S14): (id, pos, stat_label, per90 text) from stat tables whose id contains
     ``table_id_contains``; tables hidden in comments are read only when the page has none in the open."""
     h = F.col(html_col)
-    tab_re = r'(?s)<table[^>]*id="[^"]*' + table_id_contains + r'[^"]*"[^>]*>(.*?)</table>'
+    tab_re = r"""(?is)<table\s(?:[^>]*?\s)?id\s*=\s*["'][^"'>]*""" + table_id_contains + r"""[^"'>]*["'][^>]*>(.*?)</table\s*>"""
     direct = F.regexp_extract_all(h, F.lit(tab_re), 1)
     commented = F.flatten(F.transform(F.regexp_extract_all(h, F.lit(COMMENT_RE), 1), lambda c: F.regexp_extract_all(c, F.lit(tab_re), 1)))
     tables = F.when(F.size(direct) > 0, direct).otherwise(commented) if use_comments else direct
     rows = F.flatten(F.transform(tables, lambda t: F.regexp_extract_all(t, F.lit(ROW_RE), 2)))
     z = pages.select(id_col, F.posexplode(rows).alias("p", "row"))
-    label = strip_tags(F.regexp_extract(F.col("row"), r'(?s)<th[^>]*data-stat="statistic"[^>]*>(.*?)</th>', 1))
-    per90 = strip_tags(F.regexp_extract(F.col("row"), r'(?s)<td[^>]*data-stat="per90"[^>]*>(.*?)</td>', 1))
+    label = strip_tags(F.regexp_extract(F.col("row"), r"""(?is)<th\s(?:[^>]*?\s)?data-stat\s*=\s*["']statistic["'][^>]*>(.*?)</th\s*>""", 1))
+    per90 = strip_tags(F.regexp_extract(F.col("row"), r"""(?is)<td\s(?:[^>]*?\s)?data-stat\s*=\s*["']per90["'][^>]*>(.*?)</td\s*>""", 1))
     return z.select(id_col, (F.col("p") + 1).alias("pos"), label.alias("stat_label"), per90.alias("per90")).filter(
         (F.col("stat_label") != "") & (F.col("per90") != "")
     )
