@@ -106,6 +106,29 @@ def test_gate_loses_nothing():
             assert i in on or not r.pattern.search(low), (r.label, r.keywords, t)
 
 
+def test_optional_spaces_and_gates():
+    """Forms with an optional space are found with and without it; every alternative of a rule has its keyword."""
+    s = licenses.Scanner()
+    labels = lambda t: {s.rules[i].label for i, _, _ in s.detect(t.encode().lower())}
+    short = {"GPLv1": "gpl-1.0", "GPLv2": "gpl-2.0", "GPLv3": "gpl-3.0", "LGPLv2.0": "lgpl-2.0", "LGPLv2.1": "lgpl-2.1", "LGPLv3": "lgpl-3.0",
+             "AGPLv3": "agpl-3.0", "MPLv1.1": "mpl-1.1", "MPLv2": "mpl-2.0", "EPLv1": "epl-1.0", "EPLv2": "epl-2.0", "CPLv1": "cpl-1.0",
+             "EUPLv1": "eupl-1.2", "AFLv3": "afl-3.0", "OSLv3": "osl-3.0", "UPLv1": "upl-1.0", "OpenRAIL license": "openrail"}
+    cc = {"ShareAlike 3.0": "cc-by-sa-3.0", "ShareAlike 4.0": "cc-by-sa-4.0", "NoDerivatives 4.0": "cc-by-nd-4.0", "NonCommercial 3.0": "cc-by-nc-3.0",
+          "NonCommercial 4.0": "cc-by-nc-4.0", "NonCommercial-ShareAlike 4.0": "cc-by-nc-sa-4.0", "NonCommercial-NoDerivatives 4.0": "cc-by-nc-nd-4.0"}
+    for text, label in [*short.items(), *((f"Creative Commons Attribution-{k}", v) for k, v in cc.items())]:
+        assert label in labels(f"x {text}, y"), text
+        assert label in labels(f"available under the {text}."), text
+    for text, label in (("GPL v2", "gpl-2.0"), ("GPL  3", "gpl-3.0"), ("Creative Commons Attribution Share Alike 4.0", "cc-by-sa-4.0"), ("CC  BY\n4.0", "cc-by-4.0"),
+                        ("available under GPL-2.0", "gpl-2.0"), ("for academic purposes only", "research-only"), ("llama 2 community license", "llama")):
+        assert label in labels(text), text
+    for label, spdx, *_ in licenses.FAMILIES:
+        for gap in ("", " ", "\n\t"):
+            assert label in labels(f"SPDX-License-Identifier:{gap}{spdx}"), spdx
+            assert 100 in {s.rules[i].priority for i, _, _ in s.detect(f"spdx-license-identifier:{gap}{spdx}".encode())}, spdx
+        assert max(s.rules[i].priority for i, _, _ in s.detect(f"available under {spdx} x".encode())) >= 88, spdx
+    assert "apache-2.0" not in labels("apache+2.0")
+
+
 def test_containment():
     d = lambda p, i, a, b: (p, b - a, -i, a, b)
     strong, inside, across, after = d(9, 0, 10, 50), d(5, 1, 20, 30), d(5, 2, 40, 60), d(1, 3, 70, 80)

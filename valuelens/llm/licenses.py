@@ -138,7 +138,7 @@ NOTICES = (
     ("commercial", ("commercial license",), r"commercial license", 25, 0.5),
     ("non-commercial", ("non-commercial",), r"for non-commercial use only", 35, 0.7),
     ("non-commercial", ("noncommercial",), r"for noncommercial (?:use|purposes)", 35, 0.7),
-    ("research-only", ("research purposes",), r"for (?:academic|research) (?:and research )?purposes only", 35, 0.7),
+    ("research-only", ("academic purposes", "research purposes"), r"for (?:academic|research) (?:and research )?purposes only", 35, 0.7),
     ("fair-use", ("fair use",), r"under (?:the )?fair use", 20, 0.4),
     ("see-license", ("license",), r"see (?:the )?license(?:[.](?:txt|md))? (?:file )?(?:for|in)", 12, 0.3),
     ("lgpl", ("lesser general public",), r"gnu lesser general public license", 40, 0.7),
@@ -167,8 +167,9 @@ class Rule:
 
 
 def _spaced(expression: str) -> bytes:
-    """The expression for lowered bytes: a space stands for any run of white space, ends fall on word borders."""
-    body = expression.encode().replace(b" ", rb"\s+")
+    """The expression for lowered bytes: a space stands for any run of white space, an optional one or one in a class too; ends fall on word borders."""
+    body = expression.encode().replace(b"[ ]?", rb"\s*").replace(b" ?", rb"\s*")
+    body = body.replace(b"[ -]", rb"(?:\s+|-)").replace(b"[- ]", rb"(?:\s+|-)").replace(b" ", rb"\s+")
     return rb"(?<![" + _W + rb"])(?:" + body + rb")(?![" + _W + rb"])"
 
 
@@ -191,8 +192,8 @@ def rules() -> list[Rule]:
     for label, spdx, name, short, address in FAMILIES:
         tag = re.escape(spdx)
         add(label, ("spdx-license-identifier",), rf"spdx-license-identifier: ?{tag}(?:-only|-or-later)?", 100, 1.0)
-        add(label, ("licen", "released", "distributed"), rf"(?:licen[cs]ed|released|distributed|available) under (?:the )?(?:terms of the )?(?:{name})", 90, 0.95)
-        add(label, ("licen", "released", "distributed"), rf"(?:licen[cs]ed|released|distributed|available) under (?:the )?(?:{short}|{tag})", 88, 0.9)
+        add(label, ("licen", "released", "distributed", "available"), rf"(?:licen[cs]ed|released|distributed|available) under (?:the )?(?:terms of the )?(?:{name})", 90, 0.95)
+        add(label, ("licen", "released", "distributed", "available"), rf"(?:licen[cs]ed|released|distributed|available) under (?:the )?(?:{short}|{tag})", 88, 0.9)
         add(label, _gates(name), name, 50, 0.8)
         add(label, _gates(short), short, 30, 0.6)
         add(label, (address,), rf"(?:https?://)?(?:www[.])?{re.escape(address)}", 70, 0.9)
