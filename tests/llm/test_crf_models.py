@@ -83,6 +83,26 @@ def test_toxic_documents_and_words_are_found(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in got if r.score < 0.7) and kept.columns == docs_of(spark, rows).columns
 
 
+def test_wrong_labels_leave_the_cues(spark):
+    """2 and 5 % of the labels flipped, and cues that stand in clean documents too: toxic documents are still found."""
+    for seed, flips, stray in ((8, 0.02, 0.0), (9, 0.05, 0.0), (10, 0.05, 0.05)):
+        rng = random.Random(seed)
+        rows, labels = toxic_corpus(rng, 1500)
+        truth = dict(labels)
+        rows = [(i, t + " idiot" if not truth[i] and rng.random() < stray else t) for i, t in rows]
+        known = spark.createDataFrame([(i, 1 - x if rng.random() < flips else x) for i, x in labels], "doc_id long, toxic int")
+        got = [r for r in toxicity.tag(docs_of(spark, rows), known, spans=False).collect() if zlib.crc32(str(r.doc_id).encode()) % 3 == 1]
+        found = [r.score >= 0.7 for r in got if truth[r.doc_id]]
+        wrong = [r.score >= 0.7 for r in got if not truth[r.doc_id]]
+        assert np.mean(found) > 0.9 and np.mean(wrong) < 0.03 + stray, (flips, stray, np.mean(found), np.mean(wrong))
+
+
+def test_few_toxic_documents_are_explained():
+    doc = np.repeat(np.arange(40), 2)
+    feature = np.stack([np.arange(40) % 5, np.where(np.arange(40) < 3, 6, 5)], axis=1).ravel()
+    assert 6 in toxicity.explain(doc, feature, np.arange(40) < 3)
+
+
 def test_toxicity_edge_rows(spark):
     rows, labels = toxic_corpus(random.Random(6), 200)
     labels = spark.createDataFrame(labels, "doc_id long, toxic int")

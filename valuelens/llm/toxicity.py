@@ -2,8 +2,8 @@
 
 Labels are given per document, tags are needed per word. A bounded sample of labelled
 documents is drawn; features (words, prefixes, suffixes) that explain toxic documents
-are picked greedily, each time the one found in most toxic documents not yet explained and in
-next to no clean ones. In toxic documents, words with a picked feature are tagged toxic, all other
+are picked greedily by smoothed log-odds over clean ones, so that wrong labels and cues that
+stand in clean text too are borne. In toxic documents, words with a picked feature are tagged toxic, all other
 words clean. The field is fitted to these tags. Scoring runs over every whole text in one pass
 without a shuffle: marginals above a half are offending words; a document's score is the
 probability that at least one of them is toxic (the highest marginal if there are none).
@@ -24,6 +24,8 @@ from valuelens.llm.tables import map_arrow
 FIT_DOCS, FIT_CHARS = 2000, 4000
 BITS = 18
 SEQUENCE = 48
+#: Log of the lift from toxic over clean documents from which on a feature is a cue.
+LIFT = float(np.log(3.0))
 
 
 def excerpt(text: str, chars: int):
@@ -43,25 +45,41 @@ def sample(docs: DataFrame, labels: DataFrame, train, fit_docs: int, fit_chars:
     return sorted({r.text: r for r in rows.collect()}.values(), key=lambda r: (r.h, r.text))
 
 
-def explain(doc: np.ndarray, feature: np.ndarray, toxic: np.ndarray, clean_share: float = 0.01, least: int = 4) -> np.ndarray:
-    """Numbers of the features picked. doc, feature: distinct pairs; toxic: per document."""
+def explain(doc: np.ndarray, feature: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Numbers of the features picked. doc, feature: distinct pairs; toxic: per document, may be wrong for some.
+
+    A feature's lift is the smoothed log of its rate in toxic documents not yet explained over its rate in clean
+    ones; the one with the highest product of lift over LIFT and such documents is next. It must be more than chance
+    among as many features: the log-likelihood ratio of its documents' labels exceeds the log of their number. If no
+    feature is, chance is allowed for, then any lift above 0, so that toxic documents never go without a tag
+    as long as some feature is more frequent in them.
+    """
     n_features = int(feature.max()) + 1 if len(feature) else 0
-    clean = np.bincount(feature[~toxic[doc]], minlength=n_features) / max(1, (~toxic).sum())
-    all_toxic = np.bincount(feature[toxic[doc]], minlength=n_features) / max(1, toxic.sum())
-    sharp = clean <= clean_share * all_toxic
-    use = toxic[doc] & sharp[feature]
-    d, f = doc[use], feature[use]
-    open_ = toxic.copy()
-    picked = []
-    while len(d):
-        gain = np.bincount(f, minlength=n_features)
-        best = int(np.argmax(gain))
-        if gain[best] < least:
+    n_toxic, n_clean = int(toxic.sum()), int((~toxic).sum())
+    clean = np.bincount(feature[~toxic[doc]], minlength=n_features)
+    all_d, all_f = doc[toxic[doc]], feature[toxic[doc]]
+    real = int((np.bincount(all_f, minlength=n_features) > 0).sum())
+    for lift, by_chance in ((LIFT, False), (LIFT, True), (0.0, True)):
+        d, f, open_, picked = all_d, all_f, toxic.copy(), []
+        while len(d):
+            gain = np.bincount(f, minlength=n_features)
+            over = np.log((gain + 0.5) / (n_toxic + 1)) - np.log((clean + 0.5) / (n_clean + 1)) - lift
+            worth = np.where(gain > 0, gain * over, -np.inf)
+            if not by_chance:
+                share = open_.sum() / (open_.sum() + n_clean)
+                both = gain + clean
+                p = np.clip(gain / np.maximum(both, 1), 1e-12, 1 - 1e-12)
+                sure = gain * np.log(p / share) + clean * np.log((1 - p) / (1 - share)) > np.log(max(real, 2))
+                worth = np.where(sure, worth, -np.inf)
+            best = int(np.argmax(worth))
+            if worth[best] <= 0:
+                break
+            picked.append(best)
+            open_[d[f == best]] = False
+            keep = open_[d]
+            d, f = d[keep], f[keep]
+        if picked:
             break
-        picked.append(best)
-        open_[d[f == best]] = False
-        keep = open_[d]
-        d, f = d[keep], f[keep]
     return np.array(picked, dtype=np.int64)
 
 
