@@ -135,6 +135,33 @@ def test_languages_are_told_apart(spark):
     assert runs == [("aa", 0, 20), ("bb", 20, 20)]
 
 
+def test_runs_without_spaces_are_seen_to_their_end(spark):
+    rng = random.Random(11)
+    letters = {"zh": [chr(0x4E00 + i) for i in range(300)], "ja": [chr(0x3041 + i) for i in range(80)]}
+    run = lambda lang, n: "".join(rng.choice(letters[lang]) for _ in range(n))
+    rows = [(i, run(lang, rng.randrange(50, 300)), lang) for i in range(200) for lang in [rng.choice(["zh", "ja"])]]
+    rows += [(9001, run("zh", 60) + run("ja", 600), None), (9002, run("ja", 60) + run("zh", 600), None)]
+    got = {r.doc_id: r for r in language.identify(docs_of(spark, rows)).collect()}
+    assert (got[9001].lang_pred, got[9002].lang_pred) == ("ja", "zh")
+    assert [s.lang for s in got[9001].spans] == ["zh", "ja"]
+    bad = "毒蛇"
+    texts, labels = [], []
+    for i in range(600):
+        toxic = i % 3 == 0
+        parts = [run("ja", rng.randrange(60, 150)) for _ in range(3)]
+        texts.append((i, (bad if toxic else "").join(parts)))
+        labels.append((i, int(toxic)))
+    scored = toxicity.tag(docs_of(spark, texts), spark.createDataFrame(labels, "doc_id long, toxic int"), spans=False).collect()
+    held = [r for r in scored if zlib.crc32(str(r.doc_id).encode()) % 3 == 1]
+    assert np.mean([(r.score >= 0.7) == (r.doc_id % 3 == 0) for r in held]) > 0.9
+
+
+def test_long_tokens_give_all_their_trigrams():
+    w = W.split(pa.array(["a" * 100 + "xyz", "a" * 103]), W.ALNUM)
+    rows, h = crf.trigrams(w, np.arange(2))
+    assert np.bincount(rows).tolist() == [101, 101] and len(np.unique(h[rows == 0])) > len(np.unique(h[rows == 1]))
+
+
 def test_language_edge_rows(spark):
     got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(docs_of(spark, EDGE)).collect()}
     assert got[1] == got[2] == got[3] == ("und", 0.0) and got[4][0] == "en" and got[7][0] == "en"

@@ -39,3 +39,14 @@ def test_chain_tells_order():
 
 def test_covered():
     assert W.covered(np.array([0, 3, 3]), np.array([2, 1, 4]), 8).tolist() == [True, True, False, True, True, True, True, False]
+
+
+def test_cut_covers_long_runs():
+    texts = ["語" * 1000 + " ab " + "é" * 40, None, "w" * 500, "é" * 32 + " x", "a" * 70 + "語", "𝄞" * 50, "語" * 22]
+    w = W.split(pa.array(texts), W.ALNUM)
+    got = W.cut(w)
+    assert [b"".join(got.texts(i)) for i in range(len(texts))] == [b"".join(w.texts(i)) for i in range(len(texts))]
+    assert got.texts(2) == [b"w" * 500] and got.texts(3) == w.texts(3)
+    for i in (0, 4, 5, 6):
+        assert all(0 < len(x) <= 12 and x.decode() for x in got.texts(i)), i
+    assert W.cut(W.split(pa.array([None, ""], pa.string()), W.ALNUM)).first.tolist() == [0, 0, 0]

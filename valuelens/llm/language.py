@@ -48,7 +48,7 @@ def sample(docs: DataFrame, train, fit_docs: int, fit_chars: int, fit_languages:
 def learn(rows: list, seed: int = 5) -> crf.Crf | None:
     """The field, or None without training words."""
     langs = sorted({r.lang for r in rows})
-    w = W.split(pa.array([r.text for r in rows], pa.string()), W.ALNUM)
+    w = W.cut(W.split(pa.array([r.text for r in rows], pa.string()), W.ALNUM))
     h = w.hashes()
     if not len(h):
         return None
@@ -88,7 +88,8 @@ def identify(docs: DataFrame, train=None, fit_docs: int = FIT_DOCS, fit_chars: i
 
     docs needs doc_id, text and lang (lang only of training rows is read). Null texts and texts
     without a letter are ``und`` with score 0, as is everything without training rows. Repeated
-    rows are labelled alike; other columns are ignored.
+    rows are labelled alike; other columns are ignored. Non-ASCII runs of over 64 bytes count as
+    several words (``words.cut``).
     """
     model = learn(sample(docs, train_rows() if train is None else train, fit_docs, fit_chars, fit_languages))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # size fixed by BITS and the number of languages
@@ -100,7 +101,7 @@ def identify(docs: DataFrame, train=None, fit_docs: int = FIT_DOCS, fit_chars: i
         run_type = pa.list_(pa.struct([("lang", pa.string()), ("first", pa.int64()), ("words", pa.int64())]))
         for b in W.pieces(batches, size=size):
             texts = b.column("text")
-            w = W.split(texts, W.ALNUM)
+            w = W.cut(W.split(texts, W.ALNUM))
             n = b.num_rows
             letter = ~_all_digits(w)
             doc = w.doc_of()

@@ -88,7 +88,7 @@ def learn(rows: list, seed: int = 3) -> crf.Crf | None:
     toxic = np.array([r.toxic == 1 for r in rows], dtype=bool)
     if not toxic.any() or toxic.all():
         return None
-    w = W.split(pa.array([r.text for r in rows], pa.string()), W.ALNUM)
+    w = W.cut(W.split(pa.array([r.text for r in rows], pa.string()), W.ALNUM))
     h, doc = w.hashes(), w.doc_of()
     if not len(h):
         return None
@@ -155,7 +155,7 @@ def tag(docs: DataFrame, labels: DataFrame, train=None, fit_docs: int = FIT_DOCS
     docs needs doc_id and text, labels doc_id and toxic (nulls ignored; of several labels of a
     document the highest counts). Columns of docs named score or spans are replaced. Null and empty
     texts score 0; so does everything if the training rows lack a class. Repeated rows are scored
-    alike. ``keep``: only rows with a score below it are returned, with docs' columns alone.
+    alike. Non-ASCII runs of over 64 bytes count as several words (``words.cut``). ``keep``: only rows with a score below it are returned, with docs' columns alone.
     """
     model = learn(sample(docs, labels, train_rows() if train is None else train, fit_docs, fit_chars))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # size fixed by BITS
@@ -173,7 +173,7 @@ def tag(docs: DataFrame, labels: DataFrame, train=None, fit_docs: int = FIT_DOCS
         kind = pa.list_(pa.struct([("word", pa.int64()), ("first", pa.int64()), ("end", pa.int64()), ("p", pa.float64())]))
         for b in W.pieces(batches):
             texts = b.column("text")
-            w = W.split(texts, W.ALNUM)
+            w = W.cut(W.split(texts, W.ALNUM))
             p = field.score(w)[:, 1] if field is not None else np.zeros(len(w.start))
             score = document_scores(p, w.first)
             if keep is not None:

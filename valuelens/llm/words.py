@@ -120,6 +120,34 @@ def split(texts: pa.Array, kind: str) -> Words:
     return Words(data, start, end, np.searchsorted(start, begin))
 
 
+def cut(w: Words, longest: int = 64, piece: int = 9) -> Words:
+    """w with each word of over ``longest`` bytes that has a non-ASCII character cut at characters into words of about ``piece`` bytes.
+
+    Scripts without spaces make a whole sentence or text one run of word bytes; cut, every part of it is seen.
+    """
+    length = w.end - w.start
+    long_ = np.flatnonzero(length > longest)
+    if len(long_):
+        other = np.concatenate([[0], np.cumsum(w.data >= 128, dtype=np.int32)])
+        long_ = long_[other[w.end[long_]] > other[w.start[long_]]]
+    if not len(long_):
+        return w
+    n = np.ones(len(length), dtype=np.int64)
+    n[long_] = -(-length[long_] // piece)
+    owner = np.repeat(np.arange(len(n)), n)
+    nth = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+    start = w.start[owner] + nth * piece
+    for _ in range(3):  # on to the next character
+        start += (nth > 0) & ((w.data[start] & 0xC0) == 0x80)
+    real = start < w.end[owner]
+    start, owner = start[real], owner[real]
+    end = w.end[owner]
+    same = owner[1:] == owner[:-1]
+    end[:-1][same] = start[1:][same]
+    before = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(n)))])
+    return Words(w.data, start, end, before[w.first])
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of the batches, in slices whose texts hold about ``size`` bytes."""
     for batch in batches:
