@@ -62,6 +62,22 @@ def test_null_id_comes_last(spark):
     assert got == {None: 30, 9: 0}
 
 
+def test_many_null_ids_and_repeated_rows_with_a_shared_passage(spark):
+    rng = random.Random(4)
+    passage = [f"p{i}" for i in range(30)]
+    own = lambda n: [f"u{rng.randrange(10**9)}" for _ in range(n)]
+    nulls = [" ".join(own(rng.randrange(0, 60)) + passage + own(5)) for _ in range(700)]
+    first, second = " ".join(own(7) + passage + own(9)), " ".join(own(3) + passage + own(2))
+    rows = [(1, first)] * 5 + [(2, second)] * 3 + [(None, t) for t in nulls]
+    got = without_repeats(docs_of(spark, rows).repartition(6)).collect()
+    assert len(got) == len(rows)
+    assert {(r.doc_id, r.n_removed) for r in got} == {(1, 0), (2, 30), (None, 30)}
+    assert {r.text_kept for r in got if r.doc_id is None} == {" ".join(w for w in t.split() if w[0] != "p") for t in nulls}
+    # among texts with null ids alone, the passage stays in one
+    alone = without_repeats(docs_of(spark, [(None, t) for t in nulls])).collect()
+    assert sorted(r.n_removed for r in alone) == [0] + [30] * 699
+
+
 def test_equal_windows_have_equal_keys():
     rng = np.random.default_rng(5)
     core = rng.integers(0, 50, size=40)

@@ -35,7 +35,7 @@ ROUNDS = 5
 BLOCKS = 16
 
 _KEY = np.dtype([("key", "<u8"), ("text", "<i8"), ("many", "u1")])
-_WINDOW = np.dtype([("w1", "<u8"), ("w2", "<u4"), ("doc", "<i8"), ("tag", "<u2"), ("start", "<u4")])
+_WINDOW = np.dtype([("w1", "<u8"), ("w2", "<u4"), ("doc", "<i8"), ("t1", "<u8"), ("t2", "<u8"), ("start", "<u4")])
 
 
 def _pack(rows: np.ndarray) -> bytes:
@@ -144,7 +144,7 @@ def _shared_keys(batches):
 
 
 def _send_windows(window: int, rounds: int, blocks: int):
-    """Rows (block, windows) of a batch's first places, and rows (doc, tag, start, n) of places that come again in the batch."""
+    """Rows (block, windows) of a batch's first places, and rows (t1, t2, start, n) of places that come again in the batch; t1 and t2 are the halves of the digest."""
 
     def run(batches):
         for b in W.pieces(batches):
@@ -152,8 +152,9 @@ def _send_windows(window: int, rounds: int, blocks: int):
             b = b.filter(pc.equal(place, b.column("first")))
             if not b.num_rows:
                 continue
-            doc_id, digest = np.asarray(b.column("first")).astype(np.int64), _digests(b.column("digest"))
-            tag = (digest[:, 1] & 0xFFFF).astype(np.uint16)
+            once = np.sort(np.unique(_digests(b.column("digest")), axis=0, return_index=True)[1])  # one of repeated rows
+            b = b.take(pa.array(once))
+            doc_id, digest = np.asarray(b.column("first")).astype(np.int64), _digests(b.column("digest")).view(np.uint64)
             w = W.split(b.column("text"), W.NONSPACE)
             h, starts, doc, key = _keys(w, window, rounds)
             lists = b.column("keys").to_pylist()
@@ -167,7 +168,7 @@ def _send_windows(window: int, rounds: int, blocks: int):
             rows = np.zeros(len(starts), dtype=_WINDOW)
             rows["w1"] = W.chain(h, window)[starts]
             rows["w2"] = (W.chain(h, window, 0x9FB21C651E98DF25)[starts] >> np.uint64(32)).astype(np.uint32)
-            rows["doc"], rows["tag"], rows["start"] = doc_id[doc], tag[doc], starts - w.first[doc]
+            rows["doc"], rows["t1"], rows["t2"], rows["start"] = doc_id[doc], digest[doc, 0], digest[doc, 1], starts - w.first[doc]
             first, again = _earliest(rows)
             out = [(n, _pack(x), None, None, None, None) for n, x in _by_block((key[first] % np.uint64(blocks)).astype(np.int64), rows[first])]
             out += [(None, None, *r) for r in _ranges(rows[again])]
@@ -178,29 +179,32 @@ def _send_windows(window: int, rounds: int, blocks: int):
 
 def _window_batch(out: list) -> pa.RecordBatch:
     cols = list(zip(*out)) if out else [[]] * 6
-    kinds = [pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["block", "data", "doc", "tag", "start", "n"])
+    kinds = [pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["block", "data", "t1", "t2", "start", "n"])
 
 
 def _earliest(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of the rows that are the earliest of their window, and of the others; both in row order."""
-    order = np.lexsort((rows["start"], rows["tag"], rows["doc"], rows["w2"], rows["w1"]))
+    """Numbers of the rows that are the earliest of their window, and of the others; both in row order, one of rows that are equal."""
+    order = np.lexsort((rows["start"], rows["t2"], rows["t1"], rows["doc"], rows["w2"], rows["w1"]))
     a = rows[order]
+    new = np.ones(len(a), dtype=bool)
+    new[1:] = a[1:] != a[:-1]
+    order, a = order[new], a[new]
     head = np.ones(len(a), dtype=bool)
     head[1:] = (a["w1"][1:] != a["w1"][:-1]) | (a["w2"][1:] != a["w2"][:-1])
     return np.sort(order[head]), np.sort(order[~head])
 
 
 def _ranges(rows: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """(doc, tag, start, n): runs of n consecutive window starts."""
+    """(t1, t2, start, n): runs of n consecutive window starts."""
     if not len(rows):
         return []
-    a = rows[np.lexsort((rows["start"], rows["tag"], rows["doc"]))]
+    a = rows[np.lexsort((rows["start"], rows["t2"], rows["t1"]))]
     new = np.ones(len(a), dtype=bool)
-    new[1:] = (a["doc"][1:] != a["doc"][:-1]) | (a["tag"][1:] != a["tag"][:-1]) | (a["start"][1:] != a["start"][:-1] + 1)
+    new[1:] = (a["t1"][1:] != a["t1"][:-1]) | (a["t2"][1:] != a["t2"][:-1]) | (a["start"][1:] != a["start"][:-1] + 1)
     at = np.flatnonzero(new)
     n = np.diff(np.append(at, len(a)))
-    return list(zip(a["doc"][at].tolist(), a["tag"][at].tolist(), a["start"][at].tolist(), n.tolist()))
+    return list(zip(a["t1"][at].astype(np.int64).tolist(), a["t2"][at].astype(np.int64).tolist(), a["start"][at].tolist(), n.tolist()))
 
 
 def _settle(batches):
@@ -208,9 +212,9 @@ def _settle(batches):
     for g in grouped(_plain(batches), ["block"]):
         rows = _unpack([x for x in g.column("data").to_pylist() if x is not None], _WINDOW)
         out = [(None, None, *r) for r in _ranges(rows[_earliest(rows)[1]])] if len(rows) else []
-        known = g.filter(pc.is_valid(g.column("doc")))
-        out += list(zip(*[[None] * known.num_rows] * 2, *[known.column(c).to_pylist() for c in ("doc", "tag", "start", "n")]))
-        yield _window_batch(out).select(["doc", "tag", "start", "n"])
+        known = g.filter(pc.is_valid(g.column("t1")))
+        out += list(zip(*[[None] * known.num_rows] * 2, *[known.column(c).to_pylist() for c in ("t1", "t2", "start", "n")]))
+        yield _window_batch(out).select(["t1", "t2", "start", "n"])
 
 
 def _plain(batches):
@@ -242,13 +246,13 @@ def without_repeats(docs: DataFrame, window: int = 20, rounds: int = ROUNDS, tex
     # this join and the last one need the same shuffle of the texts, which Spark makes once
     # (which copy comes first is looked at behind the join: as a join key it would call for another shuffle)
     texts = base.join(wanted, "digest").select("doc_id", "first", "digest", "text", "keys")
-    windows = map_arrow(texts, _send_windows(window, rounds, blocks), "block int, data binary, doc long, tag int, start long, n long")
-    spread = F.coalesce("block", F.pmod(F.xxhash64("doc", "start"), F.lit(blocks)).cast("int"))
+    windows = map_arrow(texts, _send_windows(window, rounds, blocks), "block int, data binary, t1 long, t2 long, start long, n long")
+    spread = F.coalesce("block", F.pmod(F.xxhash64("t1", "start"), F.lit(blocks)).cast("int"))
     windows = windows.withColumn("block", spread).repartition(partitions(spark), "block").sortWithinPartitions("block")
-    ranges = map_arrow(windows, _settle, "doc long, tag int, start long, n long")
-    ranges = ranges.groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "n")).alias("ranges"))
-    tag = _number("digest", 15, 2, 10).cast("int")
-    gone = firsts.withColumn("tag", tag).withColumn("doc", F.col("first")).join(ranges, ["doc", "tag"], "left").select("digest", "first", "ranges")
+    ranges = map_arrow(windows, _settle, "t1 long, t2 long, start long, n long")
+    ranges = ranges.groupBy("t1", "t2").agg(F.collect_list(F.struct("start", "n")).alias("ranges"))
+    halves = {"t1": _number("digest", 1, 8, -10).cast("long"), "t2": _number("digest", 9, 8, -10).cast("long")}
+    gone = firsts.withColumns(halves).join(ranges, ["t1", "t2"], "left").select("digest", "first", "ranges")
     rows = base.join(gone, "digest").select("doc_id", "first", "text", "ranges")
     return map_arrow(rows, _keep(window, text_kept), "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", text_kept string" * text_kept)
 
