@@ -136,3 +136,22 @@ def test_lowering(spark):
     got = {r.doc_id: r.component_id for r in near_dup.classes(docs_of(spark, [(1, "A b C d e f"), (2, "a B c D e f"), (3, "a B c D e G h")]), k=2).collect()}
     assert got == {1: 1, 2: 1, 3: 3}
     assert W.NONSPACE_LOWER != W.NONSPACE
+
+
+def test_repeated_rows_of_one_id_do_not_multiply(spark, monkeypatch):
+    """Rows compared grow with distinct texts, not with the square of repeated rows; an id with several texts keeps them all."""
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    near = " ".join([*base[:195], "x", *base[196:]])
+    other = [f"v{rng.randrange(10**6)}" for _ in range(200)]
+    rows = [(1, " ".join(base))] * 1500 + [(2, near), (1, " ".join(other)), (3, " ".join([*other[:195], "x", *other[196:]])), (4, "alone " * 3)]
+    sizes, dealt = [], near_dup._dealt
+
+    def counted(cells):
+        sizes.append(cells.count())
+        return dealt(cells)
+
+    monkeypatch.setattr(near_dup, "_dealt", counted)
+    got = near_dup.classes(docs_of(spark, rows).repartition(4)).collect()
+    assert len(got) == len(rows) and {(r.doc_id, r.component_id) for r in got} == {(1, 1), (2, 1), (3, 1), (4, 4)}
+    assert max(sizes) <= 24 * 4, sizes

@@ -105,8 +105,8 @@ def _explode_bands(batches):
         if b.num_rows:
             bands = np.frombuffer(b"".join(b.column("bands").to_pylist()), dtype=np.int64)
             node = np.repeat(np.arange(b.num_rows), BANDS)
-            yield pa.RecordBatch.from_arrays([pa.array(bands), b.column("node").take(pa.array(node)), pa.array(np.tile(np.arange(BANDS, dtype=np.int32), b.num_rows))],
-                                             names=["bucket", "node", "band"])
+            yield pa.RecordBatch.from_arrays([pa.array(bands), b.column("node").take(pa.array(node)), b.column("s1").take(pa.array(node)),
+                                              pa.array(np.tile(np.arange(BANDS, dtype=np.int32), b.num_rows))], names=["bucket", "node", "s1", "band"])
 
 
 def _blocks(rows: DataFrame, size: str) -> DataFrame:
@@ -163,16 +163,17 @@ def _verify_stars(threshold: tuple[int, int]):
     num, den = threshold
 
     def run(batches):
-        key, mine = None, None
+        key, mine = None, []  # the first node's sets: an id may come with several texts
         for b in batches:
             a, d = [], []
             for center, salt, role, node, blob in zip(*[b.column(c).to_pylist() for c in ("center", "salt", "role", "node", "members")]):
                 s = np.frombuffer(blob, dtype=np.uint64)
                 if role == 0:
-                    key, mine = (center, salt), s
+                    mine = [*mine, s] if key == (center, salt) else [s]
+                    key = (center, salt)
                 elif key == (center, salt):
-                    both = len(np.intersect1d(mine, s, assume_unique=True))
-                    if den * both >= num * (len(mine) + len(s) - both):
+                    both = [len(np.intersect1d(m, s, assume_unique=True)) for m in mine]
+                    if any(den * n >= num * (len(m) + len(s) - n) for m, n in zip(mine, both)):
                         a.append(center)
                         d.append(node)
             yield pa.RecordBatch.from_arrays([pa.array(a, b.schema.field("node").type), pa.array(d, b.schema.field("node").type)], names=["a", "b"])
@@ -246,11 +247,12 @@ def classes(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (4, 5), ki
     nodes = written(nodes)
     # a node's row in sigs: set and id must fit, as an id may come with several texts
     wide = linkable.join(nodes.where("node is not null").select("n", "s1", "s2", F.col("node").alias("doc_id")), ["n", "s1", "s2", "doc_id"], "left_semi")
-    wide = wide.withColumnRenamed("doc_id", "node")
-    places = map_arrow(wide.select("node", "bands"), _explode_bands, f"bucket long, node {id_type}, band int")
+    # one row of repeated ones; an id with several texts has one row per set, told apart by s1
+    wide = wide.dropDuplicates(["n", "s1", "s2", "doc_id"]).withColumnRenamed("doc_id", "node")
+    places = map_arrow(wide.select("node", "s1", "bands"), _explode_bands, f"bucket long, node {id_type}, s1 long, band int")
     sizes = places.groupBy("bucket").agg(F.min("node").alias("center"), F.max("node").alias("top"), F.count(F.lit(1)).alias("size")).where("top > center")
     mates = places.join(sizes.drop("top"), "bucket")
-    mates = mates.join(wide.select("node", "n", "slots"), "node").withColumn("first", F.col("node") == F.col("center"))
+    mates = mates.join(wide.select("node", "s1", "n", "slots"), ["node", "s1"]).drop("s1").withColumn("first", F.col("node") == F.col("center"))
     cells = _blocks(mates, "size")
     # the bucket's first node goes to every block pair (i, i), to be compared with all
     others = F.sequence(F.lit(0), F.ceil(F.col("size") / F.lit(BLOCK)).cast("int") - 1)
@@ -266,10 +268,18 @@ def classes(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (4, 5), ki
     texts = docs.where("text is not null").select(F.col("doc_id").alias("node"), "text").join(wanted.where("__n > 0"), "node")
 
     def sets(batches):
+        seen = set()  # one of repeated rows; a join of two shuffled sides brings those of a node to one task, in a row
         for b in W.pieces(batches):
             own, e = shingles(b.column("text"), k, kind)
             first = np.searchsorted(own, np.arange(b.num_rows + 1))
             same = (np.diff(first) == np.asarray(b.column("__n"))) & (_sums(W.mix64(e), first).view(np.int64) == np.asarray(b.column("__s")))
+            nodes_, sums_ = b.column("node").to_pylist(), b.column("__s").to_pylist()
+            for i in np.flatnonzero(same).tolist():
+                mine = (nodes_[i], sums_[i])
+                same[i] = mine not in seen
+                if len(seen) > 1 << 18:
+                    seen.clear()
+                seen.add(mine)
             blobs = [np.sort(e[a:z]).tobytes() for a, z in zip(first[:-1].tolist(), first[1:].tolist())]
             out = pa.RecordBatch.from_arrays([b.column("node"), pa.array(blobs, pa.binary())], names=["node", "members"])
             yield out.filter(pa.array(same))
