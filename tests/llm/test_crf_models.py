@@ -162,6 +162,24 @@ def test_long_tokens_give_all_their_trigrams():
     assert np.bincount(rows).tolist() == [101, 101] and len(np.unique(h[rows == 0])) > len(np.unique(h[rows == 1]))
 
 
+def test_every_language_is_learnt(spark):
+    """300 languages, the rarest with two training documents."""
+    rng = random.Random(13)
+    own = {f"l{j:03}": ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(8)] for j in range(300)}
+    rows, i = [], 0
+    for j, (lang, words) in enumerate(own.items()):
+        for _ in range(4 if j < 290 else 2):
+            while zlib.crc32(str(i).encode()) % 5 == 0:
+                i += 1
+            rows.append((i, " ".join(rng.choice(words) for _ in range(40)), lang))
+            i += 1
+    fresh = [(10**6 + j, " ".join(rng.choice(words) for _ in range(40)), None) for j, words in enumerate(own.values())]
+    got = {r.doc_id: r.lang_pred for r in language.identify(docs_of(spark, rows + fresh), spans=False).collect()}
+    right = [got[10**6 + j] == lang for j, lang in enumerate(own)]
+    assert np.mean(right) > 0.95 and np.mean(right[290:]) >= 0.8
+    assert [language.table_bits(n) for n in (1, 4, 256, 257, 1000)] == [18, 18, 18, 17, 16]
+
+
 def test_language_edge_rows(spark):
     got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(docs_of(spark, EDGE)).collect()}
     assert got[1] == got[2] == got[3] == ("und", 0.0) and got[4][0] == "en" and got[7][0] == "en"

@@ -205,12 +205,11 @@ def fit(labels: list, types: Features, sequences: np.ndarray, tags: np.ndarray,
             np.put_along_axis(gold, np.maximum(tag, 0)[..., None], 1.0, axis=2)
             diff = (gold - gamma)[ok]
             pair = ok[:, 1:]
-            xi = alpha[:, :-1, :, None] * m[None, None] * (phi[:, 1:] * beta[:, 1:])[:, :, None, :]
-            xi = xi[pair]
-            xi /= xi.sum(axis=(1, 2), keepdims=True)
+            left, right = alpha[:, :-1][pair], (phi[:, 1:] * beta[:, 1:])[pair]
+            xi = m * (left.T @ (right / ((left @ m) * right).sum(axis=1, keepdims=True)))  # sums over pairs, no pair's own table
             grad = np.zeros((k, k))
             np.add.at(grad, (tag[:, :-1][pair], tag[:, 1:][pair]), 1.0)
-            grad = (grad - xi.sum(axis=0)) / len(chosen) - decay * trans
+            grad = (grad - xi) / len(chosen) - decay * trans
             g_trans += grad**2
             trans += rate * grad / np.sqrt(g_trans)
             by_type = np.zeros((len(used), k))

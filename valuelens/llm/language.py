@@ -19,8 +19,10 @@ from valuelens.llm import words as W
 from valuelens.llm.tables import map_arrow
 from valuelens.llm.toxicity import excerpt
 
-#: Bounds of the sample that the model is fitted on: documents per language, characters per document, languages.
-FIT_DOCS, FIT_CHARS, FIT_LANGUAGES = 700, 3000, 256
+#: Bounds of the sample that the model is fitted on: documents per language, characters per document, documents of all
+#: languages (one of each at least). Every language with training rows is learnt.
+FIT_DOCS, FIT_CHARS, FIT_TOTAL = 700, 3000, 700 * 256
+#: Size of the feature table: 2^BITS rows for up to 256 languages, fewer beyond, so that rows times languages stay bounded.
 BITS = 18
 SEQUENCE = 32
 _DIGITS = np.zeros(256, dtype=bool)
@@ -32,19 +34,29 @@ def train_rows(doc_id="doc_id"):
     return F.crc32(F.encode(F.col(doc_id).cast("string"), "UTF-8")) % 5 != 0
 
 
-def sample(docs: DataFrame, train, fit_docs: int, fit_chars: int, fit_languages: int) -> list:
-    """Rows (text, lang) of about ``fit_docs`` documents per language, drawn by hash."""
+def table_bits(languages: int) -> int:
+    return max(10, BITS - max(0, (languages - 1).bit_length() - 8))
+
+
+def sample(docs: DataFrame, train, fit_docs: int, fit_chars: int, fit_total: int) -> list:
+    """Rows (text, lang) of at most ``fit_docs`` documents per language, fewer if all would exceed ``fit_total``, drawn by hash."""
     known = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull()).where(train)
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(fit_languages)
-    share = F.broadcast(counts.withColumn("part", F.lit(1.0 * fit_docs) / F.col("count")))  # at most fit_languages rows
-    draw = F.pmod(F.xxhash64(F.lit("fit"), F.col("doc_id").cast("string")), F.lit(1 << 30)) / float(1 << 30)
-    rows = known.join(share, "lang").where(draw < F.col("part")).select(excerpt("text", fit_chars).alias("text"), "lang", draw.alias("h"))
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("count"), F.min(_draw()).alias("least"))
+    fit_docs = min(fit_docs, max(1, fit_total // max(1, counts.count())))
+    # one row per language; the first row by hash is always in, as a rare language may have no draw below its part
+    share = F.broadcast(counts.withColumn("part", F.greatest(F.lit(1.0 * fit_docs) / F.col("count"), F.col("least"))))
+    draw = _draw()
+    rows = known.join(share, "lang").where(draw <= F.col("part")).select(excerpt("text", fit_chars).alias("text"), "lang", draw.alias("h"))
     by_lang: dict[str, list] = {}
     for r in sorted({(r.text, r.lang): r for r in rows.collect()}.values(), key=lambda r: (r.h, r.text, r.lang)):
         by_lang.setdefault(r.lang, []).append(r)
     return [r for lang in sorted(by_lang) for r in by_lang[lang][:fit_docs]]
 
 
+def _draw():
+    return F.pmod(F.xxhash64(F.lit("fit"), F.col("doc_id").cast("string")), F.lit(1 << 30)) / float(1 << 30)
+
+
 def learn(rows: list, seed: int = 5) -> crf.Crf | None:
     """The field, or None without training words."""
     langs = sorted({r.lang for r in rows})
@@ -52,13 +64,16 @@ def learn(rows: list, seed: int = 5) -> crf.Crf | None:
     h = w.hashes()
     if not len(h):
         return None
-    lang = np.array([langs.index(r.lang) for r in rows])[w.doc_of()]
+    number = {lang: i for i, lang in enumerate(langs)}
+    lang = np.array([number[r.lang] for r in rows])[w.doc_of()]
     _, at, kind = np.unique(h, return_index=True, return_inverse=True)
     k = len(langs)
-    table = np.zeros((len(at), k))
-    np.add.at(table, (kind, lang), 1.0)
-    owner, total = table.argmax(axis=1), table.sum(axis=1)
-    sure = (total >= 20) & (table.max(axis=1) >= 0.9 * total)
+    pair, many = np.unique(kind * k + lang, return_counts=True)
+    order = np.lexsort((pair, -many, pair // k))  # each word's most frequent language first
+    pair, many = pair[order], many[order]
+    head = np.searchsorted(pair // k, np.arange(len(at)))
+    owner, total = pair[head] % k, np.bincount(kind, minlength=len(at))
+    sure = (total >= 20) & (many[head] >= 0.9 * total)
     lexicon = np.stack([h[at][sure], owner[sure].astype(np.uint64)], axis=1)
     lexicon = lexicon[np.argsort(lexicon[:, 0])]
     # sequences: runs of words; one in three has its second half taken from another run
@@ -76,13 +91,13 @@ def learn(rows: list, seed: int = 5) -> crf.Crf | None:
     late = np.arange(SEQUENCE)[None, :] >= place[:, None] if len(mixed) else np.zeros((0, SEQUENCE), dtype=bool)
     t, g = np.where(late, types[other], types[mixed]), np.where(late, tags[other], tags[mixed])
     types[mixed], tags[mixed] = t, g
-    f = crf.features(w, at, h[at], BITS, lexicon)
-    field = crf.fit(langs, f, types, tags, BITS, rounds=2, seed=seed)
+    f = crf.features(w, at, h[at], table_bits(k), lexicon)
+    field = crf.fit(langs, f, types, tags, table_bits(k), rounds=2, seed=seed)
     field.lexicon = lexicon
     return field
 
 
-def identify(docs: DataFrame, train=None, fit_docs: int = FIT_DOCS, fit_chars: int = FIT_CHARS, fit_languages: int = FIT_LANGUAGES,
+def identify(docs: DataFrame, train=None, fit_docs: int = FIT_DOCS, fit_chars: int = FIT_CHARS, fit_total: int = FIT_TOTAL,
              spans: bool = True) -> DataFrame:
     """Per row of docs: doc_id, lang_pred, score, and ``spans``: (language, first word, words) runs of the most likely word labels.
 
@@ -91,7 +106,7 @@ def identify(docs: DataFrame, train=None, fit_docs: int = FIT_DOCS, fit_chars: i
     rows are labelled alike; other columns are ignored. Non-ASCII runs of over 64 bytes count as
     several words (``words.cut``).
     """
-    model = learn(sample(docs, train_rows() if train is None else train, fit_docs, fit_chars, fit_languages))
+    model = learn(sample(docs, train_rows() if train is None else train, fit_docs, fit_chars, fit_total))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # size fixed by BITS and the number of languages
     size = W.PIECE_BYTES // max(1, (len(model.labels) if model else 1) // 8)
     kind = docs.schema["doc_id"].dataType.simpleString()
