@@ -133,13 +133,14 @@ def _counter(name: str, shared) -> PieceCounter:
 def frequent(docs: DataFrame, vocabulary: str, text: str) -> tuple[bytes, np.ndarray, np.ndarray]:
     """The table: pre-tokens joined as bytes, their ends, and their lengths in tokens.
 
-    Counted over the first SAMPLE_CHARS characters of SAMPLE_TEXTS texts with the smallest hashes; at most
-    TABLE entries of at most ENTRY_BYTES bytes, so its size has a fixed bound whatever the input.
+    Counted over the first SAMPLE_CHARS characters of at most SAMPLE_TEXTS distinct texts drawn by hash; at most
+    TABLE entries of at most ENTRY_BYTES bytes, so sample and table have fixed bounds whatever the input.
     """
-    drawn = docs.where(F.col(text).isNotNull()).select(F.substring(text, 1, SAMPLE_CHARS).alias("t"), F.xxhash64(text).alias("h"))
+    one_in = -(-docs.count() // SAMPLE_TEXTS) or 1
+    drawn = docs.select(F.substring(text, 1, SAMPLE_CHARS).alias("t")).where(F.col("t").isNotNull() & (F.pmod(F.xxhash64("t"), F.lit(one_in)) == 0))
     counter, seen = PieceCounter(vocabulary, {}), Counter()
     if counter.exact:
-        for row in drawn.orderBy("h").limit(SAMPLE_TEXTS).collect():
+        for row in drawn.distinct().limit(SAMPLE_TEXTS).collect():
             for part in counter.special.split(row.t) if counter.special is not None else [row.t]:
                 for p in counter.pieces(part):
                     seen.update(p)
