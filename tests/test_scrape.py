@@ -88,3 +88,46 @@ def test_html_as_a_parser_reads_it(spark):
     assert (f.title, f.lang) == ("Tom & Jérôme <3", "de")
     assert [(r.stat_label, r.per90) for r in hx.stat_pairs(page).collect()] == [("Goals & more", "0.5")]
     assert [(r.pos, r.text, r.href) for r in hx.extract_list_items(page).collect()] == [(1, "One uno", "/one")]
+
+
+NESTED = """<html><head><link rel='stylesheet' href='/s.css'><link rel=icon href="/i.png"><script>var x = "<li><a href='/no'>no</a></li><!-- no -->";</script></head><body>
+<!-- <li><a href="/hidden">hidden</a></li> --><h1 class='n'>Jos&eacute; &Ntilde;</h1>
+<a class="flag" href='/en/country/ESP/'>Espa&ntilde;a</a><span data-birth='1999-01-02' id=necro-birth>x</span><span> 1,80 m </span><span>179cm</span> Position:&nbsp;MF
+<ul><li>Outer <a href='/o'>A</a><ul><li><b><a class=x href="/i?a=1&amp;b=2">B &eacute;</a></b></li></ul></li><li>none</li><LI><A HREF='/up'>Up</A></LI></ul>
+<table id='scout_full_X'><tbody><tr><th data-stat="statistic">Goals</th><td data-stat="note"><table><tr><th data-stat="statistic">Inner</th><td data-stat="per90">9</td></tr></table></td>
+<td class='q' data-stat="per90">1.5</td></tr><tr><th scope=row data-stat='statistic'>Assists</th><td data-stat=per90>0.25</td></tr></tbody></table>
+<table><tr class="thead x"><th>Head</th></tr><tr><td>1</td><td><table><tr><td>in</td></tr></table></td><td><a href='/r'>row</a></td></tr><track src=x></table></body></html>"""
+
+CLUB_ODD = """<html><!-- <table class='t' id='stats_standard_1'><tr class='thead'><th data-stat='player'><a href='/h'>Head</a></th></tr>
+<tr><th data-stat='player'><b><a class=p href='/p/1'>Zo&euml;</a></b></th><td data-stat='games'>3</td><td data-stat='xg'>0,5</td></tr>
+<tr><th data-stat="player">No link</th></tr></table> --></html>"""
+
+
+def _page(spark, html):
+    return spark.createDataFrame([(1, "https://s.example/dir/p", html), (2, "https://s.example/", None), (3, "https://s.example/", "")], "page_id long, url string, html string")
+
+
+def test_nested_tables_and_lists(spark):
+    page = _page(spark, NESTED)
+    assert [(r.pos, r.text, r.href) for r in hx.extract_list_items(page).orderBy("pos").collect()] == [(1, "Outer AB é", "/o"), (2, "B é", "/i?a=1&b=2"), (4, "Up", "/up")]
+    assert [(r.stat_label, r.per90) for r in hx.stat_pairs(page).orderBy("pos").collect()] == [("Goals", "1.5"), ("Assists", "0.25")]
+    rows = hx.extract_table_rows(page, require_link=False).orderBy("row_pos").collect()
+    assert [r.cells for r in rows] == [["Goals", "Inner9", "1.5"], ["Inner", "9"], ["Assists", "0.25"], ["1", "in", "row"], ["in"]]
+    assert [r.href for r in hx.extract_table_rows(page).collect()] == ["/r"]
+    assert [r.comment for r in hx.extract_comments(page).collect()] == ['<li><a href="/hidden">hidden</a></li>']
+
+
+def test_profile_and_club_with_any_quotes(spark):
+    r = hx.profile_fields(_page(spark, NESTED)).where("page_id = 1").first()
+    assert (r.player_name, r.nationality, r.dob, r.height, r.position, r.foot) == ("José Ñ", "España", "1999-01-02", 179.0, "MF", None)
+    rows = [tuple(r) for r in hx.club_player_rows(_page(spark, CLUB_ODD)).collect()]
+    assert rows == [(1, 2, "Zoë", "https://s.example/p/1", 3, None, None, None, 0.5, None)] or rows[0][:5] == (1, 2, "Zoë", "https://s.example/p/1", 3)
+    assert hx.extract_fields(_page(spark, NESTED)).where("page_id > 1").select("title", "n_items").collect() == [(None, 0), (None, 0)]
+
+
+def test_unclosed_and_stray_tags():
+    from valuelens.sources.html_tree import parse
+
+    t = parse("<div><p>a<p>b</div></b><i>c<br/>d")
+    assert t.tag == ["div", "p", "p", "i", "br"] and t.parent == [-1, 0, 1, -1, 3]
+    assert [t.text(i) for i in range(5)] == ["ab", "ab", "b", "cd", ""] and t.last == [2, 2, 2, 4, 4]

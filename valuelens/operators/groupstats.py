@@ -99,11 +99,31 @@ def domain_complete(labels: DataFrame, label_col: str, stats: DataFrame, fill: d
 
 
 def facet_values(df: DataFrame, col: str, all_label: str | None = "All") -> DataFrame:
-    """T5: sorted distinct non-null values of a facet, optionally with an 'All' entry."""
-    vals = df.select(F.col(col).cast("string").alias("value")).filter(F.col("value").isNotNull()).distinct()
-    if all_label is not None:
-        vals = vals.unionByName(df.sparkSession.range(1).select(F.lit(all_label).alias("value")))
-    return vals
+    """T5: sorted distinct non-null values of a facet, after one 'All' entry if wanted (a value of that name is not listed twice)."""
+    vals = df.select(F.col(col).cast("string").alias("value")).filter(F.col("value").isNotNull())
+    if all_label is None:
+        return vals.distinct().orderBy("value")
+    vals = vals.unionByName(df.sparkSession.range(1).select(F.lit(all_label).alias("value"))).distinct()
+    return vals.orderBy(F.col("value") != all_label, "value")
+
+
+def facet_options(df: DataFrame, facets: dict[str, object], all_label: str = "All") -> DataFrame:
+    """T5: the options of dependent facets: (facet, ord, value, n), sorted by facet, 'All' first, then by value.
+
+    ``facets`` gives the facets in order with what is selected (None or ``all_label``: nothing). A facet offers the
+    non-null values of the rows that the selections of the facets before it leave, with their numbers; 'All' counts these rows.
+    One pass: a row gives one (facet, value) cell per facet whose earlier selections it meets; cells are counted in every
+    task before they are shuffled.
+    """
+    cells, left = [], F.lit(True)
+    for i, (col, chosen) in enumerate(facets.items()):
+        value = F.col(col).cast("string")
+        cells += [F.when(left, F.struct(F.lit(col).alias("facet"), F.lit(i).alias("ord"), F.lit(True).alias("all"), F.lit(all_label).alias("value"))),
+                  F.when(left & value.isNotNull() & (value != all_label), F.struct(F.lit(col).alias("facet"), F.lit(i).alias("ord"), F.lit(False).alias("all"), value.alias("value")))]
+        if chosen is not None and chosen != all_label:
+            left = left & F.coalesce(F.col(col) == F.lit(chosen), F.lit(False))
+    flat = df.select(F.inline(F.filter(F.array(*cells), lambda c: c.isNotNull())))
+    return flat.groupBy("facet", "ord", "all", "value").agg(F.count(F.lit(1)).alias("n")).orderBy("ord", ~F.col("all"), "value").drop("all")
 
 
 def facet_filter(df: DataFrame, facets: dict[str, object], all_label: str = "All") -> DataFrame:

@@ -59,7 +59,7 @@ def corr_matrix_long(df: DataFrame, cols: Sequence[str], include_diagonal: bool
     ``mapInPandas``, where masked moment sums of all pairs come from four
     matrix products per batch and are added up per partition; ``groupBy(i, j)``
     sums the partitions. NaN counts as NULL: a pair uses the rows where both
-    values are numbers.
+    values are numbers; r is NaN if one of these is infinite.
     """
     cols = list(cols)
     if len(cols) < 2:
@@ -79,9 +79,10 @@ def corr_matrix_long(df: DataFrame, cols: Sequence[str], include_diagonal: bool
 
 
 def _shifted(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Columns c0, c1, ... as doubles less their means (NaN read as NULL), for stable sums; a one-row broadcast."""
+    """Columns c0, c1, ... as doubles less their means (NaN read as NULL), for stable sums; a one-row broadcast.
+    Infinities do not enter the means and stay infinite."""
     x = [F.nanvl(F.col(_q(c)).cast("double"), F.lit(None).cast("double")) for c in cols]
-    means = df.agg(*[F.coalesce(F.avg(e), F.lit(0.0)).alias(f"__m{i}") for i, e in enumerate(x)])
+    means = df.agg(*[F.coalesce(F.avg(F.when(F.abs(e) < float("inf"), e)), F.lit(0.0)).alias(f"__m{i}") for i, e in enumerate(x)])
     return df.crossJoin(F.broadcast(means)).select(*[(e - F.col(f"__m{i}")).alias(f"c{i}") for i, e in enumerate(x)])
 
 
@@ -94,20 +95,21 @@ def _corr_by_moments(df: DataFrame, cols: list[str]) -> DataFrame:
         for pdf in it:
             x = pdf.to_numpy(dtype=float, na_value=np.nan)
             m = ~np.isnan(x)
-            x0, mf = np.where(m, x, 0.0), m.astype(float)
-            # n, sums of x_i where x_j is there, sums of squares likewise, products
-            part = np.stack([mf.T @ mf, x0.T @ mf, (x0 * x0).T @ mf, x0.T @ x0])
+            wild = np.isinf(x).astype(float)
+            x0, mf = np.where(np.isfinite(x), x, 0.0), m.astype(float)
+            # n, sums of x_i where x_j is there, sums of squares likewise, products, rows of a pair with an infinity
+            part = np.stack([mf.T @ mf, x0.T @ mf, (x0 * x0).T @ mf, x0.T @ x0, wild.T @ mf + mf.T @ wild])
             total = part if total is None else total + part
         if total is not None:
-            n, s1, s2, p = total
+            n, s1, s2, p, bad = total
             yield pd.DataFrame({
                 "i": iu, "j": ju, "n": n[iu, ju], "sx": s1[iu, ju], "sy": s1[ju, iu],
-                "sxx": s2[iu, ju], "syy": s2[ju, iu], "sxy": p[iu, ju],
+                "sxx": s2[iu, ju], "syy": s2[ju, iu], "sxy": p[iu, ju], "bad": bad[iu, ju],
             })
 
     sums = _shifted(df, cols).mapInPandas(
-        sums_of_partition, "i long, j long, n double, sx double, sy double, sxx double, syy double, sxy double"
-    ).groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ["n", "sx", "sy", "sxx", "syy", "sxy"]])
+        sums_of_partition, "i long, j long, n double, sx double, sy double, sxx double, syy double, sxy double, bad double"
+    ).groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ["n", "sx", "sy", "sxx", "syy", "sxy", "bad"]])
     n, sx, sy = F.col("n"), F.col("sx"), F.col("sy")
     vx = n * F.col("sxx") - sx * sx
     vy = n * F.col("syy") - sy * sy
@@ -117,7 +119,7 @@ def _corr_by_moments(df: DataFrame, cols: list[str]) -> DataFrame:
         names[F.col("i").cast("int")].alias("col_1"),
         names[F.col("j").cast("int")].alias("col_2"),
         n.cast("bigint").alias("n"),
-        F.when((vx > 0) & (vy > 0) & (n > 1), cov / F.sqrt(vx * vy)).alias("corr"),
+        F.when(F.col("bad") > 0, F.lit(float("nan"))).when((vx > 0) & (vy > 0) & (n > 1), cov / F.sqrt(vx * vy)).alias("corr"),
     )
 
 
@@ -502,15 +504,14 @@ def histogram(df: DataFrame, col: Column | str, bins: int = 50, name: str = "val
 def boxplot_summary(df: DataFrame, group: str, value: str, whisker: float = 1.5) -> DataFrame:
     """Per group exact quartiles (operators.quantiles), IQR, whiskers at the furthest data points
     inside the fences, outlier count. Rows with a null group or value are left out."""
-    from valuelens.operators.quantiles import quantile_columns
+    from valuelens.operators.quantiles import measured, quantile_columns
 
     src = df.select(group, value).dropna()
     q = quantile_columns(src, [group], value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo_f = F.col("q1") - whisker * F.col("iqr")
     hi_f = F.col("q3") + whisker * F.col("iqr")
-    # per-group summary is one row per group: small, broadcast by AQE when measured small
-    j = src.join(q, group)
+    j = src.join(measured(q), group)
     return j.groupBy(group, "q1", "median", "q3", "iqr").agg(
         F.count(F.lit(1)).alias("n"),
         F.min(F.when(F.col(value) >= lo_f, F.col(value))).alias("whisker_lo"),

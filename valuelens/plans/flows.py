@@ -21,10 +21,10 @@ from valuelens.operators import lifecycle as lc
 from valuelens.operators import profile as pr
 from valuelens.operators import split as sp
 from valuelens.operators import stats as st
-from valuelens.operators.quantiles import quantile_columns, with_quantiles
+from valuelens.operators.quantiles import quantile_columns, quantile_row, with_quantiles
 from valuelens.operators.themes import head_and_tail, sign_counts, theme_counts
 from valuelens.schema import CLEAN_COLUMNS, KEEPER, RAW_PLAYER, order_columns
-from valuelens.session import cut_lineage
+from valuelens.session import cut_lineage, settled
 from valuelens.sinks import writers
 from valuelens.sources import files
 
@@ -34,10 +34,16 @@ META_COLUMNS = ["player_id", "player_name", "foot", "position", "position_catego
 
 # --- C1 ingest ------------------------------------------------------------------------------------
 
-def ingest(spark: SparkSession, folder: str, out: str | None = None) -> tuple[DataFrame, DataFrame]:
+def ingest(spark: SparkSession, folder: str, out: str | None = None, quarantine: str | None = None) -> tuple[DataFrame, DataFrame]:
     """All CSVs of a folder (S2, by column name) -> conformed records -> keep the last record per
-    player id in file order (A1) -> optional write (K1). Returns (table, audit)."""
-    raw = files.read_csv_folder(spark, folder, RAW_PLAYER)
+    player id in file order (A1) -> optional write (K1). Returns (table, audit). Files that cannot be loaded are
+    written to the ``quarantine`` table (file, reason), or named in a warning without one."""
+    if quarantine:
+        found = files.ingest_folder(spark, folder, RAW_PLAYER)
+        writers.write_table(found.quarantine, quarantine)
+        raw = found.rows
+    else:
+        raw = files.read_csv_folder(spark, folder, RAW_PLAYER)
     # order = (file, split offset, position inside the split): the row order of the concatenated files
     ordered = raw.withColumn("_row", F.monotonically_increasing_id())
     deduped = dd.dedupe_keep_last(ordered, "player_id", ["_source_file", "_block_start", "_row"]).drop(
@@ -257,8 +263,8 @@ def finishing(df: DataFrame, target: str = TARGET) -> dict[str, DataFrame]:
     filter), significance of shooting metrics, summaries and undervalued clinical finishers."""
     fw = df.filter(F.col("is_FW") == 1).dropna(subset=[target]) if "is_FW" in df.columns else df.dropna(subset=[target])
     fw = _ensure(fw, ["shots_per90", "xg_per90", "shots_on_target_pct", "goals_per_90", "appearances", "minutes_played"])
-    f = fe.finishing_metrics(fw, "shots_per90", "minutes_played", "goals", "xg_per90", "shots_on_target_pct")
-    med = quantile_columns(f, [], "shots_per90", {"sm": 0.5}).crossJoin(quantile_columns(f, [], "conversion_rate", {"cm": 0.5}))
+    f = settled(fe.finishing_metrics(fw, "shots_per90", "minutes_played", "goals", "xg_per90", "shots_on_target_pct"))
+    med = quantile_row(f, {"sm": ("shots_per90", 0.5), "cm": ("conversion_rate", 0.5)})
     f = f.crossJoin(F.broadcast(med)).withColumn("forward_type", sg.quadrant("shots_per90", "conversion_rate", "sm", "cm"))
     kept = f.filter((F.coalesce(F.col("appearances"), F.lit(0)) >= 5) & (F.coalesce(F.col("minutes_played"), F.lit(0)) >= 450))
     metrics = [c for c in ["shots_per90", "shots_on_target_per90", "conversion_rate", "xg_overperformance", "shot_accuracy",

@@ -19,6 +19,9 @@ def _strip(x: str) -> str:
     return f"trim({text})"
 
 
+_AFTER_TAG = """string_split(string_split(item, '">')[2], '</a>')[1]"""
+
+
 @register(
     "extract_links",
     r"""
@@ -50,9 +53,8 @@ def first_link_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "extract_comments",
     r"""
-WITH c AS (SELECT page_id, regexp_extract_all(html, '(?s)<!--(.*?)-->', 1) AS cs FROM pages),
-u AS (SELECT page_id, unnest(generate_series(1, len(cs))) AS pos, unnest(cs) AS comment FROM c)
-SELECT page_id, CAST(pos AS INTEGER) AS pos, trim(comment) AS comment FROM u""",
+WITH u AS (SELECT page_id, unnest(range(1, len(string_split(html, '<!--')))) AS pos, unnest(string_split(html, '<!--')[2:]) AS part FROM pages)
+SELECT page_id, CAST(pos AS INTEGER) AS pos, trim(string_split(part, '-->')[1]) AS comment FROM u""",
 )
 def extract_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hx.extract_comments(table(spark, sf_dir, "pages"))
@@ -62,11 +64,11 @@ def extract_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     "extract_title",
     r"""
 SELECT page_id,
-  nullif(""" + _strip(r"regexp_extract(html, '(?s)<title>(.*?)</title>', 1)") + r""", '') AS title,
-  nullif(""" + _strip(r"regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1)") + r""", '') AS name,
-  nullif(regexp_extract(html, '<html[^>]* lang="([^"]*)"', 1), '') AS lang,
-  CAST(len(regexp_extract_all(html, '<p[ >]')) AS INTEGER) AS n_paragraphs,
-  CAST(len(regexp_extract_all(html, '<li[ >]')) AS INTEGER) AS n_items
+  nullif(""" + _strip(r"string_split(string_split(html, '<title>')[2], '</title>')[1]") + r""", '') AS title,
+  nullif(""" + _strip(r"string_split(string_split(html, '<h1>')[2], '</h1>')[1]") + r""", '') AS name,
+  nullif(string_split(string_split(html, '<html lang="')[2], '"')[1], '') AS lang,
+  CAST(len(string_split(html, '<p>')) - 1 AS INTEGER) AS n_paragraphs,
+  CAST(len(string_split(html, '<li>')) - 1 AS INTEGER) AS n_items
 FROM pages""",
 )
 def extract_title(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,10 +78,9 @@ def extract_title(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "extract_list_items",
     r"""
-WITH l AS (SELECT page_id, url, regexp_extract_all(html, '(?s)<li[^>]*>(.*?)</li>', 1) AS items FROM pages),
-u AS (SELECT page_id, url, unnest(generate_series(1, len(items))) AS pos, unnest(items) AS item FROM l),
-h AS (SELECT *, regexp_extract(item, '<a href="([^"]*)"', 1) AS href FROM u)
-SELECT page_id, CAST(pos AS INTEGER) AS pos, """ + _strip("item") + r""" AS text, href,
+WITH u AS (SELECT page_id, url, unnest(range(1, len(string_split(html, '<li>')))) AS pos, unnest(string_split(html, '<li>')[2:]) AS part FROM pages),
+h AS (SELECT page_id, url, pos, string_split(part, '</li>')[1] AS item, string_split(string_split(string_split(part, '</li>')[1], '<a href="')[2], '"')[1] AS href FROM u)
+SELECT page_id, CAST(pos AS INTEGER) AS pos, """ + _strip(_AFTER_TAG) + r""" AS text, href,
   CASE WHEN starts_with(href, '/') THEN concat(""" + _ROOT + r""", href) ELSE href END AS abs_url
 FROM h WHERE href <> ''""",
 )

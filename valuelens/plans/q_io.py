@@ -71,3 +71,38 @@ def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     good, bad = split_rejects(cut_lineage(raw))
     writers.write_table(bad, f"{root}/rejects")
     return good
+
+
+@register("ingest_quarantine", """
+SELECT 'row' AS kind, c_mktsegment AS what, c_custkey, c_name, CASE WHEN c_mktsegment = 'FURNITURE' THEN NULL ELSE c_acctbal END AS c_acctbal
+FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'
+UNION ALL SELECT 'file', 'not UTF-8: ' || count(*) || ' lines', -1, NULL, NULL FROM customer WHERE c_mktsegment = 'HOUSEHOLD' HAVING count(*) > 0
+UNION ALL SELECT 'file', 'no known column in the header', -1, NULL, NULL
+UNION ALL SELECT 'line', c_custkey || ',' || c_name || ',AUTOMOBILE,n/a,x', -1, NULL, NULL FROM customer WHERE c_mktsegment = 'AUTOMOBILE' AND c_acctbal < 0
+UNION ALL SELECT 'row', 'AUTOMOBILE', c_custkey, c_name, NULL FROM customer WHERE c_mktsegment = 'AUTOMOBILE' AND c_acctbal < 0
+""")
+def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 + S3 + C1: customers in one folder of files with four different headers (order, a missing and an unknown column), a
+    file that is no UTF-8, one of another table, and debtors once more with a balance that is no number and a field too
+    many; the loaded rows, the files set aside with their reason, and the rejected lines."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    root = f"{scratch(spark, 'quarantine')}/in"
+    part = lambda *segments: c.where(F.col("c_mktsegment").isin(*segments))
+    put = lambda df: df.write.mode("append").option("header", True).csv(root)
+    put(part("MACHINERY", "AUTOMOBILE"))
+    put(part("BUILDING").select("c_acctbal", "c_mktsegment", "c_name", "c_custkey"))
+    put(part("FURNITURE").select("c_name", "c_custkey", F.lit("x").alias("note"), "c_mktsegment"))
+    put(spark.range(3).withColumnRenamed("id", "elsewhere").coalesce(1))
+    # files written as raw lines: one with bytes that are no UTF-8, one with values that do not fit
+    top = spark.createDataFrame([("c_custkey,c_name,c_mktsegment,c_acctbal",)], "value string")
+    lines = lambda segment, *fields: part(segment).select(F.concat_ws(",", "c_custkey", *fields).alias("value"), "c_acctbal")
+    odd = lines("HOUSEHOLD", F.unhex(F.lit("FFFE")).cast("string"), F.lit("HOUSEHOLD"), F.lit("1.0"))
+    debts = lines("AUTOMOBILE", "c_name", F.lit("AUTOMOBILE"), F.lit("n/a"), F.lit("x")).where("c_acctbal < 0")
+    for df in (odd, debts):
+        top.unionByName(df.select("value")).coalesce(1).write.mode("append").text(root)
+    found = files.ingest_folder(spark, root, c.schema, "part-*")
+    none = lambda kind: F.lit(None).cast(kind)
+    extra = [F.lit(-1).cast("long").alias("c_custkey"), none("string").alias("c_name"), none("double").alias("c_acctbal")]
+    rows = found.rows.select(F.lit("row").alias("kind"), F.col("c_mktsegment").alias("what"), "c_custkey", "c_name", "c_acctbal")
+    return rows.unionByName(found.quarantine.select(F.lit("file").alias("kind"), F.col("reason").alias("what"), *extra)).unionByName(
+        found.rejects().select(F.lit("line").alias("kind"), F.col("_corrupt_record").alias("what"), *extra))

@@ -106,6 +106,25 @@ def facet_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gs.facet_values(c.join(n, c.c_nationkey == n.n_nationkey), "n_name")
 
 
+@register(
+    "facet_options",
+    """
+WITH j AS (SELECT r_name, n_name, c_mktsegment FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
+SELECT 'r_name' AS facet, 0 AS ord, r_name AS value, count(*) AS n FROM j GROUP BY r_name
+UNION ALL SELECT 'r_name', 0, 'All', count(*) FROM j
+UNION ALL SELECT 'n_name', 1, n_name, count(*) FROM j WHERE r_name = 'EUROPE' GROUP BY n_name
+UNION ALL SELECT 'n_name', 1, 'All', count(*) FROM j WHERE r_name = 'EUROPE'
+UNION ALL SELECT 'c_mktsegment', 2, c_mktsegment, count(*) FROM j WHERE r_name = 'EUROPE' AND n_name = 'FRANCE' GROUP BY c_mktsegment
+UNION ALL SELECT 'c_mktsegment', 2, 'All', count(*) FROM j WHERE r_name = 'EUROPE' AND n_name = 'FRANCE' HAVING count(*) > 0""",
+)
+def facet_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5: regions, the nations of Europe, and the market segments of France, each with its customers."""
+    c = table(spark, sf_dir, "customer").select("c_nationkey", "c_mktsegment")
+    n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    j = c.join(n, c.c_nationkey == n.n_nationkey).join(r, F.col("n_regionkey") == F.col("r_regionkey"))
+    return gs.facet_options(j, {"r_name": "EUROPE", "n_name": "FRANCE", "c_mktsegment": "All"})
+
+
 @register(
     "facet_filter",
     """

@@ -14,7 +14,8 @@ from valuelens.functions import segment as sg
 from valuelens.operators import features as fe
 from valuelens.operators import groupstats as gs
 from valuelens.operators.lifecycle import PHASE_EDGES, PHASE_LABELS
-from valuelens.operators.quantiles import quantile_columns, with_quantiles
+from valuelens.operators.quantiles import quantile_columns, quantile_row, with_quantiles
+from valuelens.session import settled
 from valuelens.plans.registry import register, round_doubles, table
 
 
@@ -301,11 +302,12 @@ FORWARD_SEGMENT = "AUTOMOBILE"
 
 
 def forwards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Forwards with finishing metrics and quadrant (medians taken before the playing-time filter)."""
+    """Forwards with finishing metrics and quadrant (medians taken before the playing-time filter). They are written
+    once: medians and what queries do with them read that table."""
     c = table(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == FORWARD_SEGMENT).select("c_custkey")
     s = season(spark, sf_dir).join(c, "c_custkey", "left_semi").filter(F.col("market_value").isNotNull())
-    f = fe.finishing_metrics(s, "shots_per90", "minutes_played", "goals", "xg_per90", "shots_on_target_pct")
-    med = quantile_columns(f, [], "shots_per90", {"shots_med": 0.5}).crossJoin(quantile_columns(f, [], "conversion_rate", {"conv_med": 0.5}))
+    f = settled(fe.finishing_metrics(s, "shots_per90", "minutes_played", "goals", "xg_per90", "shots_on_target_pct"))
+    med = quantile_row(f, {"shots_med": ("shots_per90", 0.5), "conv_med": ("conversion_rate", 0.5)})
     f = f.crossJoin(F.broadcast(med)).withColumn(
         "forward_type", sg.quadrant("shots_per90", "conversion_rate", "shots_med", "conv_med")
     ).drop("shots_med", "conv_med")

@@ -11,6 +11,7 @@ import atexit
 import os
 import shutil
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -95,5 +96,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """The rows written once as Parquet into the shared checkpoint folder and read back: what follows plans one
+    scan of them, however often it uses them."""
+    spark = df.sparkSession
+    path = os.path.join(ensure_checkpoint_dir(spark), f"settled-{uuid.uuid4().hex}")
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))

@@ -1,9 +1,9 @@
-"""Extraction from stored HTML pages (S10-S16), as column expressions over a ``pages`` table.
+"""Extraction from stored HTML pages (S10-S16) over a ``pages`` table.
 
 The crawl itself is out of scope: pages arrive as rows ``(page_id, url, html)``.
-Every extractor is a JVM regex (``regexp_extract`` / ``regexp_extract_all``)
-followed by ``posexplode`` when a page yields many records, so extraction is a
-narrow, per-row transformation over the whole HTML text: no shuffle, no Python.
+Links are JVM regexes followed by ``posexplode``. Lists, tables, comments and fields depend on how
+elements nest and are read from the page's tree (``html_tree``), over Arrow batches. Either way extraction
+is a narrow transformation over the whole HTML text: no shuffle.
 """
 
 from __future__ import annotations
@@ -14,13 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from valuelens.functions.text import decode_entities, parse_currency
+from valuelens.sources import html_tree as ht
 
 # an attribute may stand anywhere in its tag and be quoted either way; anchors may span lines
 LINK_RE = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*["']([^"'>]*)["'][^>]*>(.*?)</a\s*>"""
-HREF_RE = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*["']([^"'>]*)["']"""
-COMMENT_RE = r"(?s)<!--(.*?)-->"
-ROW_RE = r"(?is)<tr([^>]*)>(.*?)</tr\s*>"
-CELL_RE = r"(?is)<t[dh](?:\s[^>]*)?>(.*?)</t[dh]\s*>"
 TAG_RE = r"<[^>]+>"
 
 
@@ -58,70 +55,66 @@ def first_link_matching(links: DataFrame, needles: Sequence[str], id_col: str =
 
 
 def extract_comments(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", needle: str | None = None) -> DataFrame:
-    """Text of every HTML comment, in order; optional substring filter."""
-    z = pages.select(id_col, F.posexplode(F.regexp_extract_all(F.col(html_col), F.lit(COMMENT_RE), 1)).alias("p", "comment"))
-    out = z.select(id_col, (F.col("p") + 1).alias("pos"), F.trim("comment").alias("comment"))
-    if needle:
-        out = out.filter(F.col("comment").contains(needle))
-    return out
+    """Text of every HTML comment, in order; optional substring filter. Markup inside scripts is no comment."""
+    def find(tree: ht.Tree):
+        yield from ((n, c) for n, c in enumerate(tree.comments, 1))
+
+    out = ht.records(pages, html_col, [id_col], find, "pos int, comment string").withColumn("comment", F.trim("comment"))
+    return out.filter(F.col("comment").contains(needle)) if needle else out
 
 
 def extract_fields(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """Key fields of a profile page: title, h1 name, lang, number of paragraphs and list items."""
-    h = F.col(html_col)
-    return pages.select(
-        id_col,
-        F.nullif(strip_tags(F.regexp_extract(h, r"(?is)<title[^>]*>(.*?)</title\s*>", 1)), F.lit("")).alias("title"),
-        F.nullif(strip_tags(F.regexp_extract(h, r"(?s)<h1[^>]*>(.*?)</h1>", 1)), F.lit("")).alias("name"),
-        F.nullif(F.regexp_extract(h, r"""(?i)<html\s(?:[^>]*?\s)?lang\s*=\s*["']([^"'>]*)["']""", 1), F.lit("")).alias("lang"),
-        F.size(F.regexp_extract_all(h, F.lit(r"<p[ >]"), 0)).alias("n_paragraphs"),
-        F.size(F.regexp_extract_all(h, F.lit(r"<li[ >]"), 0)).alias("n_items"),
-    )
+    def find(tree: ht.Tree):
+        first = lambda tag: next((tree.text(i) for i in tree.find(tag)), "") or None
+        lang = next((tree.attrs[i].get("lang") for i in tree.find("html")), None) or None
+        yield first("title"), first("h1"), lang, sum(1 for _ in tree.find("p")), sum(1 for _ in tree.find("li"))
+
+    return ht.records(pages, html_col, [id_col], find, "title string, name string, lang string, n_paragraphs int, n_items int")
 
 
 def extract_list_items(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """S11 on lists: every ``<li>`` that carries a link -> (id, pos, text, href); items without a link are skipped."""
-    items = F.regexp_extract_all(F.col(html_col), F.lit(r"(?s)<li[^>]*>(.*?)</li>"), 1)
-    z = pages.select(id_col, url_col, F.posexplode(items).alias("p", "item"))
-    href = decode_entities(F.regexp_extract(F.col("item"), HREF_RE, 1))
-    return z.filter(href != "").select(
-        id_col, (F.col("p") + 1).alias("pos"), strip_tags(F.col("item")).alias("text"), href.alias("href"),
-        absolute_href(href, F.col(url_col)).alias("abs_url"),
-    )
+    """S11 on lists: every ``<li>`` that carries a link -> (id, pos, text, href); items without a link are
+    skipped. ``pos`` counts all items of the page; an item with a list inside covers it, as in the page."""
+    def find(tree: ht.Tree):
+        for n, i in enumerate(tree.find("li"), 1):
+            href = tree.link(i)
+            if href:
+                yield n, tree.text(i), href
+
+    z = ht.records(pages, html_col, [id_col, url_col], find, "pos int, text string, href string")
+    return z.select(id_col, "pos", "text", "href", absolute_href(F.col("href"), F.col(url_col)).alias("abs_url"))
 
 
 def extract_table_rows(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
                        require_link: bool = True, header_class: str = "thead") -> DataFrame:
     """Rows of HTML tables -> (id, row_pos, cells array, href); header rows (class=thead) and,
-    optionally, rows without a link are skipped."""
-    attrs = F.regexp_extract_all(F.col(html_col), F.lit(ROW_RE), 1)
-    bodies = F.regexp_extract_all(F.col(html_col), F.lit(ROW_RE), 2)
-    z = pages.select(id_col, F.posexplode(F.arrays_zip(attrs.alias("a"), bodies.alias("b"))).alias("p", "r"))
-    z = z.filter(~F.col("r.a").contains(header_class))
-    href = decode_entities(F.regexp_extract(F.col("r.b"), HREF_RE, 1))
-    cells = F.transform(F.regexp_extract_all(F.col("r.b"), F.lit(CELL_RE), 1), strip_tags)
-    out = z.select(id_col, (F.col("p") + 1).alias("row_pos"), cells.alias("cells"), F.nullif(href, F.lit("")).alias("href"))
-    if require_link:
-        out = out.filter(F.col("href").isNotNull())
-    return out
+    optionally, rows without a link are skipped. A row's cells are its own; rows of a table inside a cell are rows too."""
+    def find(tree: ht.Tree):
+        for n, r in enumerate(tree.find("tr"), 1):
+            href = tree.link(r)
+            if header_class not in tree.attrs[r].get("class", "").split() and (href or not require_link):
+                yield n, [tree.text(c) for c in ht.own_cells(tree, r)], href
+
+    return ht.records(pages, html_col, [id_col], find, "row_pos int, cells array<string>, href string")
 
 
 def stat_pairs(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", table_id_contains: str = "scout_full",
                use_comments: bool = True) -> DataFrame:
     """S13 (+S14): (id, pos, stat_label, per90 text) from stat tables whose id contains
     ``table_id_contains``; tables hidden in comments are read only when the page has none in the open."""
-    h = F.col(html_col)
-    tab_re = r"""(?is)<table\s(?:[^>]*?\s)?id\s*=\s*["'][^"'>]*""" + table_id_contains + r"""[^"'>]*["'][^>]*>(.*?)</table\s*>"""
-    direct = F.regexp_extract_all(h, F.lit(tab_re), 1)
-    commented = F.flatten(F.transform(F.regexp_extract_all(h, F.lit(COMMENT_RE), 1), lambda c: F.regexp_extract_all(c, F.lit(tab_re), 1)))
-    tables = F.when(F.size(direct) > 0, direct).otherwise(commented) if use_comments else direct
-    rows = F.flatten(F.transform(tables, lambda t: F.regexp_extract_all(t, F.lit(ROW_RE), 2)))
-    z = pages.select(id_col, F.posexplode(rows).alias("p", "row"))
-    label = strip_tags(F.regexp_extract(F.col("row"), r"""(?is)<th\s(?:[^>]*?\s)?data-stat\s*=\s*["']statistic["'][^>]*>(.*?)</th\s*>""", 1))
-    per90 = strip_tags(F.regexp_extract(F.col("row"), r"""(?is)<td\s(?:[^>]*?\s)?data-stat\s*=\s*["']per90["'][^>]*>(.*?)</td\s*>""", 1))
-    return z.select(id_col, (F.col("p") + 1).alias("pos"), label.alias("stat_label"), per90.alias("per90")).filter(
-        (F.col("stat_label") != "") & (F.col("per90") != "")
-    )
+    def wanted(tree: ht.Tree) -> list[int]:
+        return [t for t in tree.find("table") if table_id_contains in tree.attrs[t].get("id", "")]
+
+    def find(tree: ht.Tree):
+        tables = ht.with_commented(tree, wanted) if use_comments else ((tree, t) for t in wanted(tree))
+        rows = [(t, r) for t, table in tables for r in ht.own_rows(t, table)]
+        for n, (t, r) in enumerate(rows, 1):
+            label, value = ht.cell(t, r, "th", "statistic"), ht.cell(t, r, "td", "per90")
+            if label is not None and value is not None and t.text(label) and t.text(value):
+                yield n, t.text(label), t.text(value)
+
+    return ht.records(pages, html_col, [id_col], find, "pos int, stat_label string, per90 string")
 
 
 def first_valid_price(cells: DataFrame, id_col: str, pos_col: str, text_col: str) -> DataFrame:
@@ -145,28 +138,26 @@ def club_player_rows(pages: DataFrame, id_col: str = "page_id", url_col: str = "
     absent) that have a linked player cell -> name, absolute URL and six typed basics."""
     from valuelens.functions.text import clean_number
 
-    h = F.col(html_col)
-    tab_re = r'(?s)<table[^>]*id="' + table_prefix + r'[^"]*"[^>]*>(.*?)</table>'
-    direct = F.regexp_extract_all(h, F.lit(tab_re), 1)
-    commented = F.flatten(F.transform(F.regexp_extract_all(h, F.lit(COMMENT_RE), 1), lambda c: F.regexp_extract_all(c, F.lit(tab_re), 1)))
-    tables = F.when(F.size(direct) > 0, direct).otherwise(commented)
-    attrs = F.flatten(F.transform(tables, lambda t: F.regexp_extract_all(t, F.lit(ROW_RE), 1)))
-    bodies = F.flatten(F.transform(tables, lambda t: F.regexp_extract_all(t, F.lit(ROW_RE), 2)))
-    z = pages.select(id_col, url_col, F.posexplode(F.arrays_zip(attrs.alias("a"), bodies.alias("b"))).alias("p", "r"))
-    z = z.filter(~F.col("r.a").contains("thead"))
-    player = F.regexp_extract(F.col("r.b"), r'(?s)<th[^>]*data-stat="player"[^>]*>(.*?)</th>', 1)
-    href = F.regexp_extract(player, r'<a href="([^"]*)"', 1)
-
-    def stat(name: str, allow_float: bool = True):
-        txt = F.regexp_extract(F.col("r.b"), r'(?s)<td[^>]*data-stat="' + name + r'"[^>]*>(.*?)</td>', 1)
-        return clean_number(strip_tags(txt), allow_float)
-
-    return z.filter(href != "").select(
-        id_col, (F.col("p") + 1).alias("pos"), strip_tags(player).alias("player_name"),
-        absolute_href(href, F.col(url_col)).alias("player_url"),
-        stat("games", False).cast("int").alias("appearances"), stat("minutes", False).cast("int").alias("minutes_played"),
-        stat("goals", False).cast("int").alias("goals"), stat("assists", False).cast("int").alias("assists"),
-        stat("xg").alias("xG"), stat("xg_assist").alias("xAG"),
+    stats = ["games", "minutes", "goals", "assists", "xg", "xg_assist"]
+
+    def wanted(tree: ht.Tree) -> list[int]:
+        return [t for t in tree.find("table") if tree.attrs[t].get("id", "").startswith(table_prefix)]
+
+    def find(tree: ht.Tree):
+        rows = [(t, r) for t, table in ht.with_commented(tree, wanted) for r in ht.own_rows(t, table)]
+        for n, (t, r) in enumerate(rows, 1):
+            player = ht.cell(t, r, "th", "player")
+            href = t.link(player) if player is not None else None
+            if href and "thead" not in t.attrs[r].get("class", "").split():
+                cells = [ht.cell(t, r, "td", s) for s in stats]
+                yield n, t.text(player), href, *[None if c is None else t.text(c) for c in cells]
+
+    z = ht.records(pages, html_col, [id_col, url_col], find, "pos int, player_name string, href string, " + ", ".join(f"{s} string" for s in stats))
+    whole = lambda s: clean_number(F.col(s), False).cast("int")
+    return z.select(
+        id_col, "pos", "player_name", absolute_href(F.col("href"), F.col(url_col)).alias("player_url"),
+        whole("games").alias("appearances"), whole("minutes").alias("minutes_played"), whole("goals").alias("goals"), whole("assists").alias("assists"),
+        clean_number(F.col("xg"), True).alias("xG"), clean_number(F.col("xg_assist"), True).alias("xAG"),
     )
 
 
@@ -175,15 +166,16 @@ def profile_fields(pages: DataFrame, id_col: str = "page_id", html_col: str = "h
     height (a span ending in 'cm'), position and foot (regex on the text, non-breaking spaces as spaces)."""
     from valuelens.functions.text import parse_height_cm, regex_capture
 
-    h = F.col(html_col)
-    text = F.regexp_replace(F.regexp_replace(h, TAG_RE, " "), "&nbsp;", " ")
-    height_txt = F.regexp_extract(h, r"<span[^>]*>\s*([0-9.,]+\s*cm)\s*</span>", 1)
-    return pages.select(
-        id_col,
-        F.nullif(strip_tags(F.regexp_extract(h, r"(?s)<h1[^>]*>(.*?)</h1>", 1)), F.lit("")).alias("player_name"),
-        F.nullif(strip_tags(F.regexp_extract(h, r'<a href="[^"]*/country/[^"]*"[^>]*>(.*?)</a>', 1)), F.lit("")).alias("nationality"),
-        F.nullif(F.regexp_extract(h, r'<span(?=[^>]*id="necro-birth")[^>]*data-birth="([^"]+)"', 1), F.lit("")).alias("dob"),
-        parse_height_cm(F.nullif(height_txt, F.lit(""))).alias("height"),
-        regex_capture(text, r"Position:\s*([A-Za-z0-9\-]+)").alias("position"),
-        regex_capture(text, r"Footed:\s*([A-Za-z]+)").alias("foot"),
+    def find(tree: ht.Tree):
+        name = next((tree.text(i) for i in tree.find("h1")), "") or None
+        nation = next((tree.text(i) for i in tree.find("a") if "/country/" in tree.attrs[i].get("href", "")), "") or None
+        born = next((tree.attrs[i].get("data-birth") for i in tree.find("span", id="necro-birth")), None) or None
+        height = next((t for i in tree.find("span") if (t := tree.text(i)).endswith("cm")), None)
+        yield name, nation, born, height, " ".join(tree.texts).replace("\xa0", " ")
+
+    z = ht.records(pages, html_col, [id_col], find, "player_name string, nationality string, dob string, height_text string, page_text string")
+    return z.select(
+        id_col, "player_name", "nationality", "dob", parse_height_cm(F.col("height_text")).alias("height"),
+        regex_capture(F.col("page_text"), r"Position:\s*([A-Za-z0-9\-]+)").alias("position"),
+        regex_capture(F.col("page_text"), r"Footed:\s*([A-Za-z]+)").alias("foot"),
     )
