@@ -19,6 +19,7 @@ FEATURES = ["l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice", "o_t
 LABEL = "label"
 RF_QUERY = dict(numTrees=20, maxDepth=8, minInstancesPerNode=5, minWeightFractionPerNode=0.0)
 GBT_QUERY = dict(maxIter=20, maxDepth=5)
+BOOST_ROUNDS = 5
 
 _MODELS: dict = {}
 
@@ -83,6 +84,7 @@ def cv_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """5-fold R^2 of the forest on the training split (hash folds), with mean / std / stability."""
     train = ml.training_input(model_table(spark, sf_dir).filter(F.col("split") == "train"), [*FEATURES, LABEL, "fold"])
     folds = ml.cv_fold_scores(ml.random_forest(FEATURES, LABEL, **{**RF_QUERY, "numTrees": 10}), train, LABEL, "fold", 5)
+    train.unpersist()
     return round_doubles(folds.crossJoin(ml.cv_summary(folds)), 6)
 
 
@@ -92,6 +94,7 @@ def grid_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     train = ml.training_input(model_table(spark, sf_dir).filter(F.col("split") == "train"), [*FEATURES, LABEL, "fold"])
     _, tbl = ml.grid_search(ml.random_forest(FEATURES, LABEL, **{**RF_QUERY, "numTrees": 10}),
                             {"maxDepth": [4, 8], "numTrees": [5, 10]}, train, LABEL, "fold", parallelism=2)
+    train.unpersist()
     return round_doubles(tbl, 6)
 
 
@@ -142,3 +145,45 @@ def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importance of each input feature in the fitted forest, ranked."""
     return round_doubles(ml.feature_importance(_fitted(spark, sf_dir, "rf"), FEATURES, spark), 6)
+
+
+@register("boosted_scores")
+def boosted_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M12 + M13: both boosted variants of ``operators.boost`` (leaf cap, L1 / L2, row and column sampling per tree), trained on
+    all training rows with the reference's settings but for the number of trees, scored on the test split."""
+    from valuelens.operators import boost
+
+    data = model_table(spark, sf_dir)
+    train, test = data.filter(F.col("split") == "train").select(*FEATURES, LABEL), data.filter(F.col("split") == "test")
+    out = []
+    for name, params in (("depth", boost.DEPTH_PARAMS), ("leaf", boost.LEAF_PARAMS)):
+        model = boost.fit(train, FEATURES, LABEL, **{**params, "rounds": BOOST_ROUNDS})
+        out.append(model.transform(test.select("row_key", *FEATURES)).select("row_key", F.lit(name).alias("model"), "prediction"))
+    return round_doubles(out[0].unionByName(out[1]), 6)
+
+
+@register("pruned_forest_scores")
+def pruned_forest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The forest after weakest-link pruning (ccp_alpha 0.0001, at least 10 rows to split), on the test split."""
+    from valuelens.operators.prune import pruned
+
+    model = pruned(_fitted(spark, sf_dir, "rf"), alpha=0.0001, min_split=10)
+    data = model_table(spark, sf_dir).filter(F.col("split") == "test")
+    return round_doubles(ml.predict_value(model, data).select("row_key", LABEL, "prediction", "l_extendedprice", "predicted_value"))
+
+
+@register("tuning_ledger")
+def tuning_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M14 + M15: a grid of forests over hash folds, by way of the ledger: the first run does half of the grid, the second one what is
+    missing; the ranked table."""
+    from valuelens.operators import tuning
+    from valuelens.streaming.jobs import scratch
+
+    train = ml.training_input(model_table(spark, sf_dir).filter(F.col("split") == "train"), [*FEATURES, LABEL, "fold"])
+    make = lambda params: ml.random_forest(FEATURES, LABEL, **{**RF_QUERY, "numTrees": 5, **params})
+    path = f"{scratch(spark, 'ledger')}/grid"
+    tuning.tune(make, {"maxDepth": [4]}, train, LABEL, path, k=3)
+    table = tuning.tune(make, {"maxDepth": [4, 6]}, train, LABEL, path, k=3).drop("seconds")
+    out = spark.createDataFrame(table.collect(), table.schema)
+    train.unpersist()
+    return round_doubles(out, 6)
