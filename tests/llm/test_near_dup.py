@@ -155,3 +155,10 @@ def test_repeated_rows_of_one_id_do_not_multiply(spark, monkeypatch):
     got = near_dup.classes(docs_of(spark, rows).repartition(4)).collect()
     assert len(got) == len(rows) and {(r.doc_id, r.component_id) for r in got} == {(1, 1), (2, 1), (3, 1), (4, 4)}
     assert max(sizes) <= 24 * 4, sizes
+
+
+def test_other_texts_of_an_id_stay(spark):
+    near = " ".join(f"w{i}" for i in range(100))
+    rows = [(1, near), (1, near), (1, "a completely other text that nothing resembles"), (2, near + " more"), (3, None), (3, None), (None, near)]
+    kept = sorted(((r.doc_id, r.text) for r in near_dup.deduplicated(docs_of(spark, rows), k=5).collect()), key=str)
+    assert kept == sorted([(1, near), (1, "a completely other text that nothing resembles"), (3, None), (None, near)], key=str)

@@ -1,19 +1,19 @@
 """MinHash near-dedup (5): SuperMinHash signatures, banding, verification, union-find groups.
 
-1. Each text gives its distinct word shingles, a SuperMinHash signature, band hashes and an
+1. Each text gives its distinct word shingles, a SuperMinHash signature and an
    order-free 128-bit fingerprint of the set. Equal sets become one node (smallest doc_id).
-2. Nodes that share a band hash are bucket mates. Buckets are never expanded into all pairs
-   as rows: a task holds at most two blocks of a bucket and compares signatures in arrays. It
-   returns, for mates whose signatures agree enough, links to the bucket's first node and, for other
-   pairs in the first band they share, only the nodes' membership of that bucket.
-3. Links to first nodes are verified on full shingle sets and grouped by union-find.
-4. Buckets whose members are still in several groups are compared exactly, again in blocks,
-   so that links which do not run through a first node are found; the groups are then final.
+2. Nodes that share a band hash are bucket mates. Every node is paired with the first node of each of its
+   buckets; distinct pairs (not one per bucket) are compared by signature, and those that agree enough are
+   verified on full shingle sets and grouped by union-find.
+3. Buckets of three or more whose other members are still in several groups are dealt to pairs of blocks: a task holds
+   at most two blocks of a bucket, compares signatures in arrays, and names the members with a possible link to
+   another group; these are compared exactly, again in blocks. So links which do not run through a
+   first node are found, and buckets are never expanded into all pairs as rows; the groups are then final.
 
 No cap applies to buckets, partners or texts. With 24 bands of 5 rows, a pair at similarity 0.8 shares
 no band with probability 7e-5, one at 0.85 with 2e-6. The signature test discards pairs whose estimate
-is 4.5 standard errors below the threshold. Scale: texts are shuffled once, restricted to nodes with
-a possible link on return; signatures cost a few hundred bytes per document.
+is 4.5 standard errors below the threshold. Scale: signatures cost some hundred bytes per distinct text and are shuffled
+once per node and once per pair; texts are shuffled only of nodes with a possible link.
 """
 
 from __future__ import annotations
@@ -79,7 +79,7 @@ def _sums(x: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def signed(docs: DataFrame, k: int, kind: str) -> DataFrame:
-    """doc_id, n (distinct shingles), s1 and s2 (fingerprint of the set), bands and slots (binary)."""
+    """doc_id, n (distinct shingles), s1 and s2 (fingerprint of the set), slots (binary, three bytes each)."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -88,25 +88,27 @@ def signed(docs: DataFrame, k: int, kind: str) -> DataFrame:
             own, e = shingles(b.column("text"), k, kind)
             first = np.searchsorted(own, np.arange(n + 1))
             sig = signatures(e, own, n, SLOTS)
-            slot = W.mix64(sig.ravel()).reshape(n, BANDS, ROWS)
-            band = np.broadcast_to(W.mix64(np.arange(1, BANDS + 1, dtype=np.uint64)), (n, BANDS)).copy()
-            for r in range(ROWS):
-                band = W.mix64((band ^ slot[:, :, r]).ravel()).reshape(n, BANDS)
+            slot = W.mix64(sig.ravel()).reshape(n, SLOTS)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(np.diff(first)), pa.array(_sums(W.mix64(e), first).view(np.int64)),
-                 pa.array(_sums(W.mix64(e ^ np.uint64(0xD6E8FEB86659FD93)), first).view(np.int64)), _pack(band), _pack(_three(slot.reshape(n, SLOTS)))],
-                names=["doc_id", "n", "s1", "s2", "bands", "slots"])
+                 pa.array(_sums(W.mix64(e ^ np.uint64(0xD6E8FEB86659FD93)), first).view(np.int64)), _pack(_three(slot))],
+                names=["doc_id", "n", "s1", "s2", "slots"])
 
-    return map_arrow(docs.select("doc_id", "text"), run, f"doc_id {id_type}, n long, s1 long, s2 long, bands binary, slots binary")
+    return map_arrow(docs.select("doc_id", "text"), run, f"doc_id {id_type}, n long, s1 long, s2 long, slots binary")
 
 
 def _explode_bands(batches):
+    """A row per band: the hash of its slots."""
     for b in batches:
-        if b.num_rows:
-            bands = np.frombuffer(b"".join(b.column("bands").to_pylist()), dtype=np.int64)
-            node = np.repeat(np.arange(b.num_rows), BANDS)
-            yield pa.RecordBatch.from_arrays([pa.array(bands), b.column("node").take(pa.array(node)), b.column("s1").take(pa.array(node)),
-                                              pa.array(np.tile(np.arange(BANDS, dtype=np.int32), b.num_rows))], names=["bucket", "node", "s1", "band"])
+        n = b.num_rows
+        if n:
+            slot = _unpack(b.column("slots"), SLOTS).astype(np.uint64).reshape(n, BANDS, ROWS)
+            band = np.broadcast_to(W.mix64(np.arange(1, BANDS + 1, dtype=np.uint64)), (n, BANDS)).copy()
+            for r in range(ROWS):
+                band = W.mix64((band ^ slot[:, :, r]).ravel()).reshape(n, BANDS)
+            node = pa.array(np.repeat(np.arange(n), BANDS))
+            yield pa.RecordBatch.from_arrays([pa.array(band.ravel().view(np.int64)), b.column("node").take(node), b.column("s1").take(node),
+                                              pa.array(np.tile(np.arange(BANDS, dtype=np.int32), n))], names=["bucket", "node", "s1", "band"])
 
 
 def _blocks(rows: DataFrame, size: str) -> DataFrame:
@@ -123,51 +125,105 @@ def _dealt(cells: DataFrame) -> DataFrame:
     return cells.repartition(partitions(cells.sparkSession), *keys).sortWithinPartitions(*keys)
 
 
+def _salted(pairs: DataFrame) -> DataFrame:
+    """(center, salt, role, node, s1) of (center, node, s1) pairs: the center (role 0, s1 null) once for each BLOCK of its partners (role 1)."""
+    sizes = pairs.groupBy("center").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("salts"))
+    salt = F.pmod(F.xxhash64("node", "s1"), F.col("salts")).cast("int")
+    partners = pairs.join(sizes, "center").select("center", salt.alias("salt"), F.lit(1).alias("role"), "node", "s1")
+    heads = sizes.select("center", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role"),
+                         F.col("center").alias("node"), F.lit(None).cast("long").alias("s1"))
+    return heads.unionByName(partners)
+
+
+def _stars(rows: DataFrame) -> DataFrame:
+    """Rows of a center and some of its partners in one task, the center's first."""
+    return rows.repartition(partitions(rows.sparkSession), "center", "salt").sortWithinPartitions("center", "salt", "role")
+
+
+def _compare_stars(least: float, margin: float):
+    """(center, node, s1) of the pairs whose signatures agree enough; an id may come with several sets."""
+
+    def run(batches):
+        key, heads, size = None, None, None
+        for b in batches:
+            n, sig = np.asarray(b.column("n")), _unpack(b.column("slots"), SLOTS)
+            keep = np.zeros(b.num_rows, dtype=bool)
+            for i, (center, salt, role) in enumerate(zip(*(b.column(c).to_pylist() for c in ("center", "salt", "role")))):
+                if role == 0:
+                    same = key == (center, salt)
+                    heads = np.vstack([heads, sig[i : i + 1]]) if same else sig[i : i + 1]
+                    size = np.append(size, n[i]) if same else n[i : i + 1]
+                    key = (center, salt)
+                elif key == (center, salt):
+                    near = np.minimum(size, n[i]) >= least * np.maximum(size, n[i])
+                    keep[i] = (near & ((heads == sig[i]).sum(axis=1) >= margin * SLOTS)).any()
+            yield b.select(["center", "node", "s1"]).filter(pa.array(keep))
+
+    return run
+
+
 def _compare(least: float, margin: float):
-    """Signature comparison of a block pair: rows (bucket, node, partner); partner null marks a membership."""
+    """Signature comparison of a block pair: (bucket, node, s1) of the nodes with a possible link to one of another group."""
 
     def run(batches):
         for g in grouped(batches, ["bucket", "i", "j"]):
-            n, block, node = np.asarray(g.column("n")), np.asarray(g.column("block")), g.column("node")
-            first, band = np.asarray(g.column("first")), int(g.column("band")[0].as_py())
+            n, block, band = np.asarray(g.column("n")), np.asarray(g.column("block")), int(g.column("band")[0].as_py())
+            group = np.unique(np.array(g.column("component").to_pylist()), return_inverse=True)[1]
             i, j = int(g.column("i")[0].as_py()), int(g.column("j")[0].as_py())
             sig = _unpack(g.column("slots"), SLOTS)
-            marked, linked = np.zeros(len(n), dtype=bool), np.zeros(len(n), dtype=bool)
-            fits = lambda x, to: (sig[to] == sig[x]).sum(axis=1) >= margin * SLOTS
-            right = np.flatnonzero((block == j) & ~first)
-            for x in np.flatnonzero((block == i) & ~first).tolist():
+            marked = np.zeros(len(n), dtype=bool)
+            right = np.flatnonzero(block == j)
+            for x in np.flatnonzero(block == i).tolist():
                 other = right[right > x] if i == j else right
-                other = other[np.minimum(n[other], n[x]) >= least * np.maximum(n[other], n[x])]
-                other = other[fits(x, other)]
+                other = other[(group[other] != group[x]) & (np.minimum(n[other], n[x]) >= least * np.maximum(n[other], n[x]))]
+                other = other[(sig[other] == sig[x]).sum(axis=1) >= margin * SLOTS]
                 if len(other):
                     # only in the first band that the two share
                     shared = (sig[other] == sig[x]).reshape(len(other), BANDS, ROWS).all(axis=2)
                     other = other[shared.argmax(axis=1) == band]
                     marked[x] |= len(other) > 0
                     marked[other] = True
-            head = np.flatnonzero(first)
-            if i == j and len(head):
-                center = int(head[0])
-                mine = right[np.minimum(n[right], n[center]) >= least * np.maximum(n[right], n[center])]
-                linked[mine[fits(center, mine)]] = True
-            at = np.concatenate([np.flatnonzero(marked), np.flatnonzero(linked)])
-            if len(at):
-                partner = pa.array([None] * int(marked.sum()) + ([node[center].as_py()] * int(linked.sum()) if linked.any() else []), node.type)
-                yield pa.RecordBatch.from_arrays([g.column("bucket").take(pa.array(at)), node.take(pa.array(at)), partner], names=["bucket", "node", "partner"])
+            yield g.select(["bucket", "node", "s1"]).filter(pa.array(marked))
 
     return run
 
 
-def _verify_stars(threshold: tuple[int, int]):
-    """Rows of a first node and some partners, sorted so that it comes first: pairs whose sets are similar enough."""
+def _sets(b: pa.RecordBatch, k: int, kind: str) -> list[np.ndarray]:
+    own, e = shingles(b.column("text"), k, kind)
+    first = np.searchsorted(own, np.arange(b.num_rows + 1)).tolist()
+    return [np.sort(e[a:z]) for a, z in zip(first[:-1], first[1:])]
+
+
+def _whole(keys: list[str], k: int, kind: str):
+    """Of rows (keys..., node, text, __n, __s) those whose text has the wanted set, one of repeated ones in a task (a join brings
+    those of a node to one task, in a row)."""
+
+    def run(batches):
+        seen = set()
+        for b in W.pieces(batches):
+            own, e = shingles(b.column("text"), k, kind)
+            first = np.searchsorted(own, np.arange(b.num_rows + 1))
+            same = (np.diff(first) == np.asarray(b.column("__n"))) & (_sums(W.mix64(e), first).view(np.int64) == np.asarray(b.column("__s")))
+            names = list(zip(*(b.column(c).to_pylist() for c in (*keys, "node", "__s"))))
+            for i in np.flatnonzero(same).tolist():
+                same[i] = names[i] not in seen
+                if len(seen) > 1 << 17:
+                    seen.clear()
+                seen.add(names[i])
+            yield b.drop_columns(["__n", "__s"]).filter(pa.array(same))
+
+    return run
+
+
+def _verify_stars(threshold: tuple[int, int], k: int, kind: str):
+    """Rows of a center and some partners, sorted so that it comes first: pairs whose sets are similar enough."""
     num, den = threshold
 
     def run(batches):
-        key, mine = None, []  # the first node's sets: an id may come with several texts
-        for b in batches:
+        key, mine = None, []  # the center's sets: an id may come with several texts
+        for b in W.pieces(batches):
             a, d = [], []
-            for center, salt, role, node, blob in zip(*[b.column(c).to_pylist() for c in ("center", "salt", "role", "node", "members")]):
-                s = np.frombuffer(blob, dtype=np.uint64)
+            for center, salt, role, node, s in zip(*(b.column(c).to_pylist() for c in ("center", "salt", "role", "node")), _sets(b, k, kind)):
                 if role == 0:
                     mine = [*mine, s] if key == (center, salt) else [s]
                     key = (center, salt)
@@ -204,7 +260,7 @@ def intersections(x: list[np.ndarray], y: list[np.ndarray], width: int = 8192) -
     return out
 
 
-def _verify_blocks(threshold: tuple[int, int]):
+def _verify_blocks(threshold: tuple[int, int], k: int, kind: str):
     """Exact comparison of a block pair: links between different groups, as a forest over the block's nodes."""
     num, den = threshold
 
@@ -212,7 +268,7 @@ def _verify_blocks(threshold: tuple[int, int]):
         for g in grouped(batches, ["bucket", "i", "j"]):
             block = np.asarray(g.column("block"))
             i, j = int(g.column("i")[0].as_py()), int(g.column("j")[0].as_py())
-            sets = [np.frombuffer(m, dtype=np.uint64) for m in g.column("members").to_pylist()]
+            sets = [s for p in W.pieces(iter([g])) for s in _sets(p, k, kind)]
             node, comp = g.column("node").to_pylist(), np.unique(np.array(g.column("component").to_pylist()), return_inverse=True)[1]
             left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
             if not len(left) or not len(right):
@@ -241,71 +297,51 @@ def classes(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (4, 5), ki
     least = num / den
     margin = max(0.0, least - 4.5 * (least * (1 - least) / SLOTS) ** 0.5) if least < 1 else 1.0
     id_type = docs.schema["doc_id"].dataType.simpleString()
+    spark = docs.sparkSession
     sigs = written(signed(docs, k, kind))
-    linkable = sigs.where("n > 0 and doc_id is not null")
-    nodes = linkable.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("node"))
-    nodes = written(nodes)
-    # a node's row in sigs: set and id must fit, as an id may come with several texts
-    wide = linkable.join(nodes.where("node is not null").select("n", "s1", "s2", F.col("node").alias("doc_id")), ["n", "s1", "s2", "doc_id"], "left_semi")
-    # one row of repeated ones; an id with several texts has one row per set, told apart by s1
-    wide = wide.dropDuplicates(["n", "s1", "s2", "doc_id"]).withColumnRenamed("doc_id", "node")
-    places = map_arrow(wide.select("node", "s1", "bands"), _explode_bands, f"bucket long, node {id_type}, s1 long, band int")
-    sizes = places.groupBy("bucket").agg(F.min("node").alias("center"), F.max("node").alias("top"), F.count(F.lit(1)).alias("size")).where("top > center")
-    mates = places.join(sizes.drop("top"), "bucket")
-    mates = mates.join(wide.select("node", "s1", "n", "slots"), ["node", "s1"]).drop("s1").withColumn("first", F.col("node") == F.col("center"))
-    cells = _blocks(mates, "size")
-    # the bucket's first node goes to every block pair (i, i), to be compared with all
-    others = F.sequence(F.lit(0), F.ceil(F.col("size") / F.lit(BLOCK)).cast("int") - 1)
-    heads = mates.where("first and size > %d" % BLOCK).withColumn("i", F.explode(others)).withColumn("j", F.col("i"))
-    heads = heads.withColumn("block", F.lit(-1)).select(*cells.columns)
-    found = written(map_arrow(_dealt(cells.unionByName(heads)), _compare(least, margin), f"bucket long, node {id_type}, partner {id_type}"))
-
-    stars = written(found.where("partner is not null and node <> partner").select(F.col("partner").alias("center"), "node").distinct())
-    in_buckets = found.where("partner is null").select("bucket", "node").distinct()
-    active = stars.select("node").union(stars.select("center")).union(in_buckets.select("node")).distinct()
-    # the node's set as found before, as an id may come with several texts
-    wanted = written(active.join(nodes.select("node", F.col("n").alias("__n"), F.col("s1").alias("__s")), "node"))
-    texts = docs.where("text is not null").select(F.col("doc_id").alias("node"), "text").join(wanted.where("__n > 0"), "node")
-
-    def sets(batches):
-        seen = set()  # one of repeated rows; a join of two shuffled sides brings those of a node to one task, in a row
-        for b in W.pieces(batches):
-            own, e = shingles(b.column("text"), k, kind)
-            first = np.searchsorted(own, np.arange(b.num_rows + 1))
-            same = (np.diff(first) == np.asarray(b.column("__n"))) & (_sums(W.mix64(e), first).view(np.int64) == np.asarray(b.column("__s")))
-            nodes_, sums_ = b.column("node").to_pylist(), b.column("__s").to_pylist()
-            for i in np.flatnonzero(same).tolist():
-                mine = (nodes_[i], sums_[i])
-                same[i] = mine not in seen
-                if len(seen) > 1 << 18:
-                    seen.clear()
-                seen.add(mine)
-            blobs = [np.sort(e[a:z]).tobytes() for a, z in zip(first[:-1].tolist(), first[1:].tolist())]
-            out = pa.RecordBatch.from_arrays([b.column("node"), pa.array(blobs, pa.binary())], names=["node", "members"])
-            yield out.filter(pa.array(same))
-
-    with filtered_shuffles(docs.sparkSession):
-        members = written(map_arrow(texts, sets, f"node {id_type}, members binary"))
-
-    salt = F.pmod(F.xxhash64("node"), F.col("salts")).cast("int")
-    salted = stars.join(stars.groupBy("center").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("salts")), "center")
-    partners = salted.select("center", salt.alias("salt"), F.lit(1).alias("role"), "node")
-    heads = salted.select("center", "salts").distinct().select(
-        "center", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role"), F.col("center").alias("node"))
-    tests = heads.unionByName(partners).join(members, "node").select("center", "salt", "role", "node", "members")
-    tests = tests.repartition(partitions(docs.sparkSession), "center", "salt").sortWithinPartitions("center", "salt", "role")
-    links = written(map_arrow(tests, _verify_stars(threshold), f"a {id_type}, b {id_type}"))
+    # equal sets have equal signatures: a node is a set, named by its smallest doc_id (an id with several texts names several, told apart by s1)
+    nodes = written(sigs.where("n > 0 and doc_id is not null").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("node"), F.first("slots").alias("slots")))
+    places = map_arrow(nodes.select("node", "s1", "slots"), _explode_bands, f"bucket long, node {id_type}, s1 long, band int")
+    sizes = written(places.groupBy("bucket").agg(F.min("node").alias("center"), F.max("node").alias("top"), F.count(F.lit(1)).alias("size")).where("top > center"))
+    with filtered_shuffles(spark):
+        mates = written(places.join(sizes.where("top > center").drop("top"), "bucket").where("node <> center"))
+
+    pairs = written(mates.select("center", "node", "s1").distinct())
+    slots = nodes.select("node", F.col("s1").alias("of"), "n", "slots")
+    with filtered_shuffles(spark):
+        meant = F.col("s1").isNull() | (F.col("s1") == F.col("of"))  # a center comes with all its sets
+        signed_pairs = written(_salted(pairs)).where("salt >= 0").join(slots, "node").where(meant)
+        compared = signed_pairs.select("center", "salt", "role", "node", F.col("of").alias("s1"), "n", "slots")
+        near = written(map_arrow(_stars(compared), _compare_stars(least, margin), f"center {id_type}, node {id_type}, s1 long"))
+
+    def texts_of(rows: DataFrame, keys: list[str]) -> DataFrame:
+        """rows (keys..., node, s1; s1 null: all sets of the node) with the texts, one for each set."""
+        wanted = rows.join(nodes.select("node", F.col("n").alias("__n"), F.col("s1").alias("__s")), "node").where(F.col("s1").isNull() | (F.col("s1") == F.col("__s"))).drop("s1")
+        wanted = written(wanted).where("__n > 0")
+        met = docs.where("text is not null").select(F.col("doc_id").alias("node"), "text").join(wanted, "node")
+        kinds = {f.name: f.dataType.simpleString() for f in met.schema}
+        return map_arrow(met.select(*keys, "node", "text", "__n", "__s"), _whole(keys, k, kind), ", ".join(f"{c} {kinds[c]}" for c in (*keys, "node", "text")))
+
+    with filtered_shuffles(spark):
+        links = written(map_arrow(_stars(texts_of(_salted(near), ["center", "salt", "role"])), _verify_stars(threshold, k, kind), f"a {id_type}, b {id_type}"))
     groups = connected_components(links)
 
-    open_ = in_buckets.join(groups, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
-    open_ = written(open_)
+    # buckets of three or more whose members, but for the first one, are in several groups
+    open_ = written(mates.where("size > 2").join(groups, "node", "left").select("bucket", "band", "node", "s1", F.coalesce("component", "node").alias("component")))
     mixed = open_.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo <> hi")
-    rest = open_.join(mixed.select("bucket", "size"), "bucket").join(members, "node")
-    more = map_arrow(_dealt(_blocks(rest, "size")), _verify_blocks(threshold), f"a {id_type}, b {id_type}")
-    # groups found so far are links of their own: a second contraction starts from them
-    final = connected_components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
-
-    rows = sigs.select("doc_id", "n", "s1", "s2").join(nodes, ["n", "s1", "s2"], "left")
+    cells = open_.join(mixed.select("bucket", "size"), "bucket").join(slots, ["node"]).where("s1 = of").drop("of")
+    possible = written(map_arrow(_dealt(_blocks(cells, "size")), _compare(least, margin), f"bucket long, node {id_type}, s1 long").distinct())
+    final = groups
+    if possible.take(1):
+        rest = possible.join(open_.select("bucket", "node", "s1", "component"), ["bucket", "node", "s1"])
+        rest = rest.join(possible.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")), "bucket")
+        keys = ["bucket", "i", "j", "block", "component"]
+        with filtered_shuffles(spark):
+            more = written(map_arrow(_dealt(texts_of(_blocks(rest, "size").select(*keys, "node", "s1"), keys)), _verify_blocks(threshold, k, kind), f"a {id_type}, b {id_type}"))
+        # groups found so far are links of their own: a second contraction starts from them
+        final = connected_components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+
+    rows = sigs.select("doc_id", "n", "s1", "s2").join(nodes.drop("slots"), ["n", "s1", "s2"], "left")
     rows = rows.join(final, "node", "left")
     component = F.when(F.col("doc_id").isNull() | (F.col("n") == 0), F.col("doc_id")).otherwise(F.coalesce("component", "node"))
     return rows.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
@@ -313,7 +349,12 @@ def classes(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (4, 5), ki
 
 
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs that stay: of each class, the one with the smallest doc_id, and only one row of it."""
+    """The rows of docs that stay: of each class, those of the smallest doc_id. Rows of one id with different texts all stay, of
+    rows equal in doc_id and text one does; rows without an id stay."""
     gone = classes(docs, **options).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    named = docs.where("doc_id is not null").join(gone, F.col("doc_id") == F.col("__gone"), "left_anti").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), F.col("text").alias("t"))
+    often = docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("again")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("again")
+    stay = rows.where("id is not null").join(gone, F.col("id") == F.col("__gone"), "left_anti")
+    one = stay.join(often, F.col("id") == F.col("again"), "left_anti").select("row")
+    some = stay.join(often, F.col("id") == F.col("again"), "left_semi").groupBy("id", "t").agg(F.first("row").alias("row")).select("row")
+    return one.unionByName(some).unionByName(rows.where("id is null").select("row")).select("row.*")
