@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from llm_rows import EDGE, docs_of
 from valuelens.llm import mixing
@@ -150,3 +151,27 @@ def test_slots_are_gapless(spark, shards):
         sizes.append(len(slots))
     assert max(sizes) - min(sizes) <= 1
     assert shard(docs_of(spark, []), shards).count() == 0
+
+
+def test_any_column_names(spark):
+    """Columns named like those that the operators use themselves travel on unchanged; repeated rows share their copies."""
+    names = ["arc", "lo", "hi", "slot0", "pos", "place", "row", "of", "__key", "__k", "key", "id", "total", "n", "times", "copy", "__id"]
+    rows = [(i % 40, f"w{i % 40} " * (1 + i % 3 if i < 40 else 1 + (i % 40) % 3), "en", "ab"[i % 2]) for i in range(120)] + [(None, "again and again", "en", "a")] * 30
+    docs = docs_of(spark, rows)
+    for j, c in enumerate(names):
+        docs = docs.withColumn(c, F.lit(j))
+    docs = docs.drop("shard").repartition(4)
+    dealt = shard(docs, 5)
+    assert dealt.columns == [*docs.columns, "shard", "slot"]
+    got = dealt.collect()
+    assert len(got) == len(rows) and all([r[c] for c in names] == list(range(len(names))) for r in got)
+    out = mixing.mixed(docs)
+    assert out.columns == docs.columns and all([r[c] for c in names] == list(range(len(names))) for r in out.collect())
+    assert out.count() == sum(r.times for r in mixing.mix(docs).collect())
+
+
+def test_share_of_keys_that_move(spark):
+    ids = spark.range(40000).withColumnRenamed("id", "doc_id")
+    moved = shard(ids, 24).alias("a").join(shard(ids, 25).alias("b"), "doc_id").where("a.shard <> b.shard")
+    n, stray = moved.count(), moved.where("b.shard <> 24").count()
+    assert n < 0.09 * 40000 and stray < 0.05 * 40000, (n, stray)

@@ -154,15 +154,16 @@ def mix(docs: DataFrame, share: float = 1.5, weights=WEIGHTS, cap: float = 2.0,
 
 
 def mixed(docs: DataFrame, seed: int = 17, **options) -> DataFrame:
-    """The rows of docs as often as the mix takes them, with docs' columns only."""
-    chosen = mix(docs, seed=seed, **options).where("times > 0")
-    # rows equal in doc_id and text share a key: their copies are handed out by row
-    chosen = chosen.groupBy(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).agg(
-        F.sort_array(F.collect_list("times"), asc=False).alias("__times"))
-    keyed = docs.withColumn("__k", F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), F.col("text")))
-    joined = keyed.join(chosen, (F.col("__k") == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__id")))
-    one = joined.where(F.size("__times") == 1).withColumn("__n", F.element_at("__times", 1))
-    many = joined.where(F.size("__times") > 1).withColumn("__r", F.row_number().over(Window.partitionBy("__key", "__id").orderBy("__k")))
-    many = many.where(F.col("__r") <= F.size("__times")).withColumn("__n", F.element_at("__times", F.col("__r"))).drop("__r")
-    return one.unionByName(many).withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int")))).select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of docs as often as the mix takes them, with docs' columns only, whatever their names.
+
+    Rows equal in doc_id and text share their copies: each gets the same number, the first ones by place one more."""
+    chosen = mix(docs, seed=seed, **options).groupBy("doc_id", "key").agg(F.sum("times").alias("total"), F.count(F.lit(1)).alias("n")).where("total > 0")
+    chosen = written(chosen.select(F.col("doc_id").alias("of"), F.col("key").alias("of_key"), F.col("total").cast("long").alias("total"), "n"))
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"),
+                        F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), F.col("text")).alias("key"))
+    joined = keyed.join(chosen, (F.col("key") == F.col("of_key")) & F.col("id").eqNullSafe(F.col("of"))).drop("of", "of_key")
+    one = joined.where("n = 1").select("row", F.col("total").alias("times"))
+    many = position_in(joined.where("n > 1"), ["key", "id"], [], "place")
+    many = many.select("row", (F.floor(F.col("total") / F.col("n")) + (F.col("place") < F.col("total") % F.col("n")).cast("long")).alias("times"))
+    copies = one.unionByName(many).where("times > 0")
+    return copies.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select("row.*")

@@ -20,7 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valuelens.llm.tables import map_arrow, position_in
+from valuelens.llm.tables import position_in, small_batches
+from valuelens.session import ship_package
 
 
 @dataclass
@@ -81,26 +82,31 @@ def shard(docs: DataFrame, shards: int = 24, replicas: int = 128) -> DataFrame:
     """
     spark = docs.sparkSession
     ring = Ring.of(shards, replicas)
-    keyed = docs.drop("shard", "slot").withColumn("__pos", F.xxhash64(F.col("doc_id").cast("string"))).withColumn("__arc", F.lit(0))
-    schema = keyed.schema
-
-    def place(batches):
-        for b in batches:
-            key = np.asarray(b.column("__pos")).view(np.uint64)
-            # places sort as unsigned: shift them into the signed order that Spark sorts by
-            sorted_as = (key ^ np.uint64(1 << 63)).view(np.int64)
-            b = b.set_column(b.schema.get_field_index("__pos"), "__pos", pa.array(sorted_as))
-            yield b.set_column(b.schema.get_field_index("__arc"), "__arc", pa.array(ring.arc(key), pa.int32()))
-
-    numbered = position_in(map_arrow(keyed, place, schema), ["__arc"], ["__pos"], "__place")
-    rows = np.zeros(len(ring.at), dtype=np.int64)
-    for arc, n in numbered.groupBy("__arc").count().collect():  # one row per arc at most
-        rows[arc] = n
-    ranges = spark.createDataFrame(walk(ring, rows, shards) or [(-1, 0, 0, 0, 0)], "arc int, lo long, hi long, shard int, slot0 long")
-    inside = (F.col("__arc") == F.col("arc")) & (F.col("__place") >= F.col("lo")) & (F.col("__place") < F.col("hi"))
+    n = len(ring.at)
+    names = [c for c in docs.columns if c not in ("shard", "slot")]
+    # places sort as unsigned: shift them into the signed order that Spark sorts by; the row's own columns travel as one, so no name clashes
+    place = F.xxhash64(F.col("doc_id").cast("string")).bitwiseXOR(F.lit(-(1 << 63)))
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), place.alias("pos"), F.lit(0).alias("arc"))
+
+    def arcs(b: pa.RecordBatch) -> pa.RecordBatch:
+        """Arc 0 in two parts, as rows come in ring order: n stands for its keys behind the last place."""
+        key = np.asarray(b.column("pos")).view(np.uint64) ^ np.uint64(1 << 63)
+        return b.set_column(b.schema.get_field_index("arc"), "arc", pa.array(np.searchsorted(ring.at, key, side="left"), pa.int32()))
+
+    small_batches(spark)
+    ship_package(spark)
+    numbered = position_in(keyed, ["arc"], ["pos"], "place", derive=arcs)
+    rows = np.zeros(n + 1, dtype=np.int64)
+    for arc, count in numbered.groupBy("arc").count().collect():  # one row per arc at most
+        rows[arc] = count
+    ahead = int(rows[0])
+    rows[0] += rows[n]
+    last = F.col("arc") == n
+    numbered = numbered.withColumn("place", F.col("place") + F.when(last, ahead).otherwise(0)).withColumn("arc", F.when(last, 0).otherwise(F.col("arc")))
+    ranges = spark.createDataFrame(walk(ring, rows[:n], shards) or [(-1, 0, 0, 0, 0)], "of int, lo long, hi long, shard int, slot0 long")
+    inside = (F.col("arc") == F.col("of")) & (F.col("place") >= F.col("lo")) & (F.col("place") < F.col("hi"))
     dealt = numbered.join(F.broadcast(ranges), inside)  # about one row per arc
-    return dealt.withColumn("slot", F.col("slot0") + F.col("__place") - F.col("lo")).select(
-        *[F.col(f"`{c}`") for c in docs.columns if c not in ("shard", "slot")], "shard", "slot")
+    return dealt.select("row.*", "shard", (F.col("slot0") + F.col("place") - F.col("lo")).alias("slot"))
 
 
 def write_shards(dealt: DataFrame, path: str, shards: int = 24) -> None:

@@ -32,8 +32,20 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+#: Bytes of an Arrow batch: a worker holds one batch, and what it makes of it, per task.
+BATCH_BYTES = "8m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Cut Arrow batches at BATCH_BYTES in this session, unless the session has a size of its own."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, "67108864b") in ("67108864b", "64m", "67108864"):  # Spark's default
+        spark.conf.set(key, BATCH_BYTES)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
+    small_batches(spark)
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
@@ -75,6 +87,7 @@ def filtered_shuffles(spark: SparkSession):
 
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     ship_package(df.sparkSession)
+    small_batches(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
 
@@ -82,16 +95,17 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def position_in(df: DataFrame, group: list[str], order: list[str], out: str) -> DataFrame:
+def position_in(df: DataFrame, group: list[str], order: list[str], out: str, derive: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None) -> DataFrame:
     """0-based place of each row in its group by ``order``, safe for a group of any size.
 
     Rows are dealt by range over (group, order, row number of the scan), so a hot group,
     even one of equal rows, spreads over many tasks. Each range numbers its own rows as they
     stream by and is written once (a second evaluation could draw other bounds); groups that
     began in earlier ranges, at most one per range, get those ranges' counts added by a broadcast.
-    Null groups are groups like others. All columns of ``df`` are kept.
+    Null groups are groups like others. All columns of ``df`` are kept. With ``derive``, the group columns are filled by it, batch by batch
+    in the numbering pass; they must not fall as ``order`` rises.
     """
-    keys = [*group, *order, "__tie"]
+    keys = [*([] if derive else group), *order, "__tie"]
     ranged = df.withColumn("__tie", F.monotonically_increasing_id())
     ranged = ranged.repartitionByRange(partitions(df.sparkSession), *keys).sortWithinPartitions(*keys)
     ranged = ranged.drop("__tie").withColumn("__pid", F.spark_partition_id()).withColumn("__rn", F.lit(0).cast("long"))
@@ -103,6 +117,7 @@ def position_in(df: DataFrame, group: list[str], order: list[str], out: str) ->
             n = b.num_rows
             if not n:
                 continue
+            b = derive(b) if derive else b
             new = np.zeros(n, dtype=bool)
             for g in group:
                 x = b.column(g)

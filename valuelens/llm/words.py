@@ -30,7 +30,7 @@ _TABLE = {ALNUM: _IS_ALNUM, NONSPACE: _IS_NONSPACE, NONSPACE_LOWER: _IS_NONSPACE
 _KEEP = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], dtype=np.uint64)
 
 #: Texts are worked on in pieces of about this many bytes (a longer text alone).
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 2 << 20
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
