@@ -110,3 +110,19 @@ def test_trained_models_survive_a_save_and_serve_without_the_training_rows(spark
     assert {(r.player_id, r.model): r.prediction for r in out.collect()} == a and len(a) == 40
     assert not any(path in f for f in out.inputFiles())
     assert not any(path in f for f in flows.serve(batch, tr)["predictions"].inputFiles())
+    # versions of a registry: a failed save leaves nothing visible, nothing published changes
+    import pytest
+
+    root = str(tmp_path / "registry")
+    with pytest.raises(LookupError):
+        persist.load_published(spark, root)
+    assert persist.publish(spark, tr, root, ledger=spark.range(3)) == 1
+    with pytest.raises(AttributeError):
+        persist.publish(spark, {**tr, "models": {**tr["models"], "zz": None}}, root)
+    assert [r.number for r in persist.versions(spark, root).collect()] == [1]
+    first = persist.load_published(spark, root)
+    assert first["number"] == 1 and first["ledger"].count() == 3
+    assert persist.publish(spark, tr, root) == 2
+    newest = persist.load_published(spark, root)
+    assert newest["number"] == 2 and "ledger" not in newest and persist.load_published(spark, root, number=1)["number"] == 1
+    assert {(r.player_id, r.model): r.prediction for r in flows.serve(batch, newest)["predictions"].collect()} == a

@@ -8,9 +8,12 @@ path may be on any store Spark knows.
 from __future__ import annotations
 
 import json
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from valuelens.plans.flows import CleanPlan, FeaturePlan
 
@@ -70,3 +73,52 @@ def load_trained(spark: SparkSession, path: str) -> dict:
         target_codes={c: tuple(read(f"{path}/target_codes/{c}/{n}") for n in ("oof", "full", "overall")) for c in meta["target_codes"]})
     return {"plan": plan, "features": meta["features"], "metrics": read(f"{path}/metrics"),
             "models": {m: PipelineModel.load(f"{path}/models/{m}") for m in meta["models"]}}
+
+
+# --- a registry of versions -----------------------------------------------------------------------------
+
+def publish(spark: SparkSession, trained: dict, root: str, ledger: DataFrame | None = None) -> int:
+    """Save a trained result as a new version below ``root`` and publish it; returns its number.
+
+    Everything (plan, feature list, models, metrics, the tuning ledger if given) goes into a folder of its own. Only then is
+    the manifest ``published/<number>`` written, one row in one step, so a reader sees a version whole or not at all, and
+    a save that fails leaves nothing visible behind. Nothing published is ever overwritten; of two publishers of the
+    same number, one takes the next.
+    """
+    version = uuid.uuid4().hex
+    save_trained(trained, f"{root}/versions/{version}")
+    if ledger is not None:
+        _put(ledger, f"{root}/versions/{version}/ledger")
+    best = trained["metrics"].where("rank = 1").first()
+    number = max((r.number for r in versions(spark, root).select("number").collect()), default=0) + 1
+    row = spark.createDataFrame([(version, best["model"], best["test_r2"], ledger is not None)], "version string, best_model string, test_r2 double, has_ledger boolean").coalesce(1)
+    while True:
+        try:
+            row.write.mode("errorifexists").parquet(f"{root}/published/number={number}")
+            return number
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+            number += 1
+
+
+def versions(spark: SparkSession, root: str) -> DataFrame:
+    """(number, version, best_model, test_r2, has_ledger) of what is published."""
+    schema = "version string, best_model string, test_r2 double, has_ledger boolean, number int"
+    try:
+        return spark.read.schema(schema).parquet(f"{root}/published")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def load_published(spark: SparkSession, root: str, number: int | None = None, best: bool = False) -> dict:
+    """The published version of that number, else the newest (or the one with the highest test R^2), with ``ledger`` if it has one."""
+    table = versions(spark, root)
+    order = [F.col("test_r2").desc_nulls_last(), F.col("number").desc()] if best else [F.col("number").desc()]
+    row = (table.where(F.col("number") == number) if number is not None else table).orderBy(*order).first()
+    if row is None:
+        raise LookupError(f"nothing published below {root}")
+    path = f"{root}/versions/{row.version}"
+    return load_trained(spark, path) | {"number": row.number} | ({"ledger": spark.read.parquet(f"{path}/ledger")} if row.has_ledger else {})
