@@ -57,14 +57,15 @@ def metrics_by_formula(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("ensemble_by_formula", _ROWS + """,
 e AS (SELECT *, avg(value) OVER w AS m, min(value) OVER w AS lo, max(value) OVER w AS hi, stddev_pop(value) OVER w AS sd FROM p WHERE split = 'test' WINDOW w AS (PARTITION BY row_key))
-SELECT row_key, model, round(value, 4) AS prediction, l_extendedprice, round(m, 4) AS ens_mean, round(lo, 4) AS ens_min, round(hi, 4) AS ens_max, round(sd, 2) AS ens_std,
-       round(value - m, 4) AS diff_from_avg, round(value - l_extendedprice, 4) AS error, round(abs(value - l_extendedprice), 4) AS abs_error FROM e""")
+SELECT row_key, model, round(value, 6) AS prediction, l_extendedprice, round(m, 6) AS ens_mean, round(lo, 6) AS ens_min, round(hi, 6) AS ens_max, round(sd, 2) AS ens_std,
+       round(value - m, 6) AS diff_from_avg, round(value - l_extendedprice, 6) AS error, round(abs(value - l_extendedprice), 6) AS abs_error FROM e""")
 def ensemble_by_formula(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M20 + M22: predicted values of three models on the test split, with the ensemble's mean, range and spread."""
     test = model_table(spark, sf_dir).filter(F.col("split") == "test")
     parts = [ml.predict_value(Formula(f), test).select("row_key", F.lit(n).alias("model"), F.col("predicted_value").alias("prediction"), "l_extendedprice") for n, f in FORMULAS.items()]
     out = ml.ensemble(reduce(DataFrame.unionByName, parts), "row_key", "l_extendedprice").drop("diff_pct", "error_pct")
-    return round_doubles(out.withColumn("ens_std", F.round("ens_std", 2)))
+    # values come from exp(ln(x)), so they are rounded where no exact tie can fall
+    return round_doubles(out.withColumn("ens_std", F.round("ens_std", 2)), 6)
 
 
 @register("mispricing_by_formula", _ROWS + """,
