@@ -30,6 +30,25 @@ def stream_ingest_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("user_id", "event_id", "ts", "event_type", "value", "props")
 
 
+@register(
+    "stream_snapshot_table",
+    """
+SELECT user_id, event_id, ts, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""",
+)
+def stream_snapshot_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1 + R2: events land in eight files, arrive file by file, and are kept as a table of versioned snapshots."""
+    from valuelens.streaming.snapshots import SnapshotTable, keep_last_table
+
+    root = jobs.scratch(spark, "snapshots")
+    events = table(spark, sf_dir, "events")
+    events.repartition(8).write.parquet(f"{root}/landed")
+    stream = jobs.file_stream(spark, f"{root}/landed", events.schema, "parquet", max_files_per_trigger=1)
+    kept = SnapshotTable(f"{root}/table", ["user_id"], ["ts", "event_id"], compact_every=4)
+    keep_last_table(stream, kept, f"{root}/ck")
+    return kept.read(spark).select("user_id", "event_id", "ts", "event_type", "value", "props")
+
+
 @register(
     "stream_group_profile",
     """
