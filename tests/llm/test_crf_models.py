@@ -186,3 +186,20 @@ def test_language_edge_rows(spark):
     assert language.identify(docs_of(spark, [])).count() == 0
     unknown = docs_of(spark, [(1, "abc", None), (2, "abc d", None)])
     assert {(r.lang_pred, r.score) for r in language.identify(unknown).collect()} == {("und", 0.0)}
+
+
+def test_toxic_texts_of_the_given_tables(spark):
+    """Held-out rows: some labels are wrong, so not all can be found."""
+    path = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{path}/{n}.parquet") for n in ("documents", "labels"))
+    truth = {r.doc_id: r.toxic for r in labels.where("toxic is not null").collect()}
+    got = [r for r in toxicity.tag(docs.select("doc_id", "text"), labels, spans=False).collect() if r.doc_id in truth and zlib.crc32(str(r.doc_id).encode()) % 3 == 1]
+    assert np.mean([r.score >= 0.7 for r in got if truth[r.doc_id]]) > 0.8
+    assert np.mean([r.score >= 0.7 for r in got if not truth[r.doc_id]]) <= 0.01
+
+
+def test_rows_of_a_hot_id_are_one_training_row(spark):
+    rows, labels = toxic_corpus(random.Random(6), 200)
+    hot = [(labels[0][0], f"text number {i}") for i in range(500)]
+    got = toxicity.sample(docs_of(spark, rows + hot), spark.createDataFrame(labels, "doc_id long, toxic int"), toxicity.train_rows(), 1000, 4000)
+    assert len(got) <= len(rows)

@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from llm_rows import EDGE, docs_of
 from valuelens.llm.decontaminate import clean_documents, decontaminate
@@ -72,3 +73,19 @@ def test_edge_rows(spark):
     empty = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate(docs_of(spark, EDGE), empty).where("n_hit > 0").count() == 0
     assert decontaminate(docs_of(spark, []), bench).count() == 0
+
+
+def test_both_paths_drop_the_same_rows(spark):
+    """Rows without an id, and rows that share one, are judged by their own text, however large the benchmark is."""
+    from llm_rows import DOCS
+
+    item = "one two three four five six seven eight nine ten eleven"
+    rows = [(None, "clean text one"), (None, f"x {item}"), (7, "clean text two"), (7, f"{item} y"), (8, None), (8, ""), (9, item), (9, item), (10, "clean"), (10, "clean")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, "x", 1.0, 2, "z", 3) for i, t in rows], DOCS).repartition(3)
+    docs = docs.withColumn("k", F.lit(1)).withColumn("row", F.lit("r"))
+    bench = spark.createDataFrame([(1, item), (2, "short item")], "item_id long, text string")
+    want = sorted(((i, t) for i, t in rows if item not in (t or "")), key=str)
+    for most in (4_000_000, 1):
+        kept = clean_documents(docs, bench, max_windows=most)
+        assert kept.columns == docs.columns
+        assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == want

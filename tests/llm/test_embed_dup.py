@@ -71,3 +71,12 @@ def test_tiles_stop_early_without_losing_links():
     i, j = embed_dup.tile_links(x, y, u, v, 0.98, False)
     want = np.argwhere((x @ y.T) / np.outer(np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)) >= 0.98)
     assert sorted(zip(i.tolist(), j.tolist())) == [tuple(p) for p in want.tolist()] and len(want)
+
+
+def test_any_magnitude(spark):
+    """Vectors next to the ends of the double range link as others do, and spoil nothing for them."""
+    rows = [(1, [1.0, 0.0], 1), (2, [1.0, 0.001], 1), (3, [1e-200, 1e-200], 1), (4, [1e-320, 1e-320], 1), (5, [1e200, 1e200], 1), (6, [1e200, 1.0001e200], 1),
+            (7, [1.7e308, 1.7e308], 1), (8, [0.5, 0.5], 1), (9, [1e-320, 0.0], 1), (10, [-1e250, 1e-250], 1)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embed_dup.near(frame).collect()}
+    assert got == {**{i: (5, 3) for i in (3, 4, 5, 6, 7, 8)}, **{i: (2, 1) for i in (1, 2, 9)}, 10: (0, 10)}

@@ -157,6 +157,7 @@ class Crf:
     weights: np.ndarray = None  # features x labels
     transition: np.ndarray = None
     lexicon: np.ndarray | None = field(default=None)
+    document: np.ndarray | None = field(default=None)  # weights of a score of whole texts, if there is one
 
     def score(self, w: Words) -> np.ndarray:
         """Marginals of all words of a batch (words x labels)."""

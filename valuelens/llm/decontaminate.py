@@ -157,8 +157,10 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, n: int = 10, max_wind
     bench = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text"))
     index = _index(bench, n, max_windows)
     if index is None:
-        hit = _by_join(docs.select("doc_id", "text"), bench, n, False).where("n_hit > 0").select(F.col("doc_id").alias("__hit")).distinct()
-        return docs.join(hit, docs["doc_id"].eqNullSafe(F.col("__hit")), "left_anti")
+        # by document (doc_id and text), as rows may share an id, or have none
+        rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _document_key().alias("of"))
+        hit = _found(docs.select("text", _document_key().alias("k")), bench, n).select("k")
+        return rows.join(hit, F.col("of") == F.col("k"), "left_anti").select("row.*")
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(batches):
@@ -198,11 +200,14 @@ def _rows(ids, texts, w, hit, found, clean_text) -> pa.RecordBatch:
         names=["doc_id", "n_words", "n_hit", "item_ids", "text_clean"])
 
 
-def _by_join(docs: DataFrame, bench: DataFrame, n: int, clean_text: bool) -> DataFrame:
-    """The same for a benchmark too large to broadcast: windows meet in a join by fingerprint.
+def _document_key():
+    """128 bits of doc_id and text: tells documents apart, so that repeated ids do not mix."""
+    of = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit("\n"), F.coalesce("text", F.lit("")))
+    return F.unhex(F.md5(F.encode(of, "UTF-8")))
 
-    Documents are told apart by a fingerprint of doc_id and text, so that repeated ids do not mix.
-    """
+
+def _found(keyed: DataFrame, bench: DataFrame, n: int) -> DataFrame:
+    """(k, spans, item_ids) of the documents (k, text) in which windows of the benchmark occur: they meet in a join by fingerprint."""
     def items(batches):
         for b in W.pieces(batches):
             w, ids = W.split(b.column("text"), W.ALNUM), b.column("item_id").to_pylist()
@@ -213,23 +218,26 @@ def _by_join(docs: DataFrame, bench: DataFrame, n: int, clean_text: bool) -> Dat
 
     windows = written(map_arrow(bench, items, "f1 long, f2 long, len int, item string").distinct())
     lengths = [r[0] for r in windows.select("len").distinct().collect()]  # at most n values
-    keyed = docs.withColumn("k", F.xxhash64(F.col("doc_id").cast("string"), "text"))
-
     def spans(batches):
         for b in W.pieces(batches):
             w = W.split(b.column("text"), W.ALNUM)
             h1, h2, doc = w.hashes(), w.hashes(_SEED2), w.doc_of()
-            key = np.asarray(b.column("k"))
             for length in lengths:
                 f1, f2 = W.chain(h1, length), W.chain(h2, length, 0x9FB21C651E98DF25)
                 at = np.flatnonzero(doc[: len(f1)] == doc[length - 1 :]) if len(f1) else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(f1[at].view(np.int64)), pa.array(f2[at].view(np.int64)), pa.array(np.full(len(at), length), pa.int32()),
-                     pa.array(key[doc[at]]), pa.array(at - w.first[doc[at]], pa.int64())], names=["f1", "f2", "len", "k", "start"])
+                     b.column("k").take(pa.array(doc[at])), pa.array(at - w.first[doc[at]], pa.int64())], names=["f1", "f2", "len", "k", "start"])
 
-    found = map_arrow(keyed.select("k", "text"), spans, "f1 long, f2 long, len int, k long, start long")
-    found = found.join(windows, ["f1", "f2", "len"]).groupBy("k").agg(
+    found = map_arrow(keyed.select("k", "text"), spans, "f1 long, f2 long, len int, k binary, start long")
+    return found.join(windows, ["f1", "f2", "len"]).groupBy("k").agg(
         F.collect_set(F.struct("start", "len")).alias("spans"), F.sort_array(F.collect_set("item")).alias("item_ids"))
+
+
+def _by_join(docs: DataFrame, bench: DataFrame, n: int, clean_text: bool) -> DataFrame:
+    """The same for a benchmark too large to broadcast."""
+    keyed = docs.withColumn("k", _document_key())
+    found = _found(keyed.select("k", "text"), bench, n)
     joined = keyed.join(found, "k", "left").select("doc_id", "text", "spans", "item_ids")
 
     def run(batches):

@@ -30,7 +30,16 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.asarray(column.flatten(), dtype=np.float64).reshape(len(column), -1)
 
 
+def _level(x: np.ndarray) -> np.ndarray:
+    """Rows times powers of two that bring their largest component to between a half and one: cosines stay the same to the
+    last bit, and no square is too large or too small to be held."""
+    exponent = np.frexp(np.abs(x).max(axis=1, initial=0))[1]
+    half = exponent // 2  # in two steps: the factor alone may be out of range
+    return np.ldexp(np.ldexp(x, -half[:, None]), (half - exponent)[:, None])
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
+    x = _level(x)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -91,6 +100,7 @@ def tile_links(x: np.ndarray, y: np.ndarray, px: np.ndarray, py: np.ndarray, thr
         to = min(at + SLICE, d)
         product = product + (px[:, at:to] @ py[:, at:to].T if i is None else np.einsum("nd,nd->n", px[i, at:to], py[j, at:to]))
         at = to
+    x, y = _level(x), _level(y)
     nx, ny = np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)
     cosine = np.einsum("nd,nd->n", x[i], y[j]) / (nx[i] * ny[j])
     ok = cosine >= threshold

@@ -1,12 +1,13 @@
 """Toxicity (8): a linear-chain conditional random field tags toxic spans.
 
 Labels are given per document, tags are needed per word. A bounded sample of labelled
-documents is drawn; features (words, prefixes, suffixes) that explain toxic documents
-are picked greedily by smoothed log-odds over clean ones, so that wrong labels and cues that
-stand in clean text too are borne. In toxic documents, words with a picked feature are tagged toxic, all other
-words clean. The field is fitted to these tags. Scoring runs over every whole text in one pass
-without a shuffle: marginals above a half are offending words; a document's score is the
-probability that at least one of them is toxic (the highest marginal if there are none).
+documents is drawn; features (words, prefixes, suffixes) that are cues of toxic documents, beyond wrong
+labels and chance, are found by their likelihood ratio. In toxic documents, words with a cue are tagged toxic, words that
+clean documents have too are tagged clean, and the rest, which may be either, is left out. The field is
+fitted to these tags. Scoring runs over every whole text in one pass
+without a shuffle: marginals above a half are offending words; their expected number, the highest marginal and the
+length of the text give the document's score by a logistic regression on the same sample, as a cue that
+comes up once by chance in a long text says less than several in a short one.
 """
 
 from __future__ import annotations
@@ -24,7 +25,10 @@ from valuelens.llm.tables import map_arrow
 FIT_DOCS, FIT_CHARS = 2000, 4000
 BITS = 18
 SEQUENCE = 48
-#: Log of the lift from toxic over clean documents from which on a feature is a cue.
+#: A cue's least share of toxic documents, and how far (in logs) its proof may stay below that of the best chance hit: a few
+#: such hits do no harm, as documents are judged by several words, while a short list of labels holds little proof.
+PURE, SLACK = 0.8, 1.5
+#: Log of the lift from toxic over clean documents from which on a feature is picked where none is pure.
 LIFT = float(np.log(3.0))
 
 
@@ -34,49 +38,59 @@ def excerpt(text: str, chars: int):
 
 
 def sample(docs: DataFrame, labels: DataFrame, train, fit_docs: int, fit_chars: int) -> list:
-    """Rows (text, toxic) of at most ``fit_docs`` labelled documents per class, drawn by hash; one of equal excerpts."""
+    """Rows (text, toxic) of at most ``fit_docs`` labelled documents per class, drawn by hash; one text an id, one of equal excerpts."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "toxic").where(train)
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = [F.xxhash64(F.col("doc_id").cast("string")), F.col("doc_id")]
     chosen = [known.where(F.col("toxic") == t).orderBy(*order).limit(fit_docs) for t in (0, 1)]
     chosen = chosen[0].unionByName(chosen[1])  # at most 2 * fit_docs rows
     rows = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id")
-    rows = rows.select(excerpt("text", fit_chars).alias("text"), "toxic", F.xxhash64("doc_id").alias("h"))
-    return sorted({r.text: r for r in rows.collect()}.values(), key=lambda r: (r.h, r.text))
-
-
-def explain(doc: np.ndarray, feature: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Numbers of the features picked. doc, feature: distinct pairs; toxic: per document, may be wrong for some.
-
-    A feature's lift is the smoothed log of its rate in toxic documents not yet explained over its rate in clean
-    ones; the one with the highest product of lift over LIFT and such documents is next. It must be more than chance
-    among as many features: the log-likelihood ratio of its documents' labels exceeds the log of their number. If no
-    feature is, chance is allowed for, then any lift above 0, so that toxic documents never go without a tag
-    as long as some feature is more frequent in them.
+    rows = rows.select("doc_id", excerpt("text", fit_chars).alias("text"), "toxic", F.xxhash64("doc_id").alias("h"))
+    # of an id with several texts, the one with the smallest hash
+    one = rows.groupBy("doc_id", "h").agg(F.min_by(F.struct("text", "toxic"), F.struct(F.xxhash64("text"), "text")).alias("r")).select("h", "r.*")
+    return sorted({r.text: r for r in one.collect()}.values(), key=lambda r: (r.h, r.text))
+
+
+def explain(doc: np.ndarray, feature: np.ndarray, toxic: np.ndarray, times: np.ndarray | None = None) -> np.ndarray:
+    """Numbers of the features that are cues. doc, feature: distinct pairs; toxic: per document, may be wrong for some;
+    times: occurrences of each pair.
+
+    Every feature is judged on all documents, by those that have it at all and by those that have it more than once (a cue may come
+    up by chance in clean texts, but rarely twice). A cue is pure: of such documents at least PURE are toxic; and
+    it is hardly chance: the log-likelihood ratio of their labels comes within SLACK of the log of the number of
+    features with as many of them, so that short lists need less proof than long ones. If there is no such feature, cues
+    stand in clean texts as well: then the features that explain toxic documents best are picked one by one, by the smoothed
+    log of their rate in toxic documents not yet explained over that in clean ones, less LIFT, at last any lift above 0, so
+    that toxic documents never go without a tag as long as some feature is more frequent in them.
     """
     n_features = int(feature.max()) + 1 if len(feature) else 0
     n_toxic, n_clean = int(toxic.sum()), int((~toxic).sum())
-    clean = np.bincount(feature[~toxic[doc]], minlength=n_features)
+    share = n_toxic / (n_toxic + n_clean)
+    cue = np.zeros(n_features, dtype=bool)
+    for least in (2, 1):
+        on = np.ones(len(doc), dtype=bool) if least == 1 else times >= least if times is not None else np.zeros(len(doc), dtype=bool)
+        clean = np.bincount(feature[on & ~toxic[doc]], minlength=n_features)
+        hot = np.bincount(feature[on & toxic[doc]], minlength=n_features)
+        both = clean + hot
+        at_least = np.cumsum(np.bincount(both, minlength=1)[::-1])[::-1]  # features of so many documents or more
+        p = np.clip(hot / np.maximum(both, 1), 1e-12, 1 - 1e-12)
+        proof = hot * np.log(p / share) + clean * np.log((1 - p) / (1 - share))
+        cue |= (hot >= PURE * both) & (hot > 0) & (proof > np.log(np.maximum(at_least[both], 2)) - SLACK)
+    if cue.any():
+        return np.flatnonzero(cue)
     all_d, all_f = doc[toxic[doc]], feature[toxic[doc]]
-    real = int((np.bincount(all_f, minlength=n_features) > 0).sum())
-    for lift, by_chance in ((LIFT, False), (LIFT, True), (0.0, True)):
-        d, f, open_, picked = all_d, all_f, toxic.copy(), []
+    for lift in (LIFT, 0.0):
+        d, f, picked = all_d, all_f, []
         while len(d):
             gain = np.bincount(f, minlength=n_features)
             over = np.log((gain + 0.5) / (n_toxic + 1)) - np.log((clean + 0.5) / (n_clean + 1)) - lift
             worth = np.where(gain > 0, gain * over, -np.inf)
-            if not by_chance:
-                share = open_.sum() / (open_.sum() + n_clean)
-                both = gain + clean
-                p = np.clip(gain / np.maximum(both, 1), 1e-12, 1 - 1e-12)
-                sure = gain * np.log(p / share) + clean * np.log((1 - p) / (1 - share)) > np.log(max(real, 2))
-                worth = np.where(sure, worth, -np.inf)
             best = int(np.argmax(worth))
             if worth[best] <= 0:
                 break
             picked.append(best)
-            open_[d[f == best]] = False
-            keep = open_[d]
+            done = np.unique(d[f == best])
+            keep = ~np.isin(d, done)
             d, f = d[keep], f[keep]
         if picked:
             break
@@ -95,28 +109,35 @@ def learn(rows: list, seed: int = 3) -> crf.Crf | None:
     _, at, kind = np.unique(h, return_index=True, return_inverse=True)
     hints = [h[at], *[crf.affix(w, at, k) for k in (6, 5, 4)], *[crf.affix(w, at, k, True) for k in (6, 5)]]
     # pairs (document, feature), each once; one kind of feature after the other to keep memory low
-    seen = np.unique(doc * len(at) + kind)
+    seen, often = np.unique(doc * len(at) + kind, return_counts=True)
     pair_doc, pair_type = (seen // len(at)).astype(np.int32), (seen % len(at)).astype(np.int32)
     del seen
-    ds, fs, numbers, before = [], [], [], 0
+    ds, fs, ts, numbers, before = [], [], [], [], 0
     for hint in hints:
         names, number = np.unique(hint, return_inverse=True)
         number = (number + before).astype(np.int32)
         real = hint[pair_type] != 0
-        pairs = np.unique(pair_doc[real].astype(np.int64) << 32 | number[pair_type[real]])
+        pairs, inverse = np.unique(pair_doc[real].astype(np.int64) << 32 | number[pair_type[real]], return_inverse=True)
+        ts.append(np.bincount(inverse, often[real], minlength=len(pairs)).astype(np.int32))
         ds.append((pairs >> 32).astype(np.int32))
         fs.append((pairs & 0xFFFFFFFF).astype(np.int32))
         numbers.append(number)
         before += len(names)
-    d, f = np.concatenate(ds), np.concatenate(fs)
-    del ds, fs, hints, pair_doc, pair_type
-    picked = explain(d, f, toxic)
-    del d, f
+    d, f, t = np.concatenate(ds), np.concatenate(fs), np.concatenate(ts)
+    del ds, fs, ts, hints, pair_doc, pair_type, often
+    picked = explain(d, f, toxic, t)
+    del d, f, t
     hot_type = np.any([np.isin(n, picked) for n in numbers], axis=0)
     tag = (hot_type[kind] & toxic[doc]).astype(np.int64)
+    # words of toxic documents that no clean one has, and are no cues, may be toxic or not: they teach nothing
+    in_clean = np.zeros(len(at), dtype=bool)
+    in_clean[kind[~toxic[doc]]] = True
+    known = in_clean[kind] | (tag > 0)
+    kind, doc, tag = kind[known], doc[known], tag[known]
+    border = np.searchsorted(doc, np.arange(len(rows) + 1))
     # sequences: runs of SEQUENCE words; those with a toxic word, and as many drawn from the rest
-    starts = np.concatenate([np.arange(a, b, SEQUENCE) for a, b in zip(w.first[:-1], w.first[1:])])
-    ends = np.minimum(starts + SEQUENCE, w.first[1:][doc[starts]])
+    starts = np.concatenate([np.arange(a, b, SEQUENCE) for a, b in zip(border[:-1], border[1:])])
+    ends = np.minimum(starts + SEQUENCE, border[1:][doc[starts]])
     total = np.concatenate([[0], np.cumsum(tag)])
     has = total[ends] > total[starts]
     rng = np.random.default_rng(seed)
@@ -128,19 +149,38 @@ def learn(rows: list, seed: int = 3) -> crf.Crf | None:
     grid = np.where(ok, grid, 0)
     used, sequences = np.unique(kind[grid], return_inverse=True)
     types = crf.features(w, at[used], h[at[used]], BITS)
-    return crf.fit(["clean", "toxic"], types, np.where(ok, sequences.reshape(grid.shape), -1), np.where(ok, tag[grid], 0), BITS, seed=seed)
+    field = crf.fit(["clean", "toxic"], types, np.where(ok, sequences.reshape(grid.shape), -1), np.where(ok, tag[grid], 0), BITS, seed=seed)
+    field.document = logistic(evidence(field.score(w)[:, 1], w.first), toxic)
+    return field
 
 
-def document_scores(p: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Per text: probability that any word with p >= 0.5 is toxic, else the highest p; 0 without words."""
+def evidence(p: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Per text: one, the log of the expected number of offending words (p >= 0.5), the highest p, and the log of the number of words."""
     n = len(first) - 1
     doc = np.repeat(np.arange(n), np.diff(first))
-    top = np.zeros(n)
+    top, many = np.zeros(n), np.zeros(n)
     np.maximum.at(top, doc, p)
     on = p >= 0.5
-    none = np.zeros(n)
-    np.add.at(none, doc[on], np.log1p(-np.minimum(p[on], 1 - 1e-12)))
-    return np.where(none < 0, -np.expm1(none), top)
+    np.add.at(many, doc[on], p[on])
+    return np.stack([np.ones(n), np.log1p(many), top, np.log1p(np.diff(first))], axis=1)
+
+
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 30) -> np.ndarray:
+    """Weights of a logistic regression by Newton steps, with a ridge on all but the first."""
+    w, penalty = np.zeros(x.shape[1]), np.diag([1e-6, *[ridge] * (x.shape[1] - 1)])
+    for _ in range(rounds):
+        q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        step = np.linalg.solve((x * (q * (1 - q))[:, None]).T @ x + penalty + 1e-9 * np.eye(len(w)), x.T @ (y - q) - penalty @ w)
+        w = w + np.clip(step, -5, 5)
+        if np.abs(step).max() < 1e-8:
+            break
+    return w
+
+
+def document_scores(p: np.ndarray, first: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Per text the probability that it is toxic, from the marginals of its words; 0 without words."""
+    x = evidence(p, first)
+    return np.where(np.diff(first) > 0, 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30))), 0.0)
 
 
 def train_rows(doc_id="doc_id"):
@@ -175,7 +215,7 @@ def tag(docs: DataFrame, labels: DataFrame, train=None, fit_docs: int = FIT_DOCS
             texts = b.column("text")
             w = W.cut(W.split(texts, W.ALNUM))
             p = field.score(w)[:, 1] if field is not None else np.zeros(len(w.start))
-            score = document_scores(p, w.first)
+            score = document_scores(p, w.first, field.document) if field is not None else np.zeros(b.num_rows)
             if keep is not None:
                 yield b.filter(pa.array(score < keep))
                 continue
