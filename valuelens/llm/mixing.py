@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from valuelens.llm import words as W
-from valuelens.llm.tables import map_arrow, position_in, written
+from valuelens.llm.tables import filtered_shuffles, map_arrow, position_in, written
 
 #: Weights of the sources in code-point order, repeated.
 WEIGHTS = (3, 1, 2)
@@ -162,8 +162,10 @@ def mixed(docs: DataFrame, seed: int = 17, **options) -> DataFrame:
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"),
                         F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), F.col("text")).alias("key"))
     joined = keyed.join(chosen, (F.col("key") == F.col("of_key")) & F.col("id").eqNullSafe(F.col("of"))).drop("of", "of_key")
-    one = joined.where("n = 1").select("row", F.col("total").alias("times"))
-    many = position_in(joined.where("n > 1"), ["key", "id"], [], "place")
-    many = many.select("row", (F.floor(F.col("total") / F.col("n")) + (F.col("place") < F.col("total") % F.col("n")).cast("long")).alias("times"))
-    copies = one.unionByName(many).where("times > 0")
+    copies = joined.where("n = 1").select("row", F.col("total").alias("times"))
+    if chosen.where("n > 1").take(1):
+        with filtered_shuffles(docs.sparkSession):  # only such rows are shuffled once more
+            many = position_in(joined.where("n > 1"), ["key", "id"], [], "place")
+        many = many.select("row", (F.floor(F.col("total") / F.col("n")) + (F.col("place") < F.col("total") % F.col("n")).cast("long")).alias("times"))
+        copies = copies.unionByName(many.where("times > 0"))
     return copies.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select("row.*")
