@@ -161,7 +161,8 @@ def mixed(docs: DataFrame, seed: int = 17, **options) -> DataFrame:
     chosen = written(chosen.select(F.col("doc_id").alias("of"), F.col("key").alias("of_key"), F.col("total").cast("long").alias("total"), "n"))
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"),
                         F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), F.col("text")).alias("key"))
-    joined = keyed.join(chosen, (F.col("key") == F.col("of_key")) & F.col("id").eqNullSafe(F.col("of"))).drop("of", "of_key")
+    # a row per document: never to be broadcast, however small it is once
+    joined = keyed.join(chosen.hint("merge"), (F.col("key") == F.col("of_key")) & F.col("id").eqNullSafe(F.col("of"))).drop("of", "of_key")
     copies = joined.where("n = 1").select("row", F.col("total").alias("times"))
     if chosen.where("n > 1").take(1):
         with filtered_shuffles(docs.sparkSession):  # only such rows are shuffled once more
