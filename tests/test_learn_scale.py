@@ -52,6 +52,20 @@ def test_training_partition_stays_small():
     assert learn.PARTITION_BYTES * 12 < 500e6
 
 
+def test_training_partitions_follow_the_files(spark, tmp_path, monkeypatch):
+    """As the tables grow there are more partitions, not larger ones: rows of a task stay the same."""
+    largest = {}
+    for rows in (40_000, 160_000):
+        path = str(tmp_path / str(rows))
+        spark.range(rows).select(F.rand(1).alias("x"), F.rand(2).alias("y")).repartition(2).write.parquet(path)
+        monkeypatch.setattr(learn, "PARTITION_BYTES", 8 << 10)
+        kept = learn.training_input(spark.read.parquet(path), ["x", "y"])
+        largest[rows] = max(r["count"] for r in kept.groupBy(F.spark_partition_id()).count().collect())
+        assert kept.count() == rows
+        kept.unpersist()
+    assert largest[160_000] < 1.2 * largest[40_000]
+
+
 def test_split_hash_is_taken_once(spark):
     df = split.hash_split(spark.createDataFrame([("a",), (None,)], "k string"), "k")
     plan = df.filter(F.col("split") == "train")._jdf.queryExecution().optimizedPlan().toString()

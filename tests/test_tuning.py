@@ -99,3 +99,30 @@ def test_pruned_forest(spark):
     assert same.stages[-1].totalNumNodes == whole.totalNumNodes and abs(error(same) - error(model)) < 1e-12
     assert prune.pruned(model, alpha=1e9).stages[-1].totalNumNodes == 5
     df.unpersist(), noisy.unpersist()
+
+
+def test_depths_of_a_grid_take_one_fit(spark, monkeypatch):
+    df, fits, whole = rows(spark, 900), [], learn.Pipeline._fit
+    cells = df.withColumn("y", F.col("y") + F.pmod(F.xxhash64("b", "a"), F.lit(7)) / 10).cache()
+    forest = learn.random_forest(["a", "b"], "y", minInstancesPerNode=2, minWeightFractionPerNode=0.0)
+    one = lambda grid: learn.grid_search(forest, grid, cells, "y", k=3)
+    monkeypatch.setattr(learn.Pipeline, "_fit", lambda self, data: (fits.append(1), whole(self, data))[1])
+    best, table = one({"maxDepth": [2, 6, 4], "numTrees": [3, 5]})
+    assert len(fits) == 3 * 2 + 1  # three folds, two numbers of trees, the best point
+    got = {r.params: (round(r.avg_r2, 9), round(r.std_r2, 9)) for r in table.collect()}
+    assert len(got) == 6 and best.stages[-1].getMaxDepth() == 6
+    for d in (2, 4, 6):  # each depth grown by itself
+        for r in one({"maxDepth": [d], "numTrees": [3, 5]})[1].collect():
+            assert got[r.params] == (round(r.avg_r2, 9), round(r.std_r2, 9))
+    monkeypatch.setattr(learn, "_one_pass", lambda model, depth: False)
+    fits.clear()
+    one({"maxDepth": [2, 4], "numTrees": [3]})
+    assert len(fits) == 3 * 2 + 1
+    df.unpersist(), cells.unpersist()
+
+
+@pytest.mark.parametrize("fold", [None, 3])
+def test_folds_beyond_the_range_are_refused(spark, fold):
+    df = rows(spark, 60).withColumn("fold", F.when(F.col("a") == 7, F.lit(fold).cast("int")).otherwise(F.col("fold")))
+    with pytest.raises(Exception, match="Fold number must be in range"):
+        learn.grid_search(learn.random_forest(["a", "b"], "y", numTrees=1), {"maxDepth": [1]}, df, "y", k=3)
