@@ -126,3 +126,53 @@ def test_folds_beyond_the_range_are_refused(spark, fold):
     df = rows(spark, 60).withColumn("fold", F.when(F.col("a") == 7, F.lit(fold).cast("int")).otherwise(F.col("fold")))
     with pytest.raises(Exception, match="Fold number must be in range"):
         learn.grid_search(learn.random_forest(["a", "b"], "y", numTrees=1), {"maxDepth": [1]}, df, "y", k=3)
+
+
+def noisy_rows(spark, n=900):
+    return rows(spark, n).withColumn("y", F.col("y") + F.pmod(F.xxhash64("b", "a"), F.lit(7)) / 10).cache()
+
+
+@pytest.mark.parametrize("stages", ["pipeline", "forest"])
+def test_ledger_grows_a_forest_once_for_all_depths(spark, tmp_path, monkeypatch, stages):
+    df, fits, plain = noisy_rows(spark), [], learn.RandomForestRegressor._fit
+    if stages == "forest":
+        df = learn.VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df).cache()
+    monkeypatch.setattr(learn.RandomForestRegressor, "_fit", lambda self, data: (fits.append(self.getMaxDepth()), plain(self, data))[1])
+
+    def make(params):
+        p = learn.random_forest(["a", "b"], "y", minInstancesPerNode=2, minWeightFractionPerNode=0.0, **params)
+        return p if stages == "pipeline" else p.getStages()[-1]
+
+    grid = {"maxDepth": [2, 6, 4], "numTrees": [3, 5]}
+    run = lambda path, part, **o: tuning.tune(make, part, df, "y", str(tmp_path / path), k=3, **o)
+    pick = lambda t: {r.params: (round(r.avg_r2, 9), round(r.std_r2, 9)) for r in t.collect()}
+    run("l", {"maxDepth": [2], "numTrees": [3]}, whole=grid)
+    assert fits == [6] * 3 and tuning.ledger(spark, str(tmp_path / "l")).count() == 3
+    got = pick(run("l", grid))
+    assert fits == [6] * 6 and len(got) == 6  # the second run's forests are those of the other number of trees
+    assert pick(run("l", grid)) == got and len(fits) == 6
+    alone = {}
+    for d in (2, 4, 6):  # each depth grown by itself
+        alone |= pick(run(f"alone{d}", {"maxDepth": [d], "numTrees": [3, 5]}))
+    assert got == alone
+    fits.clear()
+    monkeypatch.setattr(learn, "_one_pass", lambda model, depth: False)
+    assert pick(run("apart", {"maxDepth": [2, 4], "numTrees": [3]})) == {p: v for p, v in alone.items() if p in [tuning.json.dumps({"maxDepth": d, "numTrees": 3}, sort_keys=True) for d in (2, 4)]}
+    assert sorted(fits) == [2] * 3 + [4] * 3
+    spark.catalog.clearCache()
+
+
+def test_a_forest_cut_short_in_writing_is_grown_again(spark, tmp_path):
+    df, at = noisy_rows(spark), str(tmp_path / "kept")
+    grown, fit = [], lambda: (grown.append(1), learn.random_forest(["a", "b"], "y", numTrees=2, maxDepth=3).fit(df))[1]
+    fit().write().save(f"{at}/forest")  # no mark that it is whole
+    grown.clear()
+    a, b = tuning._kept(spark, at, fit), tuning._kept(spark, at, fit)
+    assert len(grown) == 1 and a.stages[-1].toDebugString.split("\n")[1:] == b.stages[-1].toDebugString.split("\n")[1:]
+    spark.catalog.clearCache()
+
+
+def test_fits_of_large_inputs_wait_for_each_other(spark):
+    cores = spark.sparkContext.defaultParallelism
+    at_once = lambda n: tuning.side_by_side(spark.range(n, numPartitions=n), 4)
+    assert at_once(1) == 4 and at_once(4 * cores) == 4 and at_once(8 * cores) == 2 and at_once(40 * cores) == 1
