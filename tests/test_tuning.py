@@ -174,5 +174,5 @@ def test_a_forest_cut_short_in_writing_is_grown_again(spark, tmp_path):
 
 def test_fits_of_large_inputs_wait_for_each_other(spark):
     cores = spark.sparkContext.defaultParallelism
-    at_once = lambda n: tuning.side_by_side(spark.range(n, numPartitions=n), 4)
+    at_once = lambda n: learn.side_by_side(spark.range(n, numPartitions=n), 4)
     assert at_once(1) == 4 and at_once(4 * cores) == 4 and at_once(8 * cores) == 2 and at_once(40 * cores) == 1
