@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from valuelens.operators import learn, prune, tuning
+from valuelens.plans import q_learn
 
 
 def rows(spark, n=600):
@@ -162,6 +163,19 @@ def test_ledger_grows_a_forest_once_for_all_depths(spark, tmp_path, monkeypatch,
     spark.catalog.clearCache()
 
 
+def test_every_point_of_the_ledger_query_is_fitted(spark, monkeypatch):
+    def model_rows(spark, sf_dir):
+        noise = F.pmod(F.xxhash64("id"), F.lit(100)) / 10
+        return spark.range(900).select(*[F.pmod(F.xxhash64("id", F.lit(i)), F.lit(50)).cast("double").alias(f) for i, f in enumerate(q_learn.FEATURES)],
+                                       (F.col("id") % 37 + noise).alias(q_learn.LABEL), F.lit("train").alias("split"), (F.col("id") % 3).cast("int").alias("fold"))
+
+    fits, plain = [], learn.RandomForestRegressor._fit
+    monkeypatch.setattr(q_learn, "model_table", model_rows)
+    monkeypatch.setattr(learn.RandomForestRegressor, "_fit", lambda self, data: (fits.append(self.getMaxDepth()), plain(self, data))[1])
+    assert q_learn.tuning_ledger(spark, "own rows").count() == 2
+    assert sorted(fits) == [4] * 3 + [6] * 3
+
+
 def test_a_forest_cut_short_in_writing_is_grown_again(spark, tmp_path):
     df, at = noisy_rows(spark), str(tmp_path / "kept")
     grown, fit = [], lambda: (grown.append(1), learn.random_forest(["a", "b"], "y", numTrees=2, maxDepth=3).fit(df))[1]
